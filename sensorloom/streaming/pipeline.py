@@ -1,0 +1,88 @@
+"""The reading stream: decode, screen, score, and fan every micro-batch out to its stores."""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Callable, Mapping, Sequence
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from sensorloom.operators.codec import decode_json, is_valid
+from sensorloom.operators.modeling import score
+from sensorloom.schemas import PREDICTED
+from sensorloom.sinks.stores import Sink, write_batch
+
+METRICS = "batch_id bigint, readings bigint, rejected bigint, anomalies bigint"
+
+
+def read_stream(messages: DataFrame, model: PipelineModel | None = None) -> DataFrame:
+    """Messages to readings with the raw ``value``, a ``valid`` flag and, given a model, a prediction.
+
+    Works on a stream and on a batch alike. Rejected rows keep a null prediction.
+    """
+    readings = decode_json(messages, keep=("value",)).withColumn("valid", is_valid())
+    if model is None:
+        return readings
+    predicted = F.when(F.col("valid"), F.col("prediction").cast("int"))
+    return score(model, readings).withColumn(PREDICTED, predicted).drop("prediction")
+
+
+def checkpoint_run(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gives a query at its first start and keeps in its checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0])["id"]
+
+
+def measured(frame: DataFrame) -> tuple[DataFrame, Observation]:
+    """Count a batch's rows while something else evaluates it, instead of in jobs of its own."""
+    anomalies = F.count_if(F.col(PREDICTED) == 1) if PREDICTED in frame.columns else F.count_if(F.lit(False))
+    seen = Observation()
+    counts = [F.count("*").alias("readings"), F.count_if(~F.col("valid")).alias("rejected"), anomalies.alias("anomalies")]
+    return frame.observe(seen, *counts), seen
+
+
+def fan_out(sinks: Sequence[Sink], checkpoint: str, metrics: str | None = None) -> Callable[[DataFrame, int], None]:
+    """The function for ``foreachBatch``: persist once, write to all sinks, then record the counts."""
+    runs: list[str] = []
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if not runs:
+            runs.append(checkpoint_run(spark, checkpoint))
+        frame, seen = measured(batch)
+        frame = frame.persist()
+        try:
+            if frame.isEmpty():
+                return
+            write_batch(frame, batch_id, sinks, runs[0])
+            if metrics:
+                counted = {"batch_id": batch_id, **seen.get}
+                row = spark.createDataFrame([counted], METRICS)
+                row.coalesce(1).write.mode("overwrite").parquet(f"{metrics}/run={runs[0]}/batch={batch_id}")
+        finally:
+            frame.unpersist()
+
+    return process
+
+
+def run_stream(
+    messages: DataFrame,
+    sinks: Sequence[Sink],
+    checkpoint: str,
+    model: PipelineModel | None = None,
+    metrics: str | None = None,
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Start the stream; without a model it only persists readings.
+
+    ``trigger`` takes the arguments of ``DataStreamWriter.trigger``; by default each batch starts
+    as soon as the one before has ended.
+    """
+    writer = (
+        read_stream(messages, model)
+        .writeStream.foreachBatch(fan_out(sinks, checkpoint, metrics))
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+    )
+    return (writer.trigger(**trigger) if trigger else writer).start()

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sensorloom.functions.lineprotocol import line_protocol
-from sensorloom.functions.numbers import any_of, is_missing
+from sensorloom.functions.numbers import any_of, finite, is_missing
 from sensorloom.functions.times import epoch_nanos
 from sensorloom.schemas import FEATURES, MEASUREMENT, PREDICTED, READING, SCORED
 
@@ -66,7 +66,8 @@ def to_line_protocol(
         {c: F.col(c) for c in fields},
         epoch_nanos(F.col(ts), df.schema[ts].dataType),
     )
-    return df.select(*keep, line.alias("line")).filter(F.col("line").isNotNull())
+    has_field = any_of(finite(F.col(c)).isNotNull() for c in fields)
+    return df.filter(has_field).select(*keep, line.alias("line"))
 
 
 def latest_per_point(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str]) -> DataFrame:
@@ -74,5 +75,4 @@ def latest_per_point(df: DataFrame, keys: Sequence[str], order: str, values: Seq
 
     An aggregate, not a window, so that copies of one point are combined before the shuffle.
     """
-    newest = F.max_by(F.struct(*values), F.col(order))
-    return df.groupBy(*keys).agg(newest.alias("newest")).select(*keys, "newest.*")
+    return df.groupBy(*keys).agg(*[F.max_by(v, order).alias(v) for v in values])

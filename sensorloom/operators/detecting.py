@@ -24,6 +24,10 @@ def _is_spike(order: WindowSpec, value: str, n: int, threshold: float) -> Column
     return F.coalesce((F.count(value).over(trailing) == n) & far, F.lit(False))
 
 
+def _so_far(order: WindowSpec) -> WindowSpec:
+    return order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def _starts_run(order: WindowSpec, value: str) -> Column:
     """1 on a piece's first reading and wherever the value is not the previous one's, else 0."""
     first = F.row_number().over(order) == 1
@@ -59,11 +63,11 @@ def partial_runs(
     marked = cut.withColumn("_starts", _starts_run(order, value)).withColumn(
         "_last", F.lead(F.lit(True)).over(order).isNull()
     )
+    # The value is one per run; as a grouping column it keeps the aggregate hash-based.
     return (
-        marked.withColumn("run", F.sum("_starts").over(order))
-        .groupBy(key, "piece", "run")
+        marked.withColumn("run", F.sum("_starts").over(_so_far(order)))
+        .groupBy(key, "piece", "run", value)
         .agg(
-            F.min(value).alias(value),
             F.min(ts).alias("start"),
             F.max(ts).alias("end"),
             F.count("*").alias("readings"),
@@ -92,10 +96,9 @@ def stitched_runs(partials: DataFrame, key: str, value: str) -> DataFrame:
         "_latest", F.col("edge") & F.lead(F.lit(True)).over(order).isNull()
     )
     return (
-        marked.withColumn("_whole", F.sum("_starts").over(order))
-        .groupBy(key, "_lane", "_whole")
+        marked.withColumn("_whole", F.sum("_starts").over(_so_far(order)))
+        .groupBy(key, "_lane", "_whole", value)
         .agg(
-            F.min(value).alias(value),
             F.min("start").alias("start"),
             F.max("end").alias("end"),
             F.sum("readings").alias("readings"),
@@ -152,7 +155,7 @@ def label_anomalies(
     numbered = cut.withColumn("is_spike", _is_spike(order, value, n, threshold)).withColumn(
         "_starts", _starts_run(order, repeated)
     )
-    sized = numbered.withColumn("_run", F.sum("_starts").over(order)).withColumn(
+    sized = numbered.withColumn("_run", F.sum("_starts").over(_so_far(order))).withColumn(
         "is_stuck", (F.count("*").over(same_run) >= min_readings) & F.col(repeated).isNotNull()
     )
     either = (F.col("is_spike") | F.col("is_stuck")).cast("int")

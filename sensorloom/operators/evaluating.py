@@ -14,10 +14,12 @@ def evaluate(
 
     On rare anomalies the weighted F1 is high even for a model that never finds one, so the
     anomaly class's own F1 stands next to it. All three come from the confusion counts: the
-    predictions are computed once, and everything after the first aggregate is a few rows.
+    predictions are computed once, and everything after the first aggregate is a few rows. A null
+    prediction is a miss; rows without a label are left out.
     """
     confusion = (
-        df.groupBy(F.col(label).cast("int").alias("actual"), F.col(prediction).cast("int").alias("predicted"))
+        df.filter(F.col(label).isNotNull())
+        .groupBy(F.col(label).cast("int").alias("actual"), F.col(prediction).cast("int").alias("predicted"))
         .agg(F.count("*").alias("n"))
     )
     hit = F.col("actual") == F.col("predicted")

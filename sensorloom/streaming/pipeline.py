@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorloom.operators.codec import decode_json, is_valid
@@ -18,11 +18,13 @@ METRICS = "batch_id bigint, readings bigint, rejected bigint, anomalies bigint"
 
 
 def read_stream(messages: DataFrame, model: PipelineModel | None = None) -> DataFrame:
-    """Messages to readings with the raw ``value``, a ``valid`` flag and, given a model, a prediction.
+    """Messages to readings with a ``valid`` flag and, given a model, a prediction.
 
-    Works on a stream and on a batch alike. Rejected rows keep a null prediction.
+    Works on a stream and on a batch alike. Only rejected rows keep their raw ``value``, and their
+    prediction is null.
     """
-    readings = decode_json(messages, keep=("value",)).withColumn("valid", is_valid())
+    parsed = decode_json(messages, keep=("value",)).withColumn("valid", is_valid())
+    readings = parsed.withColumn("value", F.when(~F.col("valid"), F.col("value")))
     if model is None:
         return readings
     predicted = F.when(F.col("valid"), F.col("prediction").cast("int"))
@@ -34,31 +36,32 @@ def checkpoint_run(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0])["id"]
 
 
-def measured(frame: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count a batch's rows while something else evaluates it, instead of in jobs of its own."""
-    anomalies = F.count_if(F.col(PREDICTED) == 1) if PREDICTED in frame.columns else F.count_if(F.lit(False))
-    seen = Observation()
-    counts = [F.count("*").alias("readings"), F.count_if(~F.col("valid")).alias("rejected"), anomalies.alias("anomalies")]
-    return frame.observe(seen, *counts), seen
+def batch_counts(frame: DataFrame) -> DataFrame:
+    """All of a batch's counts in one pass: ``readings``, ``rejected`` and ``anomalies``."""
+    anomalous = F.col(PREDICTED) == 1 if PREDICTED in frame.columns else F.lit(False)
+    return frame.agg(
+        F.count("*").alias("readings"),
+        F.count_if(~F.col("valid")).alias("rejected"),
+        F.count_if(anomalous).alias("anomalies"),
+    )
 
 
 def fan_out(sinks: Sequence[Sink], checkpoint: str, metrics: str | None = None) -> Callable[[DataFrame, int], None]:
-    """The function for ``foreachBatch``: persist once, write to all sinks, then record the counts."""
+    """The function for ``foreachBatch``: persist and count once, write to all sinks, record the counts."""
     runs: list[str] = []
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if not runs:
             runs.append(checkpoint_run(spark, checkpoint))
-        frame, seen = measured(batch)
-        frame = frame.persist()
+        frame = batch.persist()
         try:
-            if frame.isEmpty():
+            counts = batch_counts(frame).first()
+            if counts["readings"] == 0:
                 return
             write_batch(frame, batch_id, sinks, runs[0])
             if metrics:
-                counted = {"batch_id": batch_id, **seen.get}
-                row = spark.createDataFrame([counted], METRICS)
+                row = spark.createDataFrame([(batch_id, *counts)], METRICS)
                 row.coalesce(1).write.mode("overwrite").parquet(f"{metrics}/run={runs[0]}/batch={batch_id}")
         finally:
             frame.unpersist()

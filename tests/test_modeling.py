@@ -1,0 +1,140 @@
+import math
+
+import pytest
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.sql import functions as F
+
+from sensorloom.operators import modeling, splitting
+from sensorloom.operators.evaluating import evaluate
+from sensorloom.operators.profiles import baseline, daily_profile, feature_stats, residual
+from sensorloom.plans import inputs
+
+SCHEMA = "temperature float, humidity float, is_anomaly int"
+
+
+@pytest.fixture(scope="module")
+def rows(spark, sf_dir):
+    return inputs.readings(spark, sf_dir).persist()
+
+
+@pytest.fixture(scope="module")
+def model(rows):
+    return modeling.train(rows, partitions=4, trees=20, depth=5)
+
+
+def test_the_forest_finds_the_anomalies(rows, model):
+    quality = evaluate(modeling.score(model, rows)).first()
+    assert quality["accuracy"] > 0.97 and quality["f1_anomaly"] > 0.7
+
+
+def test_full_size_settings():
+    *_, forest = modeling.anomaly_pipeline().getStages()
+    assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getSeed()) == (100, 10, 42)
+    assert (forest.getMaxBins(), forest.getImpurity(), forest.getSubsamplingRate()) == (32, "gini", 1.0)
+
+
+def test_saved_model_predicts_the_same(spark, rows, model, tmp_path):
+    modeling.save_model(model, str(tmp_path / "m"))
+    modeling.save_model(model, str(tmp_path / "m"))  # replaces
+    loaded = modeling.load_model(spark, str(tmp_path / "m"))
+    before = modeling.score(model, rows).withColumnRenamed("prediction", "before")
+    assert modeling.score(loaded, before).filter("before <> prediction").count() == 0
+
+
+def test_a_missing_feature_gives_a_null_prediction(spark, model):
+    bad = [(None, 1.0, 0), (1.0, math.nan, 0), (math.inf, 1.0, 0), (1.0, 1.0, 0)]
+    scored = modeling.score(model, spark.createDataFrame(bad, SCHEMA)).collect()
+    assert [r["prediction"] is None for r in scored] == [True, True, False, False]
+
+
+def test_assembling_and_training_reject_missing_values(spark):
+    for bad in ([(None, 1.0, 0)], [(math.nan, 1.0, 0)]):
+        with pytest.raises((PySparkException, Py4JError)):
+            modeling.assemble(spark.createDataFrame(bad, SCHEMA)).collect()
+    with pytest.raises((PySparkException, Py4JError)):
+        modeling.train(spark.createDataFrame([(1.0, 1.0, None), (2.0, 2.0, 1)], SCHEMA), trees=2, depth=2)
+
+
+def test_a_constant_feature_scales_to_zero(spark):
+    scaled = modeling.standardise(spark.createDataFrame([(5.0, 1.0, 0), (5.0, 3.0, 0)], SCHEMA))
+    values = [tuple(r) for r in modeling.vector_columns(scaled, modeling.SCALED, ["t", "h"], []).collect()]
+    assert [t for t, _ in values] == [0.0, 0.0]
+    assert [h for _, h in values] == pytest.approx([-math.sqrt(0.5), math.sqrt(0.5)])
+
+
+def _evaluator(df, metric, **settings):
+    return MulticlassClassificationEvaluator(labelCol="is_anomaly", predictionCol="prediction", metricName=metric, **settings).evaluate(df)
+
+
+@pytest.mark.parametrize(
+    "pairs",
+    [
+        [(0, 0.0)] * 90 + [(1, 1.0)] * 5 + [(1, 0.0)] * 3 + [(0, 1.0)] * 2,
+        [(0, 0.0)] * 95 + [(1, 0.0)] * 5,
+        [(0, 0.0)] * 4,
+        [(1, 0.0)] * 4,
+        [(0, 0.0), (1, 2.0), (2, 2.0), (2, 1.0), (2, 2.0)],
+    ],
+)
+def test_metrics_equal_the_ml_evaluator(spark, pairs):
+    df = spark.createDataFrame(pairs, "is_anomaly int, prediction double")
+    got = evaluate(df).first()
+    assert got["accuracy"] == pytest.approx(_evaluator(df, "accuracy"))
+    assert got["f1_weighted"] == pytest.approx(_evaluator(df, "f1"))
+    if any(1 in pair for pair in pairs):
+        assert got["f1_anomaly"] == pytest.approx(_evaluator(df, "fMeasureByLabel", metricLabel=1.0))
+
+
+def test_a_missing_prediction_is_a_miss(spark):
+    df = spark.createDataFrame([(0, 0.0), (1, None), (None, 1.0)], "is_anomaly int, prediction double")
+    got = evaluate(df).first()
+    assert (got["accuracy"], got["f1_anomaly"]) == (0.5, 0.0)
+
+
+def test_always_normal_has_a_high_weighted_f1_only(spark):
+    df = spark.createDataFrame([(0, 0.0)] * 95 + [(1, 0.0)] * 5, "is_anomaly int, prediction double")
+    got = evaluate(df).first()
+    assert got["f1_weighted"] > 0.9 and got["f1_anomaly"] == 0.0
+
+
+def test_splits_are_disjoint_and_complete(rows):
+    for train, test in (splitting.split_random(rows), splitting.split_keyed(rows, "event_id")):
+        left, right = ({r["event_id"] for r in part.select("event_id").collect()} for part in (train, test))
+        assert not left & right and len(left | right) == rows.count()
+        assert 0.7 < len(left) / rows.count() < 0.9
+
+
+def test_keyed_split_ignores_the_layout(rows):
+    first, again = (splitting.split_keyed(df, "event_id")[0] for df in (rows, rows.repartition(7)))
+    assert {r[0] for r in first.select("event_id").collect()} == {r[0] for r in again.select("event_id").collect()}
+
+
+def test_keyed_split_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None,), (1,)], "event_id int")
+    train, test = splitting.split_keyed(df, "event_id")
+    assert train.count() + test.count() == 2
+
+
+def test_baseline_of_one_reading_has_no_spread(spark):
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("b", 1.0, 2.0), ("b", 3.0, 2.0)], "sensor_id string, temperature float, humidity float")
+    got = {r["sensor_id"]: r for r in baseline(df).collect()}
+    assert got["a"]["temperature_std"] is None and got["a"]["readings"] == 1
+    assert got["b"]["temperature_std"] == pytest.approx(math.sqrt(2)) and got["b"]["humidity_std"] == 0
+    assert feature_stats(df).first()["temperature_mean"] == pytest.approx(5 / 3)
+
+
+@pytest.mark.parametrize("broadcast_rows", [200_000, 7, 0])
+def test_residual_is_the_same_for_every_join(rows, broadcast_rows):
+    gaps = residual(rows, daily_profile(rows).persist(), broadcast_rows=broadcast_rows)
+    assert gaps.count() == rows.count()
+    sums = gaps.groupBy("sensor_id", "hour").agg(F.sum("temperature_residual").alias("s")).agg(F.max(F.abs("s"))).first()[0]
+    assert sums == pytest.approx(0, abs=1e-6)
+
+
+def test_residual_keeps_readings_without_a_profile(spark):
+    df = spark.sql("select * from values ('a', timestamp_ntz'2025-01-01 05:00:00', 1f, 2f), (null, timestamp_ntz'2025-01-01 05:00:00', 1f, 2f), ('b', null, 1f, 2f) as t(sensor_id, ts, temperature, humidity)")
+    profile = daily_profile(df.filter("sensor_id = 'a'"))
+    for limit in (10, 0):
+        assert {(r["sensor_id"], r["temperature_residual"]) for r in residual(df, profile, broadcast_rows=limit).collect()} == {("a", 0.0), (None, None), ("b", None)}

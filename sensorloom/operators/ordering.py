@@ -36,9 +36,12 @@ def with_position(df: DataFrame, order: Sequence[str], position: str = "position
     )
 
 
-def largest_group(df: DataFrame, key: str) -> int:
-    """Rows of the most frequent key; reads only the key column and combines before the shuffle."""
-    return df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+def busy_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows: at most ``1 / rows_per_task`` of all rows.
+
+    Reads only the key column and combines before the shuffle. Null counts as a key.
+    """
+    return df.groupBy(key).count().filter(F.col("count") > rows_per_task).select(F.col(key).alias("_busy"))
 
 
 def in_pieces(
@@ -49,24 +52,28 @@ def in_pieces(
     after: int = 0,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Cut each key's ordered history into ``piece``s that one task can hold.
+    """Cut the ordered history of busy keys into ``piece``s that one task can hold.
 
     Each piece also gets copies of the ``before`` rows ahead of it and the ``after`` rows behind
     it, with ``own`` false, so that a window over ``(key, piece)`` sees for every own row what a
-    window over the whole history would see within that distance. If no key has more than
-    ``rows_per_task`` rows, each key is one piece and nothing is sorted or copied here.
+    window over the whole history would see within that distance. A key with at most
+    ``rows_per_task`` rows is one piece; its rows are not sorted, written or copied here.
     """
-    if largest_group(df, key) <= rows_per_task:
-        return df.withColumn("piece", F.lit(0).cast("bigint")).withColumn("own", F.lit(True))
+    whole = df.withColumn("piece", F.lit(0).cast("bigint")).withColumn("own", F.lit(True))
+    busy = written(busy_keys(df, key, rows_per_task), "busy")
+    if busy.isEmpty():
+        return whole
 
-    placed = with_position(df, [key, *order], "_position")
+    is_busy = F.col(key).eqNullSafe(F.col("_busy"))
+    listed = F.broadcast(busy)  # bounded, see busy_keys
+    placed = with_position(df.join(listed, is_busy, "left_semi"), [key, *order], "_position")
 
     def piece_of(offset: int):
         return F.expr(f"greatest(_position + {offset}, 0) div {rows_per_task}")
 
-    own = F.col("piece") == piece_of(0)
     if before or after:
         pieces = F.explode(F.sequence(piece_of(-after), piece_of(before)))
     else:
         pieces = piece_of(0)
-    return placed.withColumn("piece", pieces).withColumn("own", own).drop("_position")
+    cut = placed.withColumn("piece", pieces).withColumn("own", F.col("piece") == piece_of(0))
+    return whole.join(listed, is_busy, "left_anti").unionByName(cut.drop("_position"))

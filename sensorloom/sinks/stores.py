@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sensorloom.operators.codec import to_line_protocol
@@ -85,23 +87,33 @@ def read_store(spark: SparkSession, path: str, schema: T.StructType, file_format
     return spark.read.schema(schema).format(file_format).load(path).select(*schema.names)
 
 
+def _write(sink: Sink, frame: DataFrame, folder: str) -> None:
+    # A new thread has no active session, which is where formats registered from Python are looked up.
+    spark = frame.sparkSession
+    spark._jvm.SparkSession.setActiveSession(spark._jsparkSession)
+    writer = sink.rows(frame).write.format(sink.format).options(**sink.options)
+    if sink.path:
+        writer.mode("overwrite").save(f"{sink.path}/{folder}")
+    else:
+        writer.mode("append").save()
+
+
 def write_batch(frame: DataFrame, batch_id: int, sinks: Sequence[Sink], run: str) -> None:
-    """Write one batch to every sink; raise at the end if any of them failed.
+    """Write one batch to every sink at the same time; raise at the end if any of them failed.
 
     One failing store does not keep the batch from the others, but the failure is not swallowed
     either: the batch stays uncommitted and is replayed, so that no store misses its rows. ``run``
     keeps the folders of different checkpoints apart, as each numbers its batches from 0.
     """
     failures = []
-    for sink in sinks:
-        try:
-            writer = sink.rows(frame).write.format(sink.format).options(**sink.options)
-            if sink.path:
-                writer.mode("overwrite").save(f"{sink.path}/run={run}/batch={batch_id}")
-            else:
-                writer.mode("append").save()
-        except Exception as failure:
-            failure.add_note(f"while writing batch {batch_id} to sink {sink.name}")
-            failures.append(failure)
+    folder = f"run={run}/batch={batch_id}"
+    with ThreadPoolExecutor(max(1, len(sinks))) as pool:
+        write = inheritable_thread_target(frame.sparkSession)(_write)
+        jobs = [pool.submit(write, sink, frame, folder) for sink in sinks]
+        for sink, job in zip(sinks, jobs):
+            failure = job.exception()
+            if failure is not None:
+                failure.add_note(f"while writing batch {batch_id} to sink {sink.name}")
+                failures.append(failure)
     if failures:
         raise ExceptionGroup(f"batch {batch_id}: {len(failures)} of {len(sinks)} sinks failed", failures)

@@ -8,14 +8,15 @@ from pyspark.sql import Column, functions as F
 
 from sensorloom.functions.numbers import finite
 
-# Characters the line protocol reserves in names and tag values.
-RESERVED = r"([,= ])"
-RESERVED_IN_MEASUREMENT = r"([, ])"
+# Characters the line protocol reserves in names and tag values, and line breaks.
+RESERVED = {",": "\\,", "=": "\\=", " ": "\\ ", "\n": "\\n", "\r": "\\r"}
+RESERVED_IN_MEASUREMENT = {c: escape for c, escape in RESERVED.items() if c != "="}
 
 
-def _escaped(text: Column, reserved: str = RESERVED) -> Column:
-    one_line = F.regexp_replace(text, r"\r?\n", r"\\n")
-    return F.regexp_replace(one_line, reserved, r"\\$1")
+def _escaped(text: Column, reserved: Mapping[str, str] = RESERVED) -> Column:
+    for character, escape in reserved.items():
+        text = F.replace(text, F.lit(character), F.lit(escape))
+    return text
 
 
 def line_protocol(
@@ -36,5 +37,6 @@ def line_protocol(
         for name, value in fields.items()
     ]
     head = F.concat_ws(",", _escaped(measurement, RESERVED_IN_MEASUREMENT), *tag_parts)
-    body = F.concat_ws(",", *field_parts)
-    return F.when(body != "", F.concat_ws(" ", head, body, nanos.cast("string")))
+    body = F.nullif(F.concat_ws(",", *field_parts), F.lit(""))
+    time = F.coalesce(F.concat(F.lit(" "), nanos.cast("string")), F.lit(""))
+    return F.concat(head, F.lit(" "), body, time)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-from sensorloom.schemas import ISO_SECONDS, ISO_SECONDS_ZONED
+from sensorloom.schemas import ISO_SECONDS
 
 
 def to_iso(ts: Column) -> Column:
@@ -12,8 +12,8 @@ def to_iso(ts: Column) -> Column:
 
 
 def from_iso(text: Column) -> Column:
-    """Null where the text is not a timestamp."""
-    return F.try_to_timestamp(text, F.lit(ISO_SECONDS_ZONED))
+    """Null where the text is not a timestamp. Fractions and other zones than ``Z`` are understood."""
+    return text.try_cast("timestamp")
 
 
 def epoch_nanos(ts: Column, dtype: T.DataType) -> Column:

@@ -63,17 +63,31 @@ def train(
     features: Sequence[str] = FEATURES,
     label: str = LABEL,
     partitions: int | None = None,
+    combine_equal: bool = False,
     **forest: int,
 ) -> PipelineModel:
     """Fit the pipeline on the columns it needs.
 
     The forest visits the rows once per tree level with the input's own parallelism; give
     ``partitions`` where the source has fewer than the cluster has cores (a single file, say).
+
+    It also keeps one sampling count per row and tree, far more than the reading itself. For
+    very long histories ``combine_equal`` turns equal readings into one weighted row first:
+    readings have two decimals, so there are only so many. All readings still count, but the
+    trees' random samples are then drawn from the distinct ones.
     """
     rows = df.select(*features, label)
     if partitions:
         rows = rows.repartition(partitions)
-    return anomaly_pipeline(features, label, **forest).fit(rows)
+    pipeline = anomaly_pipeline(features, label, **forest)
+    if not combine_equal:
+        return pipeline.fit(rows)
+    assembler, scaler, trees = pipeline.getStages()
+    # The scaler knows no weights, so it is fitted on the single readings.
+    scaling = scaler.fit(assembler.transform(rows.select(*features)))
+    combined = rows.groupBy(*features, label).agg(F.count("*").cast("double").alias("weight"))
+    grown = trees.setWeightCol("weight").fit(scaling.transform(assembler.transform(combined)))
+    return PipelineModel([assembler, scaling, grown])
 
 
 def score(model: PipelineModel, df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:

@@ -60,12 +60,12 @@ def in_pieces(
     ``rows_per_task`` rows is one piece; its rows are not sorted, written or copied here.
     """
     whole = df.withColumn("piece", F.lit(0).cast("bigint")).withColumn("own", F.lit(True))
-    busy = written(busy_keys(df, key, rows_per_task), "busy")
+    busy = busy_keys(df, key, rows_per_task)
     if busy.isEmpty():
         return whole
 
     is_busy = F.col(key).eqNullSafe(F.col("_busy"))
-    listed = F.broadcast(busy)  # bounded, see busy_keys
+    listed = F.broadcast(written(busy, "busy"))  # bounded, see busy_keys
     placed = with_position(df.join(listed, is_busy, "left_semi"), [key, *order], "_position")
 
     def piece_of(offset: int):

@@ -26,8 +26,12 @@ from sensorloom.streaming.pipeline import run_stream
 
 
 def train_job(
-    spark: SparkSession, history: str, model_path: str, split_key: str | None = None, partitions: int | None = None,
-    **forest: int,
+    spark: SparkSession,
+    history: str,
+    model_path: str,
+    split_key: str | None = None,
+    partitions: int | None = None,
+    **training: int | bool,
 ) -> DataFrame:
     """Train on four fifths of a CSV history, store the model, and return its quality on the rest.
 
@@ -40,7 +44,7 @@ def train_job(
         rows = written(csv_source(spark, history).select(*columns), "history")
         usable = rows.dropna(subset=[*FEATURES, LABEL])
         train_part, test_part = split_keyed(usable, split_key) if split_key else split_random(usable)
-        model = train(train_part, partitions=partitions, **forest)
+        model = train(train_part, partitions=partitions, **training)
         save_model(model, model_path)
         quality = evaluate(score(model, test_part)).first()
         total, trained, kept = rows.count(), train_part.count(), usable.count()
@@ -77,6 +81,7 @@ def _arguments() -> argparse.ArgumentParser:
     training.add_argument("--model", required=True)
     training.add_argument("--split-key")
     training.add_argument("--partitions", type=int)
+    training.add_argument("--combine-equal", action="store_true", help="train on distinct readings with weights")
     for name, text in (("score", "score the stream and store the results"), ("persist", "store the stream unscored")):
         stream = jobs.add_parser(name, help=text)
         stream.add_argument("--out", required=True, help="folder for path-based stores and rejected messages")
@@ -100,7 +105,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = _arguments().parse_args(argv)
     spark = session(f"sensorloom-{args.job}")
     if args.job == "train":
-        train_job(spark, args.history, args.model, args.split_key, args.partitions).show(truncate=False)
+        train_job(spark, args.history, args.model, args.split_key, args.partitions, combine_equal=args.combine_equal).show(truncate=False)
         return
     model = load_model(spark, args.model) if args.job == "score" else None
     trigger = {"availableNow": True} if args.until_caught_up else None

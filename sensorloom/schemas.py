@@ -32,4 +32,3 @@ LABEL = "is_anomaly"
 PREDICTED = "is_anomaly_predicted"
 MEASUREMENT = "sensor_measurement"
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-ISO_SECONDS_ZONED = "yyyy-MM-dd'T'HH:mm:ssX"

@@ -29,6 +29,17 @@ def test_the_forest_finds_the_anomalies(rows, model):
     assert quality["accuracy"] > 0.97 and quality["f1_anomaly"] > 0.7
 
 
+def test_combining_equal_readings_keeps_all_of_them(rows):
+    tripled = rows.unionAll(rows).unionAll(rows)
+    model = modeling.train(tripled, combine_equal=True, trees=20, depth=5)
+    quality = evaluate(modeling.score(model, rows)).first()
+    assert quality["accuracy"] > 0.97 and quality["f1_anomaly"] > 0.7
+    _, scaling, _ = model.stages
+    stats = feature_stats(tripled).first()
+    assert list(scaling.mean) == pytest.approx([stats["temperature_mean"], stats["humidity_mean"]])
+    assert list(scaling.std) == pytest.approx([stats["temperature_std"], stats["humidity_std"]])
+
+
 def test_full_size_settings():
     *_, forest = modeling.anomaly_pipeline().getStages()
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getSeed()) == (100, 10, 42)

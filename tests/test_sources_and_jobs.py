@@ -151,9 +151,10 @@ def test_persisting_as_a_job(spark, tmp_path, sf_dir):
 def test_the_training_command(spark, tmp_path, sf_dir, capsys):
     history = str(tmp_path / "history")
     csv_sink(inputs.readings(spark, sf_dir).select(*LABELLED.names), history)
-    with mock.patch.object(jobs, "train_job", wraps=lambda *a: jobs_report(spark)) as called:
-        jobs.main(["train", "--history", history, "--model", "m", "--split-key", "timestamp"])
+    with mock.patch.object(jobs, "train_job", wraps=lambda *a, **k: jobs_report(spark)) as called:
+        jobs.main(["train", "--history", history, "--model", "m", "--split-key", "timestamp", "--combine-equal"])
     assert called.call_args.args[1:] == (history, "m", "timestamp", None)
+    assert called.call_args.kwargs == {"combine_equal": True}
 
 
 def jobs_report(spark):

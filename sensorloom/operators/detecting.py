@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
 from sensorloom.operators.ordering import ROWS_PER_TASK, in_pieces
+from sensorloom.schemas import LABEL
 
 # Readings a stuck sensor repeats at least, and the smallest jump of a spike.
 STUCK_READINGS = 15
@@ -49,9 +50,9 @@ def spikes(
     A reading with fewer than ``n`` non-null readings among those is not judged.
     """
     cut = in_pieces(df, key, [ts, id], before=n, rows_per_task=rows_per_task)
-    order = Window.partitionBy(key, "piece").orderBy(ts, id)
+    order = Window.partitionBy(key, "_piece").orderBy(ts, id)
     marked = cut.withColumn("_spike", _is_spike(order, value, n, threshold))
-    return marked.filter(F.col("_spike") & F.col("own")).select(*df.columns)
+    return marked.filter(F.col("_spike") & F.col("_own")).select(*df.columns)
 
 
 def partial_runs(
@@ -59,14 +60,14 @@ def partial_runs(
 ) -> DataFrame:
     """Runs of equal values inside each piece; ``edge`` marks those touching a piece's border."""
     cut = in_pieces(df.select(key, ts, id, value), key, [ts, id], rows_per_task=rows_per_task)
-    order = Window.partitionBy(key, "piece").orderBy(ts, id)
+    order = Window.partitionBy(key, "_piece").orderBy(ts, id)
     marked = cut.withColumn("_starts", _starts_run(order, value)).withColumn(
         "_last", F.lead(F.lit(True)).over(order).isNull()
     )
     # The value is one per run; as a grouping column it keeps the aggregate hash-based.
     return (
         marked.withColumn("run", F.sum("_starts").over(_so_far(order)))
-        .groupBy(key, "piece", "run", value)
+        .groupBy(key, "_piece", "run", value)
         .agg(
             F.min(ts).alias("start"),
             F.max(ts).alias("end"),
@@ -85,13 +86,13 @@ def stitched_runs(partials: DataFrame, key: str, value: str) -> DataFrame:
     Only edge runs, at most two per piece, are brought together per key. All others stay apart by
     piece, so a busy key is not gathered in one task here either.
     """
-    order = Window.partitionBy(key, "_lane").orderBy("piece", "run")
+    order = Window.partitionBy(key, "_lane").orderBy("_piece", "run")
     continues = (
         F.col("edge")
-        & (F.lag("piece").over(order) != F.col("piece"))
+        & (F.lag("_piece").over(order) != F.col("_piece"))
         & F.col(value).eqNullSafe(F.lag(value).over(order))
     )
-    laned = partials.withColumn("_lane", F.when(~F.col("edge"), F.col("piece")))
+    laned = partials.withColumn("_lane", F.when(~F.col("edge"), F.col("_piece")))
     marked = laned.withColumn("_starts", F.when(continues, 0).otherwise(1)).withColumn(
         "_latest", F.col("edge") & F.lead(F.lit(True)).over(order).isNull()
     )
@@ -141,7 +142,7 @@ def label_anomalies(
     min_readings: int = STUCK_READINGS,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Add ``is_spike``, ``is_stuck`` and ``is_anomaly`` (either, as 0/1) to every reading.
+    """Add ``is_spike``, ``is_stuck`` and the label ``is_anomaly`` (either, as 0/1) to every reading.
 
     ``repeated`` is the column watched for repeats if it is not ``value``. A reading is in a run of
     ``min_readings`` exactly if it is in one within ``min_readings - 1`` readings to both sides, so
@@ -150,8 +151,8 @@ def label_anomalies(
     repeated = repeated or value
     reach = min_readings - 1
     cut = in_pieces(df, key, [ts, id], max(n, reach), reach, rows_per_task)
-    order = Window.partitionBy(key, "piece").orderBy(ts, id)
-    same_run = Window.partitionBy(key, "piece", "_run")
+    order = Window.partitionBy(key, "_piece").orderBy(ts, id)
+    same_run = Window.partitionBy(key, "_piece", "_run")
     numbered = cut.withColumn("is_spike", _is_spike(order, value, n, threshold)).withColumn(
         "_starts", _starts_run(order, repeated)
     )
@@ -159,4 +160,5 @@ def label_anomalies(
         "is_stuck", (F.count("*").over(same_run) >= min_readings) & F.col(repeated).isNotNull()
     )
     either = (F.col("is_spike") | F.col("is_stuck")).cast("int")
-    return sized.filter("own").select(*df.columns, "is_spike", "is_stuck", either.alias("is_anomaly"))
+    kept = [c for c in df.columns if c not in ("is_spike", "is_stuck", LABEL)]
+    return sized.filter("_own").select(*kept, "is_spike", "is_stuck", either.alias(LABEL))

@@ -69,7 +69,8 @@ def train(
     """Fit the pipeline on the columns it needs.
 
     The forest visits the rows once per tree level with the input's own parallelism; give
-    ``partitions`` where the source has fewer than the cluster has cores (a single file, say).
+    ``partitions`` where that is less than the cluster has cores (a single file, say, or combined
+    readings that adaptive execution has merged into few partitions).
 
     It also keeps one sampling count per row and tree, far more than the reading itself. For
     very long histories ``combine_equal`` turns equal readings into one weighted row first:
@@ -77,16 +78,18 @@ def train(
     trees' random samples are then drawn from the distinct ones.
     """
     rows = df.select(*features, label)
-    if partitions:
-        rows = rows.repartition(partitions)
     pipeline = anomaly_pipeline(features, label, **forest)
+
+    def spread(frame: DataFrame) -> DataFrame:
+        return frame.repartition(partitions) if partitions else frame
+
     if not combine_equal:
-        return pipeline.fit(rows)
+        return pipeline.fit(spread(rows))
     assembler, scaler, trees = pipeline.getStages()
     # The scaler knows no weights, so it is fitted on the single readings.
     scaling = scaler.fit(assembler.transform(rows.select(*features)))
     combined = rows.groupBy(*features, label).agg(F.count("*").cast("double").alias("weight"))
-    grown = trees.setWeightCol("weight").fit(scaling.transform(assembler.transform(combined)))
+    grown = trees.setWeightCol("weight").fit(scaling.transform(assembler.transform(spread(combined))))
     return PipelineModel([assembler, scaling, grown])
 
 

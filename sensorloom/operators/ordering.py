@@ -52,14 +52,14 @@ def in_pieces(
     after: int = 0,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Cut the ordered history of busy keys into ``piece``s that one task can hold.
+    """Cut the ordered history of busy keys into ``_piece``s that one task can hold.
 
     Each piece also gets copies of the ``before`` rows ahead of it and the ``after`` rows behind
-    it, with ``own`` false, so that a window over ``(key, piece)`` sees for every own row what a
+    it, with ``_own`` false, so that a window over ``(key, _piece)`` sees for every own row what a
     window over the whole history would see within that distance. A key with at most
     ``rows_per_task`` rows is one piece; its rows are not sorted, written or copied here.
     """
-    whole = df.withColumn("piece", F.lit(0).cast("bigint")).withColumn("own", F.lit(True))
+    whole = df.withColumn("_piece", F.lit(0).cast("bigint")).withColumn("_own", F.lit(True))
     busy = busy_keys(df, key, rows_per_task)
     if busy.isEmpty():
         return whole
@@ -75,5 +75,5 @@ def in_pieces(
         pieces = F.explode(F.sequence(piece_of(-after), piece_of(before)))
     else:
         pieces = piece_of(0)
-    cut = placed.withColumn("piece", pieces).withColumn("own", F.col("piece") == piece_of(0))
+    cut = placed.withColumn("_piece", pieces).withColumn("_own", F.col("_piece") == piece_of(0))
     return whole.join(listed, is_busy, "left_anti").unionByName(cut.drop("_position"))

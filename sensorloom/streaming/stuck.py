@@ -60,7 +60,7 @@ def stuck_runs_stream(
                     newest = rows.agg(F.max(ts)).first()[0] if forget_after else None
                     if newest is not None:
                         known = known.filter(F.col("end") >= F.lit(newest) - F.expr(f"interval {forget_after}"))
-                    before_all = {"piece": F.lit(-1).cast("bigint"), "run": F.lit(0).cast("bigint"),
+                    before_all = {"_piece": F.lit(-1).cast("bigint"), "run": F.lit(0).cast("bigint"),
                                   "carried": F.col("readings"), "edge": F.lit(True)}
                     partials = partials.unionByName(known.withColumns(before_all))
                 found = stitched_runs(partials, key, value).persist()

@@ -95,6 +95,19 @@ def test_any_cut_gives_the_walked_runs(spark, histories, rows_per_task, least):
     assert sorted(map(tuple, found.collect())) == _walked_stuck(histories, least)
 
 
+def test_labels_replace_older_ones(spark):
+    rows = _frame(spark, {"s": [1.0] * 3}).withColumn("is_anomaly", F.lit(0))
+    labelled = detecting.label_anomalies(rows, min_readings=3)
+    assert labelled.columns == ["sensor_id", "ts", "event_id", "temperature", "is_spike", "is_stuck", "is_anomaly"]
+    assert [r["is_anomaly"] for r in labelled.collect()] == [1, 1, 1]
+
+
+def test_a_busy_null_sensor_is_cut_too(spark):
+    rows = [(None, i, i, 1.0) for i in range(40)] + [("b", i, 100 + i, 1.0) for i in range(3)]
+    found = detecting.stuck_runs(spark.createDataFrame(rows, SCHEMA).repartition(3), rows_per_task=6)
+    assert [tuple(r) for r in found.collect()] == [(None, 0, 39, 40, 1.0)]
+
+
 def test_equal_timestamps_are_ordered_by_the_tie_break(spark):
     rows = [("s", 0, 2, 1.0), ("s", 0, 1, 5.0), ("s", 0, 3, 1.0), ("s", 0, 0, 1.0)]
     found = detecting.stuck_runs(spark.createDataFrame(rows, SCHEMA), min_readings=2)
@@ -113,7 +126,7 @@ def test_one_timestamp_for_a_whole_sensor(spark, rows_per_task):
 def test_no_piece_is_larger_than_asked(spark):
     rows = [("hot", i // 50, i, 0.0) for i in range(500)] + [("b", i, 1000 + i, 0.0) for i in range(20)]
     cut = in_pieces(spark.createDataFrame(rows, SCHEMA), "sensor_id", ["ts", "event_id"], before=3, after=2, rows_per_task=25)
-    sizes = cut.groupBy("sensor_id", "piece").agg(F.count("*").alias("all"), F.count_if("own").alias("own")).collect()
+    sizes = cut.groupBy("sensor_id", "_piece").agg(F.count("*").alias("all"), F.count_if("_own").alias("own")).collect()
     assert max(r["own"] for r in sizes) <= 25 and max(r["all"] for r in sizes) <= 30
     assert sum(r["own"] for r in sizes) == len(rows)
 

@@ -10,10 +10,10 @@ from sensorloom.schemas import LABEL
 def evaluate(
     df: DataFrame, label: str = LABEL, prediction: str = "prediction", anomaly: int = 1
 ) -> DataFrame:
-    """``accuracy``, ``f1_weighted`` (support-weighted over the classes) and ``f1_anomaly``.
+    """``readings``, ``accuracy``, ``f1_weighted`` (support-weighted over the classes), ``f1_anomaly``.
 
     On rare anomalies the weighted F1 is high even for a model that never finds one, so the
-    anomaly class's own F1 stands next to it. All three come from the confusion counts: the
+    anomaly class's own F1 stands next to it. All of them come from the confusion counts: the
     predictions are computed once, and everything after the first aggregate is a few rows. A null
     prediction is a miss; rows without a label are left out.
     """
@@ -36,6 +36,7 @@ def evaluate(
     )
     total = F.sum("support")
     return per_class.agg(
+        total.alias("readings"),
         (F.sum("hits2") / 2 / total).alias("accuracy"),
         (F.sum(F.col("f1") * F.col("support")) / total).alias("f1_weighted"),
         F.coalesce(F.max(F.when(F.col("class") == anomaly, F.col("f1"))), F.lit(0.0)).alias("f1_anomaly"),

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sensorloom.functions.numbers import any_of, is_missing
 from sensorloom.operators.evaluating import evaluate
 from sensorloom.operators.modeling import load_model, save_model, score, train
 from sensorloom.operators.splitting import split_keyed, split_random
@@ -42,14 +43,18 @@ def train_job(
     with scratch_scope(spark):
         columns = dict.fromkeys([*FEATURES, LABEL, *([split_key] if split_key else [])])
         rows = written(csv_source(spark, history).select(*columns), "history")
-        usable = rows.dropna(subset=[*FEATURES, LABEL])
+        needed = [*FEATURES, LABEL]
+        usable = rows.dropna(subset=needed)
         train_part, test_part = split_keyed(usable, split_key) if split_key else split_random(usable)
         model = train(train_part, partitions=partitions, **training)
         save_model(model, model_path)
         quality = evaluate(score(model, test_part)).first()
-        total, trained, kept = rows.count(), train_part.count(), usable.count()
-    report = {"rows": total, "unusable": total - kept, "train_rows": trained, "test_rows": kept - trained}
-    return spark.createDataFrame([{**report, **quality.asDict()}]).select(*report, *quality.asDict())
+        unusable = F.count_if(any_of(is_missing(F.col(c)) for c in needed))
+        total, bad = rows.agg(F.count("*"), unusable).first()
+    measures = quality.asDict()
+    tested = measures.pop("readings")
+    report = {"rows": total, "unusable": bad, "train_rows": total - bad - tested, "test_rows": tested, **measures}
+    return spark.createDataFrame([report]).select(*report)
 
 
 def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:

@@ -70,8 +70,10 @@ select event_id, round(coalesce((cast(temperature as double) - tm) / ts_, 0), 6)
 claims as (select prediction as c, count(*) as np from ruled group by 1),
 scores as (
   select l.c, n, tp, 2.0 * tp / (n + coalesce(np, 0)) as f1 from labels_ l left join claims p on l.c = p.c)
-select round(cast(sum(tp) as double) / sum(n), 6) as accuracy, round(sum(n * f1) / sum(n), 6) as f1_weighted,
+select cast(sum(n) as bigint) as readings, round(cast(sum(tp) as double) / sum(n), 6) as accuracy, round(sum(n * f1) / sum(n), 6) as f1_weighted,
   round(coalesce(max(case when c = 1 then f1 end), 0), 6) as f1_anomaly from scores""",
+    "holdout_quality": """select count(*) as readings, true as accurate, true as finds_anomalies from events
+  where cast('0x' || substr(md5(cast(event_id as varchar)), 1, 8) as bigint) % 100 >= 80""",
     "model_roundtrip": "select event_id, true as same from events",
     "score_stream": _READINGS + 'select event_id, "timestamp", sensor_id, temperature, humidity, true as same from readings',
     "sink_processed": _READINGS + _SCORED + " from ruled",

@@ -113,29 +113,38 @@ def train_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metrics = evaluate(inputs.ruled(spark, sf_dir))
-    return _rounded(metrics, metrics.columns)
+    return _rounded(evaluate(inputs.ruled(spark, sf_dir)), ["accuracy", "f1_weighted", "f1_anomaly"])
 
 
 # The model
 
 
-def _cores(spark: SparkSession) -> int:
-    """The test table is one file, which would train in one task."""
-    return spark.sparkContext.defaultParallelism
+def _spread(rows: DataFrame) -> int | None:
+    """As many partitions as there are cores, if the scan has fewer; a single file would train in one task."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return cores if rows.rdd.getNumPartitions() < cores else None
 
 
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full-size forest, trained on one part of the readings and scoring the other."""
     train, test = splitting.split_keyed(inputs.readings(spark, sf_dir), "event_id")
-    model = modeling.train(train, partitions=_cores(spark))
+    model = modeling.train(train, partitions=_spread(train))
     return codec.scored_columns(modeling.score(model, test), keep=["event_id", LABEL])
 
 
+def holdout_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a small forest does well on the readings it was not trained on."""
+    train, test = splitting.split_keyed(inputs.readings(spark, sf_dir), "event_id")
+    model = modeling.train(train, partitions=_spread(train), **SMALL_FOREST)
+    return evaluate(modeling.score(model, test)).select(
+        "readings", (F.col("accuracy") > 0.95).alias("accurate"), (F.col("f1_anomaly") > 0.5).alias("finds_anomalies")
+    )
+
+
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether each reading's prediction survives saving and loading the model."""
     rows = inputs.readings(spark, sf_dir)
-    model = modeling.train(rows, partitions=_cores(spark), **SMALL_FOREST)
+    model = modeling.train(rows, partitions=_spread(rows), **SMALL_FOREST)
     path = scratch(spark, "model")
     modeling.save_model(model, path)
     before = modeling.score(model, rows).withColumnRenamed("prediction", "before")
@@ -145,7 +154,8 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings scored on a stream, and whether scoring them in batch gives the same."""
-    model = modeling.train(inputs.readings(spark, sf_dir), partitions=_cores(spark), **SMALL_FOREST)
+    rows = inputs.readings(spark, sf_dir)
+    model = modeling.train(rows, partitions=_spread(rows), **SMALL_FOREST)
     arriving = inputs.staged(inputs.binary(inputs.messages(spark, sf_dir)), "messages")
     decoded = codec.decode_json(arriving, keep=["event_id"])
     path = scratch(spark, "scored")
@@ -292,6 +302,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_counts": train_counts,
     "eval_metrics": eval_metrics,
     "score_batch": score_batch,
+    "holdout_quality": holdout_quality,
     "model_roundtrip": model_roundtrip,
     "score_stream": score_stream,
     "sink_processed": sink_processed,

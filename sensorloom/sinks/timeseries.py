@@ -4,7 +4,8 @@ Each task sends its own partition's lines in requests of 500, so nothing passes
 driver. The database overwrites a point with equal measurement, tags and time, which makes
 retried tasks and replayed batches harmless.
 
-With ``url`` = ``file:/folder`` the same request bodies are written as files, for bulk imports.
+With ``url`` = ``file:/folder``, a folder all executors share, the same request bodies are written
+as files, for bulk imports.
 """
 
 from __future__ import annotations
@@ -58,7 +59,7 @@ def send(url: str, params: dict[str, str], token: str, lines: list[str]) -> None
         try:
             urllib.request.urlopen(urllib.request.Request(target, body, headers), timeout=60).close()
             return
-        except urllib.error.URLError as failure:
+        except OSError as failure:
             refused = isinstance(failure, urllib.error.HTTPError) and failure.code < 500 and failure.code != 429
             if refused or attempt == RETRIES:
                 raise

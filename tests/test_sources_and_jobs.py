@@ -129,7 +129,7 @@ def test_training_then_scoring_as_jobs(spark, tmp_path, sf_dir, split_key):
     csv_sink(rows.select(*LABELLED.names), history)
     report = jobs.train_job(spark, history, model, split_key, partitions=4, trees=10, depth=5).first()
     assert report["rows"] == report["train_rows"] + report["test_rows"] == rows.count() and report["unusable"] == 0
-    assert report["accuracy"] > 0.9
+    assert report["accuracy"] > 0.9 and 0.1 < report["test_rows"] / report["rows"] < 0.3
 
     encode_json(rows).select(inputs.F.col("value").cast("binary")).write.parquet(str(tmp_path / "in"))
     jobs.main(["score", "--files", str(tmp_path / "in"), "--model", model, "--out", out, "--checkpoint", str(tmp_path / "c1"), "--until-caught-up"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -93,18 +93,26 @@ def train(
     return PipelineModel([assembler, scaling, grown])
 
 
-def score(model: PipelineModel, df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+def score(
+    model: PipelineModel, df: DataFrame, features: Sequence[str] = FEATURES, also: Sequence[str] = ()
+) -> DataFrame:
     """Add ``prediction``; the same call for batch and streaming frames.
 
     A reading with a missing feature gets a null prediction. With the assembler's stored setting
-    one such reading would end the job, and with it the stream.
+    one such reading would end the job, and with it the stream. ``also`` takes the classifier's
+    other outputs, ``rawPrediction`` and ``probability``; left out, they are not computed.
     """
-    lenient = PipelineModel(
-        [s.copy({s.handleInvalid: "keep"}) if isinstance(s, VectorAssembler) else s for s in model.stages]
-    )
+
+    def adapted(stage):
+        if isinstance(stage, VectorAssembler):
+            return stage.copy({stage.handleInvalid: "keep"})
+        if isinstance(stage, RandomForestClassificationModel) and not also:
+            return stage.copy({stage.rawPredictionCol: "", stage.probabilityCol: ""})
+        return stage
+
     missing = any_of(is_missing(F.col(c)) for c in features)
-    predicted = F.when(~missing, F.col("prediction"))
-    return lenient.transform(df).select(*df.columns, predicted.alias("prediction"))
+    found = [F.when(~missing, F.col(c)).alias(c) for c in (*also, "prediction")]
+    return PipelineModel([adapted(s) for s in model.stages]).transform(df).select(*df.columns, *found)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -60,6 +60,15 @@ def test_a_missing_feature_gives_a_null_prediction(spark, model):
     assert [r["prediction"] is None for r in scored] == [True, True, False, False]
 
 
+def test_other_outputs_of_the_classifier_on_request(rows, model):
+    full = modeling.score(model, rows, also=["rawPrediction", "probability"])
+    assert full.columns == [*rows.columns, "rawPrediction", "probability", "prediction"]
+    assert modeling.score(model, full.withColumnRenamed("prediction", "before").drop("rawPrediction", "probability")).filter("before <> prediction").count() == 0
+    direct = model.transform(rows.withColumnRenamed("is_anomaly", "label"))
+    assert direct.groupBy("prediction").count().exceptAll(full.groupBy("prediction").count()).count() == 0
+    assert full.filter(F.round(F.element_at(modeling.vector_to_array("probability"), 1) + F.element_at(modeling.vector_to_array("probability"), 2), 6) != 1).count() == 0
+
+
 def test_assembling_and_training_reject_missing_values(spark):
     for bad in ([(None, 1.0, 0)], [(math.nan, 1.0, 0)]):
         with pytest.raises((PySparkException, Py4JError)):

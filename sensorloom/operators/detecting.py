@@ -3,6 +3,9 @@
 A spike is a jump away from the sensor's recent mean in one reading. A stuck sensor repeats one
 value over consecutive readings. Both depend on the order of one sensor's readings, and a busy
 sensor's history can be too long for one task; see :func:`in_pieces` for how it is cut.
+
+``id`` breaks ties between readings of one time, as a message offset does. Where there is none, give
+the time column; equal times of one sensor are then in no particular order.
 """
 
 from __future__ import annotations
@@ -59,7 +62,8 @@ def partial_runs(
     df: DataFrame, key: str, ts: str, id: str, value: str, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Runs of equal values inside each piece; ``edge`` marks those touching a piece's border."""
-    cut = in_pieces(df.select(key, ts, id, value), key, [ts, id], rows_per_task=rows_per_task)
+    needed = df.select(*dict.fromkeys([key, ts, id, value]))
+    cut = in_pieces(needed, key, [ts, id], rows_per_task=rows_per_task)
     order = Window.partitionBy(key, "_piece").orderBy(ts, id)
     marked = cut.withColumn("_starts", _starts_run(order, value)).withColumn(
         "_last", F.lead(F.lit(True)).over(order).isNull()

@@ -58,6 +58,8 @@ def in_pieces(
     it, with ``_own`` false, so that a window over ``(key, _piece)`` sees for every own row what a
     window over the whole history would see within that distance. A key with at most
     ``rows_per_task`` rows is one piece; its rows are not sorted, written or copied here.
+
+    ``df`` is read several times, so it should be a stored table or persisted.
     """
     whole = df.withColumn("_piece", F.lit(0).cast("bigint")).withColumn("_own", F.lit(True))
     busy = busy_keys(df, key, rows_per_task)

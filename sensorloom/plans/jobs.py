@@ -1,6 +1,6 @@
 """The jobs: train a model from history, score a stream, or only persist it.
 
-    spark-submit --py-files sensorloom.zip -m sensorloom.plans.jobs train --history ... --model ...
+    spark-submit --py-files sensorloom.zip sensorloom/plans/jobs.py train --history ... --model ...
 
 Connection settings are arguments; none has a default that leads to a live system.
 """

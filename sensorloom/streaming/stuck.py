@@ -49,7 +49,7 @@ def stuck_runs_stream(
         spark = batch.sparkSession
         if not runs:
             runs.append(checkpoint_run(spark, checkpoint))
-        rows = batch.select(key, ts, id, value).persist()
+        rows = batch.select(*dict.fromkeys([key, ts, id, value])).persist()
         found = None
         try:
             with scratch_scope(spark):

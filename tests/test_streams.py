@@ -157,6 +157,17 @@ def test_stuck_stream_alerts_once_per_run(spark, place, cuts, rows_per_task):
     assert len(found) == 4
 
 
+def test_stuck_stream_on_decoded_messages(spark, place):
+    """Messages carry no id and their time as text; both detectors take that as it is."""
+    messages = [_message(0).replace(":00Z", f":{n:02d}Z") for n in range(20)] + ["broken"] * 20
+    for part in (messages[:7], messages[7:]):
+        _arrive(spark, place("in"), part)
+        readings, _ = codec.split_valid(codec.decode_json(file_stream(spark, place("in"))))
+        stuck_runs_stream(readings, place("alerts"), place("checkpoint"), ts="timestamp", id="timestamp", trigger=NOW).awaitTermination()
+    alerts = spark.read.parquet(place("alerts")).drop("run", "batch").collect()
+    assert [tuple(r) for r in alerts] == [("s0", "2025-07-01T00:00:00Z", 20.0)]
+
+
 def test_stuck_stream_forgets_silent_sensors(spark, place):
     log = _log(spark, {"s": [1.0] * 20, "clock": range(200)})
     gap = log.filter("sensor_id = 'clock' or event_id < 10").unionByName(

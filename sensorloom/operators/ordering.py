@@ -44,6 +44,13 @@ def busy_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
     return df.groupBy(key).count().filter(F.col("count") > rows_per_task).select(F.col(key).alias("_busy"))
 
 
+def split_busy(df: DataFrame, key: str, rows_per_task: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(rows of busy keys, all other rows, busy keys)``; the few keys are written and broadcast."""
+    busy = F.broadcast(written(busy_keys(df, key, rows_per_task), "busy"))
+    is_busy = F.col(key).eqNullSafe(F.col("_busy"))
+    return df.join(busy, is_busy, "left_semi"), df.join(busy, is_busy, "left_anti"), busy
+
+
 def in_pieces(
     df: DataFrame,
     key: str,
@@ -61,14 +68,12 @@ def in_pieces(
 
     ``df`` is read several times, so it should be a stored table or persisted.
     """
-    whole = df.withColumn("_piece", F.lit(0).cast("bigint")).withColumn("_own", F.lit(True))
-    busy = busy_keys(df, key, rows_per_task)
-    if busy.isEmpty():
-        return whole
+    uncut = {"_piece": F.lit(0).cast("bigint"), "_own": F.lit(True)}
+    if busy_keys(df, key, rows_per_task).isEmpty():
+        return df.withColumns(uncut)
 
-    is_busy = F.col(key).eqNullSafe(F.col("_busy"))
-    listed = F.broadcast(written(busy, "busy"))  # bounded, see busy_keys
-    placed = with_position(df.join(listed, is_busy, "left_semi"), [key, *order], "_position")
+    busy, rest, _ = split_busy(df, key, rows_per_task)
+    placed = with_position(busy, [key, *order], "_position")
 
     def piece_of(offset: int):
         return F.expr(f"greatest(_position + {offset}, 0) div {rows_per_task}")
@@ -78,4 +83,4 @@ def in_pieces(
     else:
         pieces = piece_of(0)
     cut = placed.withColumn("_piece", pieces).withColumn("_own", F.col("_piece") == piece_of(0))
-    return whole.join(listed, is_busy, "left_anti").unionByName(cut.drop("_position"))
+    return rest.withColumns(uncut).unionByName(cut.drop("_position"))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from sensorloom.operators.ordering import ROWS_PER_TASK, split_busy
 from sensorloom.schemas import FEATURES
 
 BROADCAST_ROWS = 200_000
@@ -41,27 +42,28 @@ def residual(
     ts: str = "ts",
     values: Sequence[str] = FEATURES,
     broadcast_rows: int = BROADCAST_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Each reading's distance from its sensor's profile for that hour, as ``<value>_residual``.
 
     ``profile`` should be a stored table, as its size is checked first. If it is small it is
-    broadcast. If not, its ``broadcast_rows`` busiest entries still are, so that no busy sensor is
-    shuffled to one task, and only the readings of the remaining entries are joined by shuffle.
+    broadcast. If not, only the entries of busy sensors are, at most 24 for each, so that no busy
+    sensor is shuffled to one task; the other sensors' readings are joined by shuffle. A null
+    sensor is matched like any other, and a reading without an entry has null residuals.
     """
-    means = profile.select(key, "hour", "readings", *[f"{v}_mean" for v in values])
+    means = profile.select(
+        F.col(key).alias("_key"), F.col("hour").alias("_hour"), *[f"{v}_mean" for v in values]
+    )
+    same_entry = F.col(key).eqNullSafe(F.col("_key")) & F.col("hour").eqNullSafe(F.col("_hour"))
     timed = df.withColumn("hour", F.hour(ts))
-    entry = [key, "hour"]
 
-    def distances(joined: DataFrame) -> DataFrame:
+    def distances(rows: DataFrame, entries: DataFrame) -> DataFrame:
         gaps = [(F.col(v) - F.col(f"{v}_mean")).alias(f"{v}_residual") for v in values]
-        return joined.select(*df.columns, "hour", *gaps)
+        return rows.join(entries, same_entry, "left").select(*df.columns, "hour", *gaps)
 
     if profile.select(key).limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return distances(timed.join(F.broadcast(means.drop("readings")), entry, "left"))
-
-    ranked = means.orderBy(F.desc("readings"), *entry)
-    busy = F.broadcast(ranked.limit(broadcast_rows).drop("readings").withColumn("_busy", F.lit(True)))
-    rest = means.drop("readings").join(busy.select(*entry), entry, "left_anti")
-    split = timed.join(busy, entry, "left")
-    others = split.filter(F.col("_busy").isNull()).select(*timed.columns)
-    return distances(split.filter("_busy")).unionByName(distances(others.join(rest, entry, "left")))
+        return distances(timed, F.broadcast(means))
+
+    busy_rows, other_rows, busy = split_busy(timed, key, rows_per_task)
+    busy_means = means.join(busy, F.col("_key").eqNullSafe(F.col("_busy")), "left_semi")
+    return distances(busy_rows, F.broadcast(busy_means)).unionByName(distances(other_rows, means))

@@ -23,7 +23,7 @@ from sensorloom.sinks import stores
 from sensorloom.sinks.timeseries import TimeSeriesDataSource
 from sensorloom.sources.files import csv_source, file_stream
 from sensorloom.sources.kafka import kafka_source
-from sensorloom.streaming.pipeline import run_stream
+from sensorloom.streaming.fanout import run_stream
 
 
 def train_job(

@@ -15,7 +15,7 @@ from sensorloom.schemas import FEATURES, LABEL, LABELLED, LINE, PREDICTED, READI
 from sensorloom.session import scratch, written
 from sensorloom.sinks import stores
 from sensorloom.sources.files import csv_sink, csv_source
-from sensorloom.streaming.pipeline import run_stream
+from sensorloom.streaming.fanout import run_stream
 from sensorloom.streaming.stuck import stuck_runs_stream
 
 NOW = {"availableNow": True}

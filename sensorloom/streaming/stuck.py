@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sensorloom.operators.detecting import STUCK_READINGS, partial_runs, stitched_runs
 from sensorloom.operators.ordering import ROWS_PER_TASK
 from sensorloom.session import scratch_scope
-from sensorloom.streaming.pipeline import checkpoint_run
+from sensorloom.streaming.fanout import checkpoint_run
 
 
 def stuck_runs_stream(

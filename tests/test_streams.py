@@ -11,7 +11,7 @@ from sensorloom.plans import inputs
 from sensorloom.schemas import LINE, READING, SCORED
 from sensorloom.sinks import stores
 from sensorloom.sources.files import file_stream
-from sensorloom.streaming.pipeline import checkpoint_run, read_stream, run_stream
+from sensorloom.streaming.fanout import checkpoint_run, read_stream, run_stream
 from sensorloom.streaming.stuck import stuck_runs_stream
 
 NOW = {"availableNow": True}

@@ -81,10 +81,12 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.withColumn("text", text).select("event_id", value.alias("value"))
 
 
-def staged(frame: DataFrame, name: str, batches: int = 4, rows_per_file: int = 1_000_000) -> DataFrame:
-    """The frame as a stream of files that arrives in about ``batches`` micro-batches."""
+def staged(
+    frame: DataFrame, name: str, batches: int = 4, rows_per_file: int = 1_000_000, files_per_batch: int = 1000
+) -> DataFrame:
+    """The frame as a stream of files that arrives in ``batches`` micro-batches, or more if they get too large."""
     files = max(batches, frame.count() // rows_per_file)
     path = scratch(frame.sparkSession, name)
     frame.repartition(files).write.parquet(path)
-    return file_stream(frame.sparkSession, path, frame.schema, max_files_per_trigger=-(-files // batches))
+    return file_stream(frame.sparkSession, path, frame.schema, max_files_per_trigger=min(-(-files // batches), files_per_batch))
 

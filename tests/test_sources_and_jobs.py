@@ -65,6 +65,14 @@ def test_kafka_options():
     messages.select().write.format().options.assert_called_once_with(**{"kafka.bootstrap.servers": "broker:9092", "topic": "readings"})
 
 
+def test_kafka_stream_sink_needs_a_checkpoint():
+    messages = mock.MagicMock()
+    writer = kafka.kafka_stream_sink(messages, "broker:9092", "readings", "hdfs:///checkpoints/out")
+    messages.select().writeStream.format.assert_called_once_with("kafka")
+    messages.select().writeStream.format().options().option.assert_called_once_with("checkpointLocation", "hdfs:///checkpoints/out")
+    assert writer is messages.select().writeStream.format().options().option()
+
+
 def _batches(*sizes):
     n = iter(range(10**6))
     for size in sizes:

@@ -1,10 +1,11 @@
 import json
 import time
 from pathlib import Path
+from unittest import mock
 
 import pytest
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import DataFrameWriter, functions as F, types as T
 
 from sensorloom.operators import codec, detecting
 from sensorloom.plans import inputs
@@ -157,6 +158,26 @@ def test_stuck_stream_alerts_once_per_run(spark, place, cuts, rows_per_task):
     assert len(found) == 4
 
 
+@pytest.mark.parametrize("fails_at", ["latest_runs", "alerts"])
+def test_stuck_stream_replays_a_batch_that_failed(spark, place, fails_at):
+    """The second batch breaks off while it writes; its replay finds the first one's state unchanged."""
+    log = _log(spark, HISTORIES)
+    _stuck(spark, place, log.filter("event_id <= 9"), [])
+    writes = DataFrameWriter.parquet
+
+    def breaks_off(self, path, *args, **kwargs):
+        if fails_at in path and ("slot=1" in path or "batch=1" in path):
+            raise OSError("lost the connection")
+        return writes(self, path, *args, **kwargs)
+
+    with mock.patch.object(DataFrameWriter, "parquet", breaks_off), pytest.raises(StreamingQueryException, match="lost the connection"):
+        log.filter("event_id > 9").write.mode("append").save(place("log"))
+        stuck_runs_stream(spark.readStream.schema(LOG).parquet(place("log")), place("alerts"), place("checkpoint"), trigger=NOW).awaitTermination()
+    stuck_runs_stream(spark.readStream.schema(LOG).parquet(place("log")), place("alerts"), place("checkpoint"), trigger=NOW).awaitTermination()
+    found = spark.read.parquet(place("alerts")).select("sensor_id", "start", "temperature").collect()
+    assert sorted(found) == sorted(detecting.stuck_runs(log).select("sensor_id", "start", "temperature").collect())
+
+
 def test_stuck_stream_on_decoded_messages(spark, place):
     """Messages carry no id and their time as text; both detectors take that as it is."""
     messages = [_message(0).replace(":00Z", f":{n:02d}Z") for n in range(20)] + ["broken"] * 20

@@ -36,7 +36,7 @@ def evaluate(
     )
     total = F.sum("support")
     return per_class.agg(
-        total.alias("readings"),
+        F.coalesce(total, F.lit(0)).alias("readings"),
         (F.sum("hits2") / 2 / total).alias("accuracy"),
         (F.sum(F.col("f1") * F.col("support")) / total).alias("f1_weighted"),
         F.coalesce(F.max(F.when(F.col("class") == anomaly, F.col("f1"))), F.lit(0.0)).alias("f1_anomaly"),

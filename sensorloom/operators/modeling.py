@@ -93,9 +93,7 @@ def train(
     return PipelineModel([assembler, scaling, grown])
 
 
-def score(
-    model: PipelineModel, df: DataFrame, features: Sequence[str] = FEATURES, also: Sequence[str] = ()
-) -> DataFrame:
+def score(model: PipelineModel, df: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Add ``prediction``; the same call for batch and streaming frames.
 
     A reading with a missing feature gets a null prediction. With the assembler's stored setting
@@ -110,6 +108,7 @@ def score(
             return stage.copy({stage.rawPredictionCol: "", stage.probabilityCol: ""})
         return stage
 
+    features = [c for s in model.stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]
     missing = any_of(is_missing(F.col(c)) for c in features)
     found = [F.when(~missing, F.col(c)).alias(c) for c in (*also, "prediction")]
     return PipelineModel([adapted(s) for s in model.stages]).transform(df).select(*df.columns, *found)

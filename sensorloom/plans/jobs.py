@@ -95,7 +95,7 @@ def _arguments() -> argparse.ArgumentParser:
         stream.add_argument("--servers")
         stream.add_argument("--topic")
         stream.add_argument("--max-offsets", type=int)
-        stream.add_argument("--documents-uri")
+        stream.add_argument("--documents-uri", default=os.environ.get("DOCUMENTS_URI"), help="or in DOCUMENTS_URI")
         stream.add_argument("--database")
         stream.add_argument("--series-url", help="its token is read from SERIES_TOKEN")
         stream.add_argument("--series-org", default="")

@@ -35,7 +35,8 @@ def stuck_runs_stream(
 
     Readings are put in order within a batch; one that arrives in a later batch than its successors
     counts as the newest. ``forget_after`` (an interval such as ``"1 day"``) drops the state of
-    sensors that have been silent for longer, measured against the batch's newest reading.
+    sensors that have been silent for longer, measured against the batch's newest reading; it needs a
+    timestamp column as ``ts``.
 
     The state lies inside the checkpoint in two folders used in turn: a batch reads what the one
     before wrote and writes the other, so a replayed batch finds its own input unchanged.

@@ -107,6 +107,17 @@ def test_metrics_equal_the_ml_evaluator(spark, pairs):
         assert got["f1_anomaly"] == pytest.approx(_evaluator(df, "fMeasureByLabel", metricLabel=1.0))
 
 
+def test_metrics_of_nothing(spark):
+    got = evaluate(spark.createDataFrame([], "is_anomaly int, prediction double")).first()
+    assert (got["readings"], got["accuracy"]) == (0, None)
+
+
+def test_missing_values_are_looked_for_in_the_models_own_features(spark):
+    df = spark.createDataFrame([(1.0, 0.0, 0), (2.0, None, 1), (3.0, 1.0, 1)], "pressure double, unused double, is_anomaly int")
+    model = modeling.train(df, features=["pressure"], trees=2, depth=2)
+    assert modeling.score(model, df).filter("prediction is null").count() == 0
+
+
 def test_a_missing_prediction_is_a_miss(spark):
     df = spark.createDataFrame([(0, 0.0), (1, None), (None, 1.0)], "is_anomaly int, prediction double")
     got = evaluate(df).first()

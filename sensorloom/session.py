@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -23,16 +21,11 @@ def session(app_name: str, **settings: str) -> SparkSession:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below the folder named by ``spark.checkpoint.dir``.
+    """A fresh path below the folder named by ``spark.checkpoint.dir``, or else below the warehouse.
 
-    Every executor must be able to read what another one wrote there, so on a cluster the
-    setting is required; only a local master falls back to a temporary folder.
+    Every executor must be able to read what another one wrote there; both settings name shared storage.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = os.path.join(tempfile.gettempdir(), "sensorloom")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     opened = _scope.get()
     if opened is not None:

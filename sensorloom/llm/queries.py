@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import mixing, quality, secrets
+from sensorloom.llm import linedup, mixing, neardup, quality, secrets
 from sensorloom.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes, _ = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "kept")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -22,8 +27,15 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).drop("failed_lines")
 
 
+def op10_linedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, _ = linedup.near_duplicate_lines(table(spark, sf_dir, "documents"))
+    return lines.select("doc_id", "line_no", "first_doc", "first_line", "n_links", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op3_neardup": op3_neardup,
     "op4_mixing": op4_mixing,
     "op6_quality": op6_quality,
+    "op10_linedup": op10_linedup,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import linedup, mixing, neardup, quality, secrets
+from sensorloom.llm import decontam, linedup, mixing, neardup, quality, secrets
 from sensorloom.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op2_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "start", "distance")
+
+
 def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes, _ = neardup.near_duplicates(table(spark, sf_dir, "documents"))
     return classes.select("doc_id", "class_id", "kept")
@@ -34,6 +39,7 @@ def op10_linedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_decontam": op2_decontam,
     "op3_neardup": op3_neardup,
     "op4_mixing": op4_mixing,
     "op6_quality": op6_quality,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import decontam, linedup, mixing, neardup, quality, secrets
+from sensorloom.llm import decontam, linedup, mixing, neardup, pages, quality, secrets
 from sensorloom.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).drop("failed_lines")
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontam": op2_decontam,
     "op3_neardup": op3_neardup,
     "op4_mixing": op4_mixing,
+    "op5_pages": op5_pages,
     "op6_quality": op6_quality,
     "op10_linedup": op10_linedup,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import decontam, linedup, mixing, neardup, pages, quality, secrets
+from sensorloom.llm import decontam, linedup, mixing, neardup, pages, quality, secrets, tokens
 from sensorloom.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).drop("failed_lines")
 
 
+def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), tokens.vocabulary())
+
+
 def op10_linedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, _ = linedup.near_duplicate_lines(table(spark, sf_dir, "documents"))
     return lines.select("doc_id", "line_no", "first_doc", "first_line", "n_links", "kept")
@@ -48,5 +52,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_pages": op5_pages,
     "op6_quality": op6_quality,
+    "op9_tokens": op9_tokens,
     "op10_linedup": op10_linedup,
 }

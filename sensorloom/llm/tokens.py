@@ -27,7 +27,7 @@ MARK = "▁"
 REMEMBERED = 1 << 19
 LONGEST_REMEMBERED = 40
 #: The characters with the Unicode property White_Space.
-_WORD = re.compile("[^\t-\r \x85\xa0  -     　]+")
+_WORD = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
 def vocabulary(path: str = VOCABULARY) -> list[tuple[str, float]]:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorloom.llm import decontam, linedup, mixing, neardup, pages, quality, secrets, tokens
+from sensorloom.llm import decontam, linedup, mixing, neardup, pages, quality, secrets, tokens, toxicity
 from sensorloom.llm.common import table
 
 
@@ -36,6 +36,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).drop("failed_lines")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= toxicity.DECISION).cast("int")
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokens.vocabulary())
 
@@ -52,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_pages": op5_pages,
     "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
     "op9_tokens": op9_tokens,
     "op10_linedup": op10_linedup,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorloom.llm import decontam, linedup, mixing, neardup, pages, quality, secrets, tokens, toxicity
+from sensorloom.llm import decontam, linedup, mixing, neardup, pages, privacy, quality, secrets, tokens, toxicity
 from sensorloom.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op8_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.digest(privacy.personal_spans(table(spark, sf_dir, "documents")))
+
+
 def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokens.vocabulary())
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pages": op5_pages,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
+    "op8_privacy": op8_privacy,
     "op9_tokens": op9_tokens,
     "op10_linedup": op10_linedup,
 }

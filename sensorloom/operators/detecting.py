@@ -10,9 +10,10 @@ the time column; equal times of one sensor are then in no particular order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.window import WindowSpec
 
+from sensorloom.functions.numbers import finite, is_missing
 from sensorloom.operators.ordering import ROWS_PER_TASK, in_pieces
 from sensorloom.schemas import LABEL
 
@@ -23,9 +24,16 @@ TRAILING_READINGS = 20
 
 
 def _is_spike(order: WindowSpec, value: str, n: int, threshold: float) -> Column:
-    trailing = order.rowsBetween(-n, -1)
-    far = F.abs(F.col(value) - F.avg(value).over(trailing)) >= threshold
-    return F.coalesce((F.count(value).over(trailing) == n) & far, F.lit(False))
+    # NaN and infinity are no readings: they would spoil the mean, and compare as larger than any number.
+    reading, trailing = finite(F.col(value)), order.rowsBetween(-n, -1)
+    far = F.abs(reading - F.avg(reading).over(trailing)) >= threshold
+    return F.coalesce((F.count(reading).over(trailing) == n) & far, F.lit(False))
+
+
+def is_reading(df: DataFrame, value: str) -> Column:
+    """True where a watched value, which can be of any type, is neither null nor NaN."""
+    fractional = isinstance(df.schema[value].dataType, (T.FloatType, T.DoubleType))
+    return ~is_missing(F.col(value)) if fractional else F.col(value).isNotNull()
 
 
 def _so_far(order: WindowSpec) -> WindowSpec:
@@ -50,7 +58,7 @@ def spikes(
 ) -> DataFrame:
     """Readings at least ``threshold`` away from the mean of the sensor's ``n`` previous ones.
 
-    A reading with fewer than ``n`` non-null readings among those is not judged.
+    A reading with fewer than ``n`` finite readings among those is not judged, nor is one that is not finite.
     """
     cut = in_pieces(df, key, [ts, id], before=n, rows_per_task=rows_per_task)
     order = Window.partitionBy(key, "_piece").orderBy(ts, id)
@@ -125,12 +133,12 @@ def stuck_runs(
 ) -> DataFrame:
     """Runs of at least ``min_readings`` consecutive equal values, one row each.
 
-    A null reading ends a run; a run of nulls is missing data, not a stuck sensor.
+    A null or NaN reading ends a run; a run of them is missing data, not a stuck sensor.
     """
     partials = partial_runs(df, key, ts, id, value, rows_per_task)
     kept = partials.filter(F.col("edge") | (F.col("readings") >= min_readings))
     runs = stitched_runs(kept, key, value)
-    long_enough = (F.col("readings") >= min_readings) & F.col(value).isNotNull()
+    long_enough = (F.col("readings") >= min_readings) & is_reading(df, value)
     return runs.filter(long_enough).select(key, "start", "end", "readings", value)
 
 
@@ -161,7 +169,7 @@ def label_anomalies(
         "_starts", _starts_run(order, repeated)
     )
     sized = numbered.withColumn("_run", F.sum("_starts").over(_so_far(order))).withColumn(
-        "is_stuck", (F.count("*").over(same_run) >= min_readings) & F.col(repeated).isNotNull()
+        "is_stuck", (F.count("*").over(same_run) >= min_readings) & is_reading(df, repeated)
     )
     either = (F.col("is_spike") | F.col("is_stuck")).cast("int")
     kept = [c for c in df.columns if c not in ("is_spike", "is_stuck", LABEL)]

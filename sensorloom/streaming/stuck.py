@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sensorloom.operators.detecting import STUCK_READINGS, partial_runs, stitched_runs
+from sensorloom.operators.detecting import STUCK_READINGS, is_reading, partial_runs, stitched_runs
 from sensorloom.operators.ordering import ROWS_PER_TASK
 from sensorloom.session import scratch_scope
 from sensorloom.streaming.fanout import checkpoint_run
@@ -66,7 +66,7 @@ def stuck_runs_stream(
                     partials = partials.unionByName(known.withColumns(before_all))
                 found = stitched_runs(partials, key, value).persist()
                 reached = (F.col("readings") >= min_readings) & (F.col("carried") < min_readings)
-                alerts = found.filter(reached & F.col(value).isNotNull()).select(key, "start", value)
+                alerts = found.filter(reached & is_reading(found, value)).select(key, "start", value)
                 alerts.write.mode("overwrite").parquet(f"{path}/run={runs[0]}/batch={batch_id}")
                 latest = found.filter("latest").select(key, value, "start", "end", "readings")
                 latest.write.mode("overwrite").parquet(slot(batch_id))

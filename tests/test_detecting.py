@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -11,12 +12,16 @@ SCHEMA = "sensor_id string, ts int, event_id int, temperature double"
 PIECES = [10**6, 7, 3, 1]
 
 
+def _same(a, b):
+    return a == b or a != a and b != b
+
+
 def _runs(values, least):
     """(start index, length, value) of runs of equal non-null values, by walking the list."""
     found, begin = [], 0
     for i in range(1, len(values) + 1):
-        if i == len(values) or values[i] != values[begin]:
-            if i - begin >= least and values[begin] is not None:
+        if i == len(values) or not _same(values[i], values[begin]):
+            if i - begin >= least and values[begin] is not None and values[begin] == values[begin]:
                 found.append((begin, i - begin, values[begin]))
             begin = i
     return found
@@ -37,7 +42,7 @@ def _walked_spikes(histories, n, threshold):
     for s, values in histories.items():
         for i, v in enumerate(values):
             trail = values[max(0, i - n) : i]
-            if v is None or len(trail) < n or None in trail:
+            if len(trail) < n or not all(x is not None and math.isfinite(x) for x in [*trail, v]):
                 continue
             if abs(v - sum(trail) / n) >= threshold:
                 found.append((s, i))
@@ -54,6 +59,9 @@ HISTORIES = {
     "interleaved a": [1.0, 2.0] * 20,
     "interleaved b": [2.0, 1.0] * 20,
     "gaps": [5.0] * 10 + [None] * 20 + [5.0] * 10,
+    "not numbers": VARYING + [math.nan] * 20 + VARYING,
+    "one not a number": VARYING[:25] + [math.nan] + VARYING[26:] + [90.0],
+    "infinite": VARYING[:25] + [math.inf] + VARYING[26:] + [-math.inf] + VARYING,
     "always": [3.0] * 40,
     "one": [3.0],
 }

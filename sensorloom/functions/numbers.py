@@ -31,6 +31,13 @@ def any_of(conditions: Iterable[Column]) -> Column:
     return combined
 
 
+def all_of(conditions: Iterable[Column]) -> Column:
+    combined = F.lit(True)
+    for condition in conditions:
+        combined = combined & condition
+    return combined
+
+
 def hash_percent(key: Column) -> Column:
     """A stable number from 0 to 99 per key, the same for every layout of the data."""
     head = F.substring(F.md5(key.cast("string")), 1, 8)

@@ -27,7 +27,7 @@ def assemble(df: DataFrame, features: Sequence[str] = FEATURES, out: str = UNSCA
 
 
 def _scaler() -> StandardScaler:
-    return StandardScaler(withMean=True, withStd=True).setInputCol(UNSCALED).setOutputCol(SCALED)
+    return StandardScaler(inputCol=UNSCALED, outputCol=SCALED, withMean=True, withStd=True)
 
 
 def standardise(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
@@ -48,48 +48,55 @@ def vector_columns(df: DataFrame, vector: str, names: Sequence[str], keep: Seque
 def anomaly_pipeline(
     features: Sequence[str] = FEATURES, label: str = LABEL, trees: int = TREES, depth: int = DEPTH, seed: int = SEED
 ) -> Pipeline:
-    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed)
-    return Pipeline(
-        stages=[
-            VectorAssembler(inputCols=list(features), outputCol=UNSCALED),
-            _scaler(),
-            forest.setFeaturesCol(SCALED).setLabelCol(label),
-        ]
-    )
+    assembler = VectorAssembler(inputCols=list(features), outputCol=UNSCALED)
+    forest = RandomForestClassifier(featuresCol=SCALED, labelCol=label, numTrees=trees, maxDepth=depth, seed=seed)
+    return Pipeline(stages=[assembler, _scaler(), forest])
 
 
 def train(
     df: DataFrame,
     features: Sequence[str] = FEATURES,
     label: str = LABEL,
+    key: str | None = None,
     partitions: int | None = None,
+    most_rows: int | None = None,
     combine_equal: bool = False,
     **forest: int,
 ) -> PipelineModel:
     """Fit the pipeline on the columns it needs.
 
-    The forest visits the rows once per tree level with the input's own parallelism; give
-    ``partitions`` where that is less than the cluster has cores (a single file, say, or combined
-    readings that adaptive execution has merged into few partitions).
+    A forest depends on how its rows are laid out. With ``key``, a column that names each row, and
+    ``partitions``, rows are dealt by the key and sorted, so the same rows give the same forest on
+    any machine. ``partitions`` should be the number of cores that train, since the forest visits the
+    rows once per tree level with the input's own parallelism.
 
-    It also keeps one sampling count per row and tree, far more than the reading itself. For
-    very long histories ``combine_equal`` turns equal readings into one weighted row first:
-    readings have two decimals, so there are only so many. All readings still count, but the
-    trees' random samples are then drawn from the distinct ones.
+    It also keeps one sampling count per row and tree, far more than the reading itself. For very
+    long histories ``most_rows`` bounds the fit to about so many rows, chosen by a hash of the key
+    (off by default), and ``combine_equal`` turns equal readings into one weighted row first:
+    readings have two decimals, so there are only so many. All readings then still count, but the
+    trees' random samples are drawn from the distinct ones.
     """
-    rows = df.select(*features, label)
+    if key is None and most_rows is not None:
+        raise ValueError("most_rows needs a key to choose rows by")
+    rows = df.select(*dict.fromkeys([*features, label, *([key] if key else [])]))
+    if most_rows is not None:
+        total = rows.count()
+        if total > most_rows:
+            rows = rows.filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int((1 << 30) * most_rows / total))
     pipeline = anomaly_pipeline(features, label, **forest)
 
-    def spread(frame: DataFrame) -> DataFrame:
-        return frame.repartition(partitions) if partitions else frame
+    def laid_out(frame: DataFrame, by: Sequence[str]) -> DataFrame:
+        if not partitions:
+            return frame
+        return frame.repartition(partitions, *by).sortWithinPartitions(*by) if by else frame.repartition(partitions)
 
     if not combine_equal:
-        return pipeline.fit(spread(rows))
+        return pipeline.fit(laid_out(rows, [key] if key else []).select(*features, label))
     assembler, scaler, trees = pipeline.getStages()
     # The scaler knows no weights, so it is fitted on the single readings.
     scaling = scaler.fit(assembler.transform(rows.select(*features)))
     combined = rows.groupBy(*features, label).agg(F.count("*").cast("double").alias("weight"))
-    grown = trees.setWeightCol("weight").fit(scaling.transform(assembler.transform(spread(combined))))
+    grown = trees.setWeightCol("weight").fit(scaling.transform(assembler.transform(laid_out(combined, [*features, label]))))
     return PipelineModel([assembler, scaling, grown])
 
 

@@ -65,9 +65,17 @@ def binary(encoded: DataFrame) -> DataFrame:
 
 
 def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages of which some sensors' are unusable: cut off, a field missing, a number quoted."""
-    whole = readings(spark, sf_dir)
-    sensor = F.col("sensor_id")
+    """Messages of which some are unusable.
+
+    Three sensors' are cut off, lack a field, or quote a number. Of the others some have a time that is
+    none, or a sensor name that ends in a backslash.
+    """
+    turn = F.col("event_id") % 11
+    whole = readings(spark, sf_dir).withColumns({
+        "timestamp": F.when(turn == 3, F.lit("x")).otherwise(F.col("timestamp")),
+        "sensor_id": F.when(turn == 5, F.concat("sensor_id", F.lit("\\"))).otherwise(F.col("sensor_id")),
+    })
+    sensor = F.rtrim(F.col("sensor_id"), F.lit("\\"))
     text = F.to_json(F.struct(*READING.names))
     value = (
         F.when(sensor == "error", F.expr("left(text, length(text) - 1)"))
@@ -81,6 +89,16 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.withColumn("text", text).select("event_id", value.alias("value"))
 
 
+def damaged_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The device log with temperatures that are missing, NaN and infinite, some of them several times in a row."""
+    turn, value = F.col("event_id") % 97, F.col("temperature")
+    damaged = F.when(turn == 1, F.lit(None)).when(turn == 2, F.lit("NaN")).when(turn == 3, F.lit("Infinity")).when(turn == 4, F.lit("-Infinity"))
+    blank = F.when(F.col("device_id") % 7 == 0, F.lit("NaN"))
+    return devices(spark, sf_dir).withColumn(
+        "temperature", F.when((turn >= 1) & (turn <= 4), damaged.cast("float")).when(blank.isNotNull(), blank.cast("float")).otherwise(F.floor(value / 50).cast("float"))
+    )
+
+
 def staged(
     frame: DataFrame, name: str, batches: int = 4, rows_per_file: int = 1_000_000, files_per_batch: int = 1000
 ) -> DataFrame:

@@ -20,7 +20,24 @@ _MOMENTS = """round(avg(cast(temperature as double)), 6) as temperature_mean,
   round(avg(cast(humidity as double)), 6) as humidity_mean,
   round(stddev_samp(cast(humidity as double)), 6) as humidity_std"""
 
-_DAMAGED = "sensor_id in ('error', 'signup', 'purchase')"
+_DAMAGED = "(sensor_id in ('error', 'signup', 'purchase') or event_id % 11 in (3, 5))"
+
+_FLOAT = "cast(value as float)"
+_DEVICES = f"""with devices as (
+  select event_id, ts, user_id as device_id, case event_id % 97 when 1 then null when 2 then cast('nan' as float)
+    when 3 then cast('inf' as float) when 4 then cast('-inf' as float)
+    else case when user_id % 7 = 0 then cast('nan' as float) else cast(floor({_FLOAT} / 50) as float) end end as temperature
+  from events),
+judged_ as (
+  select *, case when isfinite(temperature) then cast(temperature as double) end as reading from devices),
+damaged as (
+  select *, coalesce(count(reading) over t = 5 and abs(reading - avg(reading) over t) >= 2, false) as is_spike,
+    cast(temperature is distinct from lag(temperature) over w as int) as starts
+  from judged_ window w as (partition by device_id order by ts, event_id),
+    t as (partition by device_id order by ts, event_id rows between 5 preceding and 1 preceding)),
+damaged_runs as (
+  select *, sum(starts) over (partition by device_id order by ts, event_id) as run from damaged)
+"""
 
 _STUCK = """with marked as (
   select *, cast(event_type is distinct from lag(event_type) over w as int) as starts
@@ -38,7 +55,7 @@ ORACLE: dict[str, str] = {
     "json_parse": _READINGS + 'select event_id, sensor_id, temperature, humidity, "timestamp" from readings',
     "csv_scan": _READINGS + 'select "timestamp", sensor_id, temperature, humidity, is_anomaly from readings',
     "quarantine": _READINGS
-    + f"""select event_id, case when sensor_id <> 'error' then sensor_id end as sensor_id,
+    + f"""select event_id, case when sensor_id <> 'error' then sensor_id || case when event_id % 11 = 5 then '\\' else '' end end as sensor_id,
   not ({_DAMAGED}) as valid from readings""",
     "ts_line_protocol": _READINGS + f"select event_id, {_LINE} as line from readings",
     "round_reading": _READINGS
@@ -61,7 +78,7 @@ select event_id, round(coalesce((cast(temperature as double) - tm) / ts_, 0), 6)
   round(coalesce((cast(humidity as double) - hm) / hs, 0), 6) as humidity from readings, moments""",
     "split_keyed": """select event_id,
   cast('0x' || substr(md5(cast(event_id as varchar)), 1, 8) as bigint) % 100 < 80 as is_train from events""",
-    "split_random": "select event_id, count(*) as parts from events group by event_id",
+    "split_random": "select event_id, count(*) as parts, true as share_as_asked from events group by event_id",
     "train_counts": """select cast('0x' || substr(md5(cast(event_id as varchar)), 1, 8) as bigint) % 100 < 80 as is_train,
   cast(value > 150 as int) as is_anomaly, count(*) as readings from events group by 1, 2""",
     "eval_metrics": _READINGS
@@ -72,6 +89,8 @@ scores as (
   select l.c, n, tp, 2.0 * tp / (n + coalesce(np, 0)) as f1 from labels_ l left join claims p on l.c = p.c)
 select cast(sum(n) as bigint) as readings, round(cast(sum(tp) as double) / sum(n), 6) as accuracy, round(sum(n * f1) / sum(n), 6) as f1_weighted,
   round(coalesce(max(case when c = 1 then f1 end), 0), 6) as f1_anomaly from scores""",
+    "score_batch": """select event_id, cast(value > 150 as int) as is_anomaly, true as scored, true as good from events
+  where cast('0x' || substr(md5(cast(event_id as varchar)), 1, 8) as bigint) % 100 >= 80""",
     "holdout_quality": """select count(*) as readings, true as accurate, true as finds_anomalies from events
   where cast('0x' || substr(md5(cast(event_id as varchar)), 1, 8) as bigint) % 100 >= 80""",
     "model_roundtrip": "select event_id, true as same from events",
@@ -105,6 +124,15 @@ where n = 20 and abs(temperature - m) >= 200""",
     "stuck_runs": _STUCK
     + """select user_id as device_id, min(ts) as start, max(ts) as "end", count(*) as readings,
   any_value(event_type) as state from numbered group by user_id, run having count(*) >= 3""",
+    "spikes_damaged": _DEVICES + "select event_id, device_id, temperature from damaged where is_spike",
+    "stuck_damaged": _DEVICES
+    + """select device_id, min(ts) as start, max(ts) as "end", count(*) as readings, any_value(temperature) as temperature
+  from damaged_runs where temperature is not null and not isnan(temperature) group by device_id, run having count(*) >= 3""",
+    "labels_damaged": _DEVICES
+    + """, both_ as (
+  select event_id, device_id, is_spike,
+    count(*) over (partition by device_id, run) >= 3 and temperature is not null and not isnan(temperature) as is_stuck from damaged_runs)
+select *, cast(is_spike or is_stuck as int) as is_anomaly from both_""",
     "anomaly_labels": _STUCK
     + """, judged as (
   select event_id, user_id, count(*) over (partition by user_id, run) >= 3 as is_stuck,

@@ -24,7 +24,9 @@ CASES = {
     '{"Sensor_ID":"e","temperature":1}': ((None, 1.0, None, None), False),
     '{"sensor_id":"f","temperature":1': ((None, None, None, None), False),
     '{"sensor_id":"g","temperature":NaN,"humidity":1,"timestamp":"x"}': (("g", math.nan, 1.0, "x"), False),
-    '{"sensor_id":"h","temperature":1e400,"humidity":1,"timestamp":"x"}': (("h", math.inf, 1.0, "x"), True),
+    '{"sensor_id":"h","temperature":1e400,"humidity":1,"timestamp":"x"}': (("h", math.inf, 1.0, "x"), False),
+    '{"sensor_id":"h","temperature":1e400,"humidity":1,"timestamp":"2025-07-01T00:00:00Z"}': (("h", math.inf, 1.0, "2025-07-01T00:00:00Z"), True),
+    '{"sensor_id":"i\\\\","temperature":1,"humidity":1,"timestamp":"2025-07-01T00:00:00Z"}': (("i\\", 1.0, 1.0, "2025-07-01T00:00:00Z"), False),
 }
 
 
@@ -96,6 +98,7 @@ LINES = [
     ((None, 1.5, None, T0), f"sensor_measurement temperature=1.5 {NANOS}"),
     (("", 1.5, None, T0), f"sensor_measurement temperature=1.5 {NANOS}"),
     (("s", 1.5, None, "no time"), "sensor_measurement,sensor_id=s temperature=1.5"),
+    (("a\\", 1.5, 2.0, T0), None),
     (("s", 0.1, None, T0), f"sensor_measurement,sensor_id=s temperature=0.10000000149011612 {NANOS}"),
 ]
 
@@ -118,6 +121,6 @@ def test_line_time_does_not_depend_on_the_session_zone(spark, zone):
 
 
 def test_latest_per_point(spark):
-    rows = spark.createDataFrame([("a", "t", 1, 1.0), ("a", "t", 3, None), ("a", "t", 2, 2.0), ("b", "t", 1, 4.0)], "sensor_id string, timestamp string, id int, temperature float")
+    rows = spark.createDataFrame([("a", "t", 1, 1.0), ("a", "t", 3, None), ("a", "t", 2, 2.0), ("a", "t", 4, math.nan), ("b", "t", 1, 4.0), ("c", "t", 1, None)], "sensor_id string, timestamp string, id int, temperature float")
     kept = codec.latest_per_point(rows, ["sensor_id", "timestamp"], "id", ["temperature"])
-    assert sorted(map(tuple, kept.collect())) == [("a", "t", None), ("b", "t", 4.0)]
+    assert sorted(map(tuple, kept.collect())) == [("a", "t", 2.0), ("b", "t", 4.0), ("c", "t", None)]

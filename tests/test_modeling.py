@@ -1,3 +1,4 @@
+import random
 import math
 
 import pytest
@@ -179,3 +180,24 @@ def test_residual_keeps_readings_without_a_profile(spark):
     for limit, rows_per_task in ((10, 10), (0, 10), (0, 0)):
         gaps = residual(df, profile, broadcast_rows=limit, rows_per_task=rows_per_task).collect()
         assert {(r["sensor_id"], r["temperature_residual"]) for r in gaps} == {("a", 0.0), (None, None), ("b", None)}
+
+
+def test_the_layout_of_the_input_does_not_matter(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.uniform(0, 300), rng.uniform(0, 50)) for i in range(3000)]
+    df = spark.createDataFrame([(i, t, h, int(t > 150)) for i, t, h in rows], "event_id bigint, temperature double, humidity double, is_anomaly int")
+    found = []
+    for n in (3, 7, 16):
+        model = modeling.train(df.repartition(n), key="event_id", partitions=8, trees=15, depth=6)
+        scored = modeling.score(model, df, also=["probability"]).select("event_id", "prediction", "probability").collect()
+        found.append({r["event_id"]: (r["prediction"], tuple(r["probability"])) for r in scored})
+    assert found[0] == found[1] == found[2]
+
+
+def test_a_bounded_fit(spark):
+    df = spark.createDataFrame([(i, float(i), 1.0, int(i > 1500)) for i in range(3000)], "event_id bigint, temperature double, humidity double, is_anomaly int")
+    model = modeling.train(df, key="event_id", most_rows=1000, trees=3, depth=2)
+    means = model.stages[1].mean
+    assert means[1] == 1.0 and abs(means[0] - 1499.5) < 100
+    with pytest.raises(ValueError, match="key"):
+        modeling.train(df, most_rows=10)

@@ -14,6 +14,7 @@ from sensorloom.plans import inputs
 from sensorloom.schemas import FEATURES, LABEL, LABELLED, LINE, PREDICTED, READING, SCORED
 from sensorloom.session import scratch, written
 from sensorloom.sinks import stores
+from sensorloom.sinks.timeseries import TimeSeriesDataSource
 from sensorloom.sources.files import csv_sink, csv_source
 from sensorloom.streaming.fanout import run_stream
 from sensorloom.streaming.stuck import stuck_runs_stream
@@ -212,10 +213,11 @@ def sink_fanout_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ts_sink_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stream as the time-series store receives it."""
+    """The stream as the time-series sink delivers it, to files for a bulk import."""
+    spark.dataSource.register(TimeSeriesDataSource)
     path = scratch(spark, "series")
-    _streamed(_arriving(spark, sf_dir), [stores.series(path)])
-    return stores.read_store(spark, path, LINE, "text")
+    _streamed(_arriving(spark, sf_dir), [stores.series_store(path, "", "", "")])
+    return spark.read.schema(LINE).text(path)
 
 
 def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,19 +67,22 @@ def rejected(path: str) -> Sink:
     return Sink("rejected", rejected_rows, path=path)
 
 
-def document_store(name: str, rows: Rows, uri: str, database: str, **options: str) -> Sink:
-    """A collection of a document database through its Spark connector, appended to.
+def document_store(name: str, rows: Rows, uri: str, database: str, id_field: str | None = None, **options: str) -> Sink:
+    """A collection of a document database through its Spark connector. The collection is called ``name``.
 
-    The collection is called ``name``. To make replays harmless pass the connector's upsert options.
+    With ``id_field``, one or more columns (comma-separated) that name a document, a replayed batch replaces
+    its own documents; without it they are appended again. ``options`` are the connector's own.
     """
-    target = {"connection.uri": uri, "database": database, "collection": name, **options}
-    return Sink(name, rows, format="mongodb", options=target)
+    target = {"connection.uri": uri, "database": database, "collection": name}
+    if id_field:
+        target |= {"idFieldList": id_field, "operationType": "replace", "upsertDocument": "true"}
+    return Sink(name, rows, format="mongodb", options={**target, **options})
 
 
-def series_store(url: str, org: str, bucket: str, token: str) -> Sink:
+def series_store(url: str, org: str, bucket: str, token: str, rejected: str | None = None) -> Sink:
     """A time-series database; see :mod:`sensorloom.sinks.timeseries`, whose source must be registered."""
     target = {"url": url, "org": org, "bucket": bucket, "token": token}
-    return Sink("series", point_lines, format="timeseries", options=target)
+    return Sink("series", point_lines, format="timeseries", options=target | ({"rejected": rejected} if rejected else {}))
 
 
 def read_store(spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet") -> DataFrame:
@@ -87,33 +90,41 @@ def read_store(spark: SparkSession, path: str, schema: T.StructType, file_format
     return spark.read.schema(schema).format(file_format).load(path).select(*schema.names)
 
 
-def _write(sink: Sink, frame: DataFrame, folder: str) -> None:
-    # A new thread has no active session, which is where formats registered from Python are looked up.
-    spark = frame.sparkSession
-    spark._jvm.SparkSession.setActiveSession(spark._jsparkSession)
+def _write(sink: Sink, frame: DataFrame, run: str, batch_id: int) -> None:
     writer = sink.rows(frame).write.format(sink.format).options(**sink.options)
     if sink.path:
-        writer.mode("overwrite").save(f"{sink.path}/{folder}")
+        writer.mode("overwrite").save(f"{sink.path}/run={run}/batch={batch_id}")
     else:
-        writer.mode("append").save()
+        named = {"run": run, "batch": str(batch_id)} if sink.format == "timeseries" else {}
+        writer.options(**named).mode("append").save()
 
 
 def write_batch(frame: DataFrame, batch_id: int, sinks: Sequence[Sink], run: str) -> None:
-    """Write one batch to every sink at the same time; raise at the end if any of them failed.
+    """Write one batch to every sink; raise at the end if any of them failed.
 
-    One failing store does not keep the batch from the others, but the failure is not swallowed
-    either: the batch stays uncommitted and is replayed, so that no store misses its rows. ``run``
-    keeps the folders of different checkpoints apart, as each numbers its batches from 0.
+    Folders are written at the same time. Formats registered from Python are looked up in the calling
+    thread's session, so sinks without a path take their turn in that thread meanwhile. One failing
+    store does not keep the batch from the others, but the failure is not swallowed either: the batch
+    stays uncommitted and is replayed, so that no store misses its rows. ``run`` keeps the folders of
+    different checkpoints apart, as each numbers its batches from 0.
     """
     failures = []
-    folder = f"run={run}/batch={batch_id}"
-    with ThreadPoolExecutor(max(1, len(sinks))) as pool:
-        write = inheritable_thread_target(frame.sparkSession)(_write)
-        jobs = [pool.submit(write, sink, frame, folder) for sink in sinks]
-        for sink, job in zip(sinks, jobs):
-            failure = job.exception()
+
+    def attempt(sink: Sink) -> Exception | None:
+        try:
+            _write(sink, frame, run, batch_id)
+        except Exception as failure:
+            failure.add_note(f"while writing batch {batch_id} to sink {sink.name}")
+            return failure
+
+    folders = [sink for sink in sinks if sink.path]
+    with ThreadPoolExecutor(max(1, len(folders))) as pool:
+        write = inheritable_thread_target(frame.sparkSession)(attempt)
+        jobs = {sink.name: pool.submit(write, sink) for sink in folders}
+        direct = {sink.name: attempt(sink) for sink in sinks if not sink.path}
+        for sink in sinks:
+            failure = jobs[sink.name].result() if sink.name in jobs else direct[sink.name]
             if failure is not None:
-                failure.add_note(f"while writing batch {batch_id} to sink {sink.name}")
                 failures.append(failure)
     if failures:
         raise ExceptionGroup(f"batch {batch_id}: {len(failures)} of {len(sinks)} sinks failed", failures)

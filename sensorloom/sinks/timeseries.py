@@ -4,8 +4,13 @@ Each task sends its own partition's lines in requests of 500, so nothing passes
 driver. The database overwrites a point with equal measurement, tags and time, which makes
 retried tasks and replayed batches harmless.
 
-With ``url`` = ``file:/folder``, a folder all executors share, the same request bodies are written
-as files, for bulk imports.
+Where ``url`` is no web address but a folder all executors share, the same request bodies are written
+there as files, for bulk imports. Their names follow from run, batch, partition and request, so a
+retried task or a replayed batch replaces its own files.
+
+A request that the database refuses is sent again line by line, and the lines that it still refuses
+go to files below ``rejected``; one bad point does not stop the stream. Without ``rejected`` a refusal
+is an error.
 """
 
 from __future__ import annotations
@@ -14,11 +19,11 @@ import time
 import urllib.error
 import urllib.parse
 import urllib.request
-import uuid
 from collections.abc import Iterable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
@@ -45,37 +50,73 @@ def requests_of(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[list[s
         yield waiting
 
 
+def is_refusal(failure: OSError) -> bool:
+    """Whether the server understood the request and will not have its points, however often they are sent."""
+    return isinstance(failure, urllib.error.HTTPError) and failure.code in (400, 413, 422)
+
+
 def send(url: str, params: dict[str, str], token: str, lines: list[str]) -> None:
     """Post one request; wait and retry where the server is busy or unreachable."""
-    body = "\n".join(lines).encode()
-    if url.startswith("file:"):
-        folder = Path(urllib.parse.urlparse(url).path)
-        folder.mkdir(parents=True, exist_ok=True)
-        (folder / f"{uuid.uuid4().hex}.lp").write_bytes(body)
-        return
     target = f"{url.rstrip('/')}/api/v2/write?{urllib.parse.urlencode(params)}"
     headers = {"Authorization": f"Token {token}", "Content-Type": "text/plain; charset=utf-8"}
+    body = "\n".join(lines).encode()
     for attempt in range(RETRIES + 1):
         try:
             urllib.request.urlopen(urllib.request.Request(target, body, headers), timeout=60).close()
             return
         except OSError as failure:
-            refused = isinstance(failure, urllib.error.HTTPError) and failure.code < 500 and failure.code != 429
-            if refused or attempt == RETRIES:
+            final = isinstance(failure, urllib.error.HTTPError) and failure.code < 500 and failure.code != 429
+            if final or attempt == RETRIES:
                 raise
             time.sleep(2**attempt)
 
 
+def put(folder: str, name: str, lines: list[str]) -> None:
+    """Write one file of a shared folder, whole or not at all; an older one of that name is replaced."""
+    uri = f"file://{folder.removeprefix('file:')}" if folder.startswith(("/", "file:/")) and not folder.startswith("file://") else folder
+    store, path = fs.FileSystem.from_uri(uri)
+    store.create_dir(path)
+    draft = f"{path}/_{name}.{TaskContext.get().taskAttemptId() if TaskContext.get() else 0}"
+    with store.open_output_stream(draft) as out:
+        out.write("\n".join(lines).encode())
+    store.move(draft, f"{path}/{name}")
+
+
 class _Points:
     def __init__(self, options):
         self.url = options["url"]
         self.params = {"org": options.get("org", ""), "bucket": options.get("bucket", ""), "precision": "ns"}
         self.token = options.get("token", "")
         self.size = int(options.get("points", POINTS_PER_REQUEST))
+        self.rejected = options.get("rejected")
+        self.run, self.batch = options.get("run"), options.get("batch")
+
+    def _name(self) -> str:
+        """What names this task's part of the batch; a stream that is written directly says so in its properties."""
+        task = TaskContext.get()
+        run = self.run or task.getLocalProperty("sql.streaming.queryId") or "run"
+        batch = self.batch or task.getLocalProperty("streaming.sql.batchId") or "0"
+        return f"{run}-{batch}-{task.partitionId():05d}"
+
+    def _send(self, lines: list[str]) -> list[str]:
+        """Send the lines; return those that the database refuses."""
+        try:
+            send(self.url, self.params, self.token, lines)
+        except OSError as failure:
+            if not (self.rejected and is_refusal(failure)):
+                raise
+            if len(lines) == 1:
+                return lines
+            return [bad for line in lines for bad in self._send([line])]
+        return []
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        for lines in requests_of(iterator, self.size):
-            send(self.url, self.params, self.token, lines)
+        name, web = self._name(), self.url.startswith(("http://", "https://"))
+        for n, lines in enumerate(requests_of(iterator, self.size)):
+            if not web:
+                put(self.url, f"{name}-{n:05d}.lp", lines)
+            elif refused := self._send(lines):
+                put(self.rejected, f"{name}-{n:05d}.lp", refused)
         return WriterCommitMessage()
 
 
@@ -92,7 +133,7 @@ class _StreamWriter(_Points, DataSourceStreamArrowWriter):
 
 
 class TimeSeriesDataSource(DataSource):
-    """Format ``timeseries``: a frame with a ``line`` column. Options url, org, bucket, token, points."""
+    """Format ``timeseries``: a frame with a ``line`` column. Options url, org, bucket, token, points, rejected, run, batch."""
 
     @classmethod
     def name(cls) -> str:

@@ -1,5 +1,5 @@
-import random
 import math
+import random
 
 import pytest
 from py4j.protocol import Py4JError

@@ -100,14 +100,43 @@ def test_a_request_is_retried_only_where_that_helps():
     assert opened.call_count == 1
 
 
-def test_series_store_writes_from_the_tasks(spark, tmp_path, sf_dir):
+def test_a_refused_line_is_set_aside(tmp_path):
+    """The rest of its request is stored, and the task goes on."""
+    stored = []
+
+    def database(request, timeout):
+        lines = request.data.decode().split("\n")
+        if any("bad" in line for line in lines):
+            raise urllib.error.HTTPError(request.full_url, 400, "partial write", {}, io.BytesIO())
+        stored.extend(lines)
+        return mock.MagicMock()
+
+    options = {"url": "http://db:1", "bucket": "b", "points": "4", "rejected": f"{tmp_path}/refused", "run": "r", "batch": "7"}
+    batches = [pa.RecordBatch.from_pydict({"line": [f"m f={i}" for i in range(6)] + ["bad f=1", "m f=9", "bad f=2"]})]
+    task = mock.MagicMock(**{"partitionId.return_value": 3, "taskAttemptId.return_value": 5})
+    with mock.patch("urllib.request.urlopen", side_effect=database), mock.patch.object(timeseries.TaskContext, "get", return_value=task):
+        for _ in range(2):
+            timeseries._BatchWriter(options).write(iter(batches))
+        assert sorted(set(stored)) == [f"m f={i}" for i in (0, 1, 2, 3, 4, 5, 9)]
+        refused = {p.name: p.read_text() for p in Path(tmp_path, "refused").iterdir()}
+        assert refused == {"r-7-00003-00001.lp": "bad f=1", "r-7-00003-00002.lp": "bad f=2"}
+        with pytest.raises(urllib.error.HTTPError):
+            timeseries._BatchWriter({**options, "rejected": ""}).write(iter(batches))
+
+
+@pytest.mark.parametrize("address", ["file:{}", "file://{}", "{}"])
+def test_series_store_writes_from_the_tasks(spark, tmp_path, sf_dir, address):
     spark.dataSource.register(timeseries.TimeSeriesDataSource)
     frame = inputs.readings(spark, sf_dir).withColumn("valid", inputs.F.lit(True)).repartition(3)
-    sink = stores.series_store(f"file:{tmp_path}/points", "o", "b", "t")
-    stores.write_batch(frame, 0, [sink], "r")
-    requests = [path.read_text().split("\n") for path in Path(tmp_path, "points").glob("*.lp")]
+    sink = stores.series_store(address.format(f"{tmp_path}/points"), "o", "b", "t")
+    for _ in range(2):  # a replay leaves each line once
+        stores.write_batch(frame, 0, [sink], "r")
+    stores.write_batch(frame.limit(5), 1, [sink], "r")
+    requests = [path.read_text().split("\n") for path in Path(tmp_path, "points").glob("r-0-*.lp")]
     assert max(map(len, requests)) <= 500 and len(requests) >= 3
     assert sorted(line for r in requests for line in r) == sorted(r["line"] for r in stores.point_lines(frame).collect())
+    assert sum(len(p.read_text().split("\n")) for p in Path(tmp_path, "points").glob("r-1-*.lp")) == 5
+    assert all(p.suffix in (".lp", ".crc") for p in Path(tmp_path, "points").iterdir())
 
 
 def test_series_store_as_a_stream_sink(spark, tmp_path, sf_dir):
@@ -121,22 +150,23 @@ def test_series_store_as_a_stream_sink(spark, tmp_path, sf_dir):
     assert sorted(written) == sorted(r["line"] for r in lines.collect())
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster():
+def test_scratch_is_below_the_shared_folder():
+    settings = {"spark.sql.warehouse.dir": "hdfs:///warehouse"}
     cluster = mock.MagicMock()
-    cluster.conf.get.side_effect = lambda name, default=None: {"spark.master": "yarn"}.get(name, default)
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        sessions.scratch(cluster, "x")
-    cluster.conf.get.side_effect = lambda name, default=None: {"spark.checkpoint.dir": "hdfs:///shared/"}.get(name, default)
+    cluster.conf.get.side_effect = lambda name, default=None: settings.get(name, default)
+    assert sessions.scratch(cluster, "x").startswith("hdfs:///warehouse/_scratch/x-")
+    settings["spark.checkpoint.dir"] = "hdfs:///shared/"
     assert sessions.scratch(cluster, "x").startswith("hdfs:///shared/x-")
 
 
-@pytest.mark.parametrize("split_key", [None, "timestamp"])
+@pytest.mark.parametrize("split_key", [None, "timestamp", "sensor_id,timestamp"])
 def test_training_then_scoring_as_jobs(spark, tmp_path, sf_dir, split_key):
     history, model, out = (str(tmp_path / name) for name in ("history", "model", "out"))
     rows = inputs.readings(spark, sf_dir)
     csv_sink(rows.select(*LABELLED.names), history)
     report = jobs.train_job(spark, history, model, split_key, partitions=4, trees=10, depth=5).first()
     assert report["rows"] == report["train_rows"] + report["test_rows"] == rows.count() and report["unusable"] == 0
+    assert report["accuracy_percent"] == f"{100 * report['accuracy']:.2f}%" and report["f1_weighted_percent"].endswith("%")
     assert report["accuracy"] > 0.9 and 0.1 < report["test_rows"] / report["rows"] < 0.3
 
     encode_json(rows).select(inputs.F.col("value").cast("binary")).write.parquet(str(tmp_path / "in"))
@@ -156,6 +186,43 @@ def test_persisting_as_a_job(spark, tmp_path, sf_dir):
     assert sum(len(p.read_text().split("\n")) for p in Path(tmp_path, "points").glob("*.lp")) == rows.count()
 
 
+def _parsed(*argv):
+    return jobs._checked(jobs._arguments(), ["persist", "--out", "o", "--checkpoint", "c", *argv])
+
+
+@pytest.mark.parametrize(
+    "argv",
+    [
+        [], ["--servers", "s"], ["--topic", "t"], ["--files", "f", "--documents-uri", "mongodb://db"],
+        ["--files", "f", "--series-url", "http://db:1"], ["--files", "f", "--trigger-interval", "1 minute", "--until-caught-up"],
+    ],
+)
+def test_missing_arguments_are_named_at_the_start(argv, capsys):
+    with pytest.raises(SystemExit):
+        _parsed(*argv)
+    assert "error" in capsys.readouterr().err
+
+
+def test_stream_options(spark):
+    args = _parsed("--servers", "s", "--topic", "t", "--starting", "earliest", "--documents-uri", "mongodb://db", "--database", "d")
+    with mock.patch.object(jobs, "kafka_source") as source:
+        jobs._messages(spark, args)
+    assert source.call_args.args[1:] == ("s", "t", "earliest", None)
+    documents = jobs._sinks(spark, args, scored=True)[:2]
+    assert [s.name for s in documents] == ["processed_data", "anomalies"]
+    assert all(s.options["idFieldList"] == "sensor_id,timestamp" and s.options["operationType"] == "replace" for s in documents)
+    appended = jobs._sinks(spark, _parsed("--files", "f", "--documents-uri", "u", "--database", "d", "--document-id", ""), scored=False)[0]
+    assert "idFieldList" not in appended.options
+
+
+def test_trigger_interval(spark, tmp_path):
+    spark.createDataFrame([], "value binary").write.parquet(str(tmp_path / "in"))
+    argv = ["persist", "--files", str(tmp_path / "in"), "--out", str(tmp_path / "o"), "--checkpoint", str(tmp_path / "c"), "--trigger-interval", "1 minute"]
+    with mock.patch.object(jobs, "run_stream") as run:
+        jobs.main(argv)
+    assert run.call_args.args[-1] == {"processingTime": "1 minute"}
+
+
 def test_the_training_command(spark, tmp_path, sf_dir, capsys):
     history = str(tmp_path / "history")
     csv_sink(inputs.readings(spark, sf_dir).select(*LABELLED.names), history)

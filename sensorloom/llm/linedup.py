@@ -28,7 +28,7 @@ CHUNK = 1 << 18
 #: Candidate lines up to which their hashes are broadcast (8 MB); beyond it they are joined by shuffle.
 BROADCAST_LINES = 1_000_000
 _SPACE = " \t\n\x0b\x0c\r"
-_MASK = (1 << 24) - 1  # the low bits of a node are the parity mask of its line
+_MASK = (1 << 32) - 1  # the low bits of a node are the parity mask of its line
 
 
 def _chunks(lines: Sequence[str]) -> Iterator[Sequence[str]]:
@@ -51,17 +51,17 @@ def _prefixes(lines: Sequence[str], powers: Powers) -> tuple[np.ndarray, np.ndar
 
 
 def nodes_of(lines: Sequence[str], powers: Powers) -> np.ndarray:
-    """A hash of each line: 40 bits of its text, and the parity of its code points in 24 classes."""
+    """A hash of each line: 32 bits of its text, and the parity of its code points in 32 classes."""
     out = []
     for part in _chunks(lines):
         points, sums, starts, lengths = _prefixes(part, powers)
         text = mixed((sums[starts + lengths] - sums[starts]) * powers.down[starts] + lengths.astype(np.uint64))
-        bits = np.uint64(1) << (mixed(points.astype(np.uint64)) % np.uint64(24))
-        odd = np.zeros(len(part), np.uint64)
+        bits = np.uint32(1) << (points & np.uint32(31))  # each letter of an alphabet has a class of its own
+        odd = np.zeros(len(part), np.uint32)
         some = lengths > 0
         if some.any():
             odd[some] = np.bitwise_xor.reduceat(bits, starts[some])
-        out.append((text << np.uint64(24)) | odd)
+        out.append((text << np.uint64(32)) | odd.astype(np.uint64))
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 

@@ -1,0 +1,178 @@
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer, models, pre_tokenizers
+
+from __spark_entry__ import queries
+from sensorloom.llm import pages, tokens, toxicity
+
+MENU = "<nav><ul><li><a href=/a>Home</a><li>News</ul></nav>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (None, ""), ("", ""), ("plain text", "plain text"), ("<p>one<p>two", "one\ntwo"),
+        (f"<body>{MENU}<article><h1>T &amp; U</h1><p>a  b\n<b>c</b>&nbsp;d<br>e</article><footer>f</footer>", "T & U\na b c d\ne"),
+        ("<article><header><h1>T</h1></header>x<div class='comments'><p>no</p></div><aside>no</aside>y</article>", "T\nx\ny"),
+        ("<header>no</header><main><div id=cookie-banner>no</div><section><p>yes</section></main><div>no</div>", "yes"),
+        ("<article><p>a<script>if (a<b) '</p>'</script>b<style>p{}</style><!-- <p>no --></p><form>no<input></form></article>", "ab"),
+        ("<article><p>x <span class=ad>no</span> y</p><p hidden>no</p><table><tr><td>1<td>2</table></article>", "x y\n1\n2"),
+        ("<nav>no<article>yes</article>", "yes"), ("<div class='relatedPosts'><article>no</article></div><article>yes", "yes"),
+        ("<article>1 < 2 &lt; 3 &#x41; &unknown; <br/>z", "1 < 2 < 3 A &unknown;\nz"), ("<p>broken <a href='x>no end", "broken <a href='x>no end"),
+        ("<article class=comment>no</article><article><ul><li>a<ul><li>b</ul><li>c</ul></article>", "a\nb\nc"),
+    ],
+)
+def test_page(page, text):
+    blocks = pages.page_blocks(page or "")
+    sure = [t for _, t, s in blocks if s]
+    assert "\n".join(sure or [t for _, t, _ in blocks]) == text
+
+
+def page_table(spark, rows):
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    return df.select("*", *[F.lit("x").alias(c) for c in ("host", "blocks", "path", "_host", "text", "weak")])
+
+
+@pytest.mark.parametrize("broadcast", [20_000, 0])
+def test_style_tree(spark, prose, monkeypatch, broadcast):
+    monkeypatch.setattr(pages, "BROADCAST_HOSTS", broadcast)
+    body = [prose(20, i) for i in range(12)]
+    plain = "<div class=top>Welcome to our site</div><div class=story><p>{}</p></div><div class=low>Call us</div>"
+    rows = [(i, f"http://user@A.example.com:80/{i}", plain.format(t)) for i, t in enumerate(body)]
+    rows += [(100, "https://other.example.com/", plain.format("once")), (101, None, plain.format("nowhere")), (102, "http://a.example.com/x", None)]
+    rows += [(103, "http://a.example.com/y", "<article><div class=top>Welcome to our site</div></article>"), rows[0]]
+    docs = page_table(spark, rows)
+    out = pages.main_text(docs)
+    assert out.columns == ["page_id", "url", "text", "n_chars"]
+    got = sorted((r.page_id, r.text, r.n_chars) for r in out.collect())
+    wanted = [(i, t) for i, t in enumerate(body)] + [(0, body[0]), (102, ""), (103, "Welcome to our site")]
+    wanted += [(100, "Welcome to our site\nonce\nCall us"), (101, "Welcome to our site\nnowhere\nCall us")]
+    assert got == sorted((i, t, len(t)) for i, t in wanted)
+    assert pages.main_text(docs.limit(0)).count() == 0
+
+
+def library(pieces, byte_fallback):
+    made = Tokenizer(models.Unigram(pieces, 0, byte_fallback))
+    made.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=False)])
+    return made
+
+
+def test_counts_of_the_vocabulary(spark, documents):
+    pieces = tokens.vocabulary()
+    texts = [None, "", " \n ", "Hello world", "naïve café 😀😀 東京", "a" * 3000, "x\x1cy z\xa0w", "word " * 5000, "▁ ▁▁a <unk> <0x41>"]
+    texts += [t for (t,) in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").limit(60).collect()]
+    rows = list(enumerate(texts)) + [(3, texts[3])]
+    got = tokens.count_tokens(documents(rows), pieces).collect()
+    made = library(pieces, True)
+    assert len(got) == len(rows)
+    assert {r.doc_id: r.n_tokens for r in got} == {i: len(made.encode(t or "", add_special_tokens=False).ids) for i, t in rows}
+    assert tokens.count_tokens(documents(rows).limit(0), pieces).count() == 0
+
+
+def test_ties_and_unknown_characters():
+    for seed in range(150):
+        rng = random.Random(seed)
+        pieces = {"".join(rng.choice("ab▁é") for _ in range(rng.randint(1, 4))): float(-rng.randint(1, 4)) for _ in range(12)}
+        pieces = [("<unk>", 0.0), *pieces.items()]
+        counter, made = tokens.Counter(pieces), library(pieces, False)
+        for _ in range(20):
+            text = "".join(rng.choice("aabbé xyz  ") for _ in range(rng.randint(0, 25)))
+            assert counter.text(text)[0] == len(made.encode(text, add_special_tokens=False).ids), (pieces, text)
+
+
+def best_score(word, pieces, unknown):
+    """The best segmentation's score, by trying all."""
+    if not word:
+        return 0.0
+    cuts = [pieces[word[:n]] + best_score(word[n:], pieces, unknown) for n in range(1, len(word) + 1) if word[:n] in pieces]
+    if word[0] not in pieces:
+        cuts.append(unknown + best_score(word[1:], pieces, unknown))
+    return max(cuts)
+
+
+def test_scores(monkeypatch):
+    rng = random.Random(1)
+    pieces = {"".join(rng.choice("ab▁") for _ in range(rng.randint(1, 3))): -rng.uniform(1, 5) for _ in range(10)}
+    counter = tokens.Counter(list(pieces.items()))
+    monkeypatch.setattr(tokens, "REMEMBERED", 3)
+    for _ in range(200):
+        word = "".join(rng.choice("abc") for _ in range(rng.randint(1, 9)))
+        assert counter.text(word)[1] == pytest.approx(best_score("▁" + word, pieces, counter.unknown))
+
+
+def all_segments(x, since, until):
+    """The best segment, and the same to its left and right."""
+    best = None
+    for i in range(since, until):
+        total = 0.0
+        for j in range(i, until):
+            total += x[j]
+            if total > 1e-9 and (best is None or total > best[2] + 1e-9):
+                best = (i, j, total)
+    return [] if best is None else all_segments(x, since, best[0]) + [best] + all_segments(x, best[1] + 1, until)
+
+
+def test_segments():
+    for seed in range(1500):
+        rng = random.Random(seed)
+        x = [rng.choice([rng.uniform(0.3, 5), -0.5, -0.5, -0.5]) for _ in range(rng.randint(0, 16))]
+        got = toxicity.segments([(i, v) for i, v in enumerate(x) if v > 0], len(x), 0.5)
+        assert [g[:2] for g in got] == [w[:2] for w in all_segments(x, 0, len(x))]
+
+
+def toxic_rows(prose):
+    rng = random.Random(9)
+    rows, labels = [], []
+    for i in range(600):
+        words = prose(rng.randint(20, 120), i).split()
+        toxic = i % 6 == 0
+        for _ in range(3 if toxic else 0):
+            words.insert(rng.randrange(len(words)), rng.choice(["vermingly", "scumbert", "loathax"]))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    return rows, labels
+
+
+def test_toxic_documents_are_found(spark, documents, prose):
+    rows, labels = toxic_rows(prose)
+    docs = documents([*rows, (1000, None), (1001, ""), (None, "vermingly scumbert"), rows[0]])
+    marks = spark.createDataFrame([*labels, (5, None), (None, 1), (0, 1)], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, marks)
+    out = toxicity.score(docs, model).withColumn("held_out", toxicity.held_out()).collect()
+    assert len(out) == len(rows) + 4
+    assert all(0 <= r.score <= 1 for r in out)
+    by = {r.doc_id: r for r in out}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in by.items() if i is not None)
+    held = [(by[i].score >= toxicity.DECISION, toxic) for i, toxic in labels if by[i].held_out]
+    assert sum(a == bool(b) for a, b in held) / len(held) >= 0.98
+    assert by[1000].score == by[1001].score < toxicity.DECISION < by[None].score
+    words = rows[0][1].split()
+    marked = {j for p in by[0].passages for j in range(p.first, p.last + 1)}
+    assert {j for j, w in enumerate(words) if w.strip(".") in ("vermingly", "scumbert", "loathax")} <= marked
+
+
+def test_held_out_labels_are_not_seen(spark, documents, prose):
+    rows, labels = toxic_rows(prose)
+    docs = documents(rows)
+    flipped = [(i, 1 - t if zlib.crc32(str(i).encode()) % 4 == 2 else t) for i, t in labels]
+    models = [toxicity.fit(docs, spark.createDataFrame(x, "doc_id bigint, toxic int")) for x in (labels, flipped)]
+    assert models[0].odds == models[1].odds and models[0].weights == pytest.approx(models[1].weights)
+
+
+@pytest.mark.parametrize("marks", [[], [(1, 0)], [(1, 1), (2, 1)]])
+def test_labels_of_one_kind(spark, documents, marks):
+    docs = documents([(1, "a b"), (2, None), (3, "")])
+    model = toxicity.fit(docs, spark.createDataFrame(marks, "doc_id bigint, toxic int"))
+    assert len({r.score for r in toxicity.score(docs, model).collect()}) == 1
+    assert toxicity.score(docs.limit(0), model).count() == 0
+
+
+def test_held_out_accuracy(spark):
+    """The registered query on the given tables, against labels that it has not seen."""
+    sf_dir = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    rows = queries()["op7_toxicity"](spark, sf_dir).filter("held_out").join(labels, "doc_id").collect()
+    assert sum(r.predicted == r.toxic for r in rows) / len(rows) >= 0.9

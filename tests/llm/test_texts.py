@@ -21,7 +21,7 @@ MENU = "<nav><ul><li><a href=/a>Home</a><li>News</ul></nav>"
         ("<article><p>a<script>if (a<b) '</p>'</script>b<style>p{}</style><!-- <p>no --></p><form>no<input></form></article>", "ab"),
         ("<article><p>x <span class=ad>no</span> y</p><p hidden>no</p><table><tr><td>1<td>2</table></article>", "x y\n1\n2"),
         ("<nav>no<article>yes</article>", "yes"), ("<div class='relatedPosts'><article>no</article></div><article>yes", "yes"),
-        ("<article>1 < 2 &lt; 3 &#x41; &unknown; <br/>z", "1 < 2 < 3 A &unknown;\nz"), ("<p>broken <a href='x>no end", "broken <a href='x>no end"),
+        ("<article>1 < 2 &lt; 3 &#x41; &unknown; <br/>z", "1 < 2 < 3 A &unknown;\nz"), ("<p>broken <a href='x>no end", "broken no end"),
         ("<article class=comment>no</article><article><ul><li>a<ul><li>b</ul><li>c</ul></article>", "a\nb\nc"),
     ],
 )

@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from sensorloom.session import written
 
 
+LINKS_PER_FILE = 200_000
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and the least node of its component as ``root``, for all nodes that have links.
 
@@ -27,10 +30,11 @@ def components(links: DataFrame) -> DataFrame:
         both = down.unionAll(down.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = _downward(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        large = written(large, "links")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        down = written(_downward(small.unionAll(least.select("u", F.col("m").alias("v")))), "links")
+        small = _downward(small.unionAll(least.select("u", F.col("m").alias("v"))))
+        # As many files as its rows are worth, however many partitions the shuffles have.
+        down = written(small.coalesce(1 + new[0] // LINKS_PER_FILE), "links")
 
 
 def _downward(pairs: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.window import WindowSpec
 
 from sensorloom.functions.numbers import finite, is_missing
-from sensorloom.operators.ordering import ROWS_PER_TASK, in_pieces
+from sensorloom.operators.ordering import BROADCAST_BYTES, ROWS_PER_TASK, in_pieces
 from sensorloom.schemas import LABEL
 
 # Readings a stuck sensor repeats at least, and the smallest jump of a spike.
@@ -55,23 +55,25 @@ def spikes(
     n: int = TRAILING_READINGS,
     threshold: float = SPIKE_JUMP,
     rows_per_task: int = ROWS_PER_TASK,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Readings at least ``threshold`` away from the mean of the sensor's ``n`` previous ones.
 
     A reading with fewer than ``n`` finite readings among those is not judged, nor is one that is not finite.
     """
-    cut = in_pieces(df, key, [ts, id], before=n, rows_per_task=rows_per_task)
+    cut = in_pieces(df, key, [ts, id], before=n, rows_per_task=rows_per_task, broadcast_bytes=broadcast_bytes)
     order = Window.partitionBy(key, "_piece").orderBy(ts, id)
     marked = cut.withColumn("_spike", _is_spike(order, value, n, threshold))
     return marked.filter(F.col("_spike") & F.col("_own")).select(*df.columns)
 
 
 def partial_runs(
-    df: DataFrame, key: str, ts: str, id: str, value: str, rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, key: str, ts: str, id: str, value: str,
+    rows_per_task: int = ROWS_PER_TASK, broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Runs of equal values inside each piece; ``edge`` marks those touching a piece's border."""
     needed = df.select(*dict.fromkeys([key, ts, id, value]))
-    cut = in_pieces(needed, key, [ts, id], rows_per_task=rows_per_task)
+    cut = in_pieces(needed, key, [ts, id], rows_per_task=rows_per_task, broadcast_bytes=broadcast_bytes)
     order = Window.partitionBy(key, "_piece").orderBy(ts, id)
     marked = cut.withColumn("_starts", _starts_run(order, value)).withColumn(
         "_last", F.lead(F.lit(True)).over(order).isNull()
@@ -130,12 +132,13 @@ def stuck_runs(
     value: str = "temperature",
     min_readings: int = STUCK_READINGS,
     rows_per_task: int = ROWS_PER_TASK,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Runs of at least ``min_readings`` consecutive equal values, one row each.
 
     A null or NaN reading ends a run; a run of them is missing data, not a stuck sensor.
     """
-    partials = partial_runs(df, key, ts, id, value, rows_per_task)
+    partials = partial_runs(df, key, ts, id, value, rows_per_task, broadcast_bytes)
     kept = partials.filter(F.col("edge") | (F.col("readings") >= min_readings))
     runs = stitched_runs(kept, key, value)
     long_enough = (F.col("readings") >= min_readings) & is_reading(df, value)
@@ -153,6 +156,7 @@ def label_anomalies(
     threshold: float = SPIKE_JUMP,
     min_readings: int = STUCK_READINGS,
     rows_per_task: int = ROWS_PER_TASK,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add ``is_spike``, ``is_stuck`` and the label ``is_anomaly`` (either, as 0/1) to every reading.
 
@@ -162,7 +166,7 @@ def label_anomalies(
     """
     repeated = repeated or value
     reach = min_readings - 1
-    cut = in_pieces(df, key, [ts, id], max(n, reach), reach, rows_per_task)
+    cut = in_pieces(df, key, [ts, id], max(n, reach), reach, rows_per_task, broadcast_bytes)
     order = Window.partitionBy(key, "_piece").orderBy(ts, id)
     same_run = Window.partitionBy(key, "_piece", "_run")
     numbered = cut.withColumn("is_spike", _is_spike(order, value, n, threshold)).withColumn(

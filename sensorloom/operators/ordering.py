@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sensorloom.session import written
 
 ROWS_PER_TASK = 4_000_000
+#: Tables above this size are not broadcast; their rows are copied this often instead.
+BROADCAST_BYTES = 64 << 20
+SALTS = 64
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row within partition below
 
 
@@ -36,19 +39,42 @@ def with_position(df: DataFrame, order: Sequence[str], position: str = "position
     )
 
 
+def fits_broadcast(table: DataFrame, budget: int = BROADCAST_BYTES) -> bool:
+    """Whether a stored table is small enough to be sent to every executor, by the size of its values as text."""
+    row = F.lit(16 * len(table.columns))
+    for column in table.columns:
+        row = row + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
+    return (table.agg(F.sum(row.cast("bigint"))).first()[0] or 0) <= budget
+
+
+def spread_join(
+    df: DataFrame, table: DataFrame, on: Column, how: str, salt_by: Sequence[str], budget: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Join busy keys' rows with a stored ``table`` of few rows per key, without gathering a key in one task.
+
+    A table within the byte budget is broadcast. Of a larger one every row is copied ``SALTS`` times, and
+    the rows of ``df`` are dealt over the copies by a hash of ``salt_by``.
+    """
+    if fits_broadcast(table, budget):
+        return df.join(F.broadcast(table), on, how)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)).cast("int"))
+    copies = table.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, on & (F.col("_salt") == F.col("_copy")), how).drop("_salt", "_copy")
+
+
 def busy_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
-    """Keys with more than ``rows_per_task`` rows: at most ``1 / rows_per_task`` of all rows.
+    """A stored table of the keys with more than ``rows_per_task`` rows: at most ``1 / rows_per_task`` of all rows.
 
     Reads only the key column and combines before the shuffle. Null counts as a key.
     """
-    return df.groupBy(key).count().filter(F.col("count") > rows_per_task).select(F.col(key).alias("_busy"))
+    counted = df.groupBy(key).count().filter(F.col("count") > rows_per_task)
+    return written(counted.select(F.col(key).alias("_busy")), "busy")
 
 
-def split_busy(df: DataFrame, key: str, rows_per_task: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(rows of busy keys, all other rows, busy keys)``; the few keys are written and broadcast."""
-    busy = F.broadcast(written(busy_keys(df, key, rows_per_task), "busy"))
+def split_busy(df: DataFrame, key: str, busy: DataFrame, budget: int = BROADCAST_BYTES) -> tuple[DataFrame, DataFrame]:
+    """``(rows of busy keys, all other rows)``."""
     is_busy = F.col(key).eqNullSafe(F.col("_busy"))
-    return df.join(busy, is_busy, "left_semi"), df.join(busy, is_busy, "left_anti"), busy
+    return tuple(spread_join(df, busy, is_busy, how, df.columns, budget) for how in ("left_semi", "left_anti"))
 
 
 def in_pieces(
@@ -58,6 +84,7 @@ def in_pieces(
     before: int = 0,
     after: int = 0,
     rows_per_task: int = ROWS_PER_TASK,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Cut the ordered history of busy keys into ``_piece``s that one task can hold.
 
@@ -69,10 +96,11 @@ def in_pieces(
     ``df`` is read several times, so it should be a stored table or persisted.
     """
     uncut = {"_piece": F.lit(0).cast("bigint"), "_own": F.lit(True)}
-    if busy_keys(df, key, rows_per_task).isEmpty():
+    keys = busy_keys(df, key, rows_per_task)
+    if keys.isEmpty():
         return df.withColumns(uncut)
 
-    busy, rest, _ = split_busy(df, key, rows_per_task)
+    busy, rest = split_busy(df, key, keys, broadcast_bytes)
     placed = with_position(busy, [key, *order], "_position")
 
     def piece_of(offset: int):

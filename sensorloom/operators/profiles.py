@@ -6,10 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from sensorloom.operators.ordering import ROWS_PER_TASK, split_busy
+from sensorloom.operators.ordering import BROADCAST_BYTES, ROWS_PER_TASK, busy_keys, fits_broadcast, split_busy, spread_join
 from sensorloom.schemas import FEATURES
-
-BROADCAST_ROWS = 200_000
+from sensorloom.session import written
 
 
 def _moments(values: Sequence[str]):
@@ -41,15 +40,16 @@ def residual(
     key: str = "sensor_id",
     ts: str = "ts",
     values: Sequence[str] = FEATURES,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Each reading's distance from its sensor's profile for that hour, as ``<value>_residual``.
 
-    ``profile`` should be a stored table, as its size is checked first. If it is small it is
-    broadcast. If not, only the entries of busy sensors are, at most 24 for each, so that no busy
-    sensor is shuffled to one task; the other sensors' readings are joined by shuffle. A null
-    sensor is matched like any other, and a reading without an entry has null residuals.
+    ``profile`` should be a stored table, as its size is checked first. Within ``broadcast_bytes`` it is
+    broadcast. If it is larger, busy sensors' readings are spread over copies of these sensors' entries, at
+    most 24 for each, so that no busy sensor is shuffled to one task; the other sensors' readings are
+    joined by shuffle. A null sensor is matched like any other, and a reading without an entry has null
+    residuals.
     """
     means = profile.select(
         F.col(key).alias("_key"), F.col("hour").alias("_hour"), *[f"{v}_mean" for v in values]
@@ -57,13 +57,15 @@ def residual(
     same_entry = F.col(key).eqNullSafe(F.col("_key")) & F.col("hour").eqNullSafe(F.col("_hour"))
     timed = df.withColumn("hour", F.hour(ts))
 
-    def distances(rows: DataFrame, entries: DataFrame) -> DataFrame:
+    def distances(joined: DataFrame) -> DataFrame:
         gaps = [(F.col(v) - F.col(f"{v}_mean")).alias(f"{v}_residual") for v in values]
-        return rows.join(entries, same_entry, "left").select(*df.columns, "hour", *gaps)
+        return joined.select(*df.columns, "hour", *gaps)
 
-    if profile.select(key).limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return distances(timed, F.broadcast(means))
+    if fits_broadcast(means, broadcast_bytes):
+        return distances(timed.join(F.broadcast(means), same_entry, "left"))
 
-    busy_rows, other_rows, busy = split_busy(timed, key, rows_per_task)
-    busy_means = means.join(busy, F.col("_key").eqNullSafe(F.col("_busy")), "left_semi")
-    return distances(busy_rows, F.broadcast(busy_means)).unionByName(distances(other_rows, means))
+    keys = busy_keys(timed, key, rows_per_task)
+    busy_rows, other_rows = split_busy(timed, key, keys, broadcast_bytes)
+    entries = written(spread_join(means, keys, F.col("_key").eqNullSafe(F.col("_busy")), "left_semi", ["_hour"], broadcast_bytes), "entries")
+    busy = spread_join(busy_rows, entries, same_entry, "left", df.columns, broadcast_bytes)
+    return distances(busy).unionByName(distances(other_rows.join(means, same_entry, "left")))

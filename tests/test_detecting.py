@@ -9,7 +9,7 @@ from sensorloom.operators import detecting
 from sensorloom.operators.ordering import chronological, in_pieces, with_position
 
 SCHEMA = "sensor_id string, ts int, event_id int, temperature double"
-PIECES = [10**6, 7, 3, 1]
+PIECES = [(10**6, 1 << 20), (7, 1 << 20), (3, 1 << 20), (1, 1 << 20), (7, 0), (3, 0)]
 
 
 def _same(a, b):
@@ -67,23 +67,23 @@ HISTORIES = {
 }
 
 
-@pytest.mark.parametrize("rows_per_task", PIECES)
-def test_stuck_runs(spark, rows_per_task):
-    found = detecting.stuck_runs(_frame(spark, HISTORIES), rows_per_task=rows_per_task)
+@pytest.mark.parametrize(("rows_per_task", "broadcast_bytes"), PIECES)
+def test_stuck_runs(spark, rows_per_task, broadcast_bytes):
+    found = detecting.stuck_runs(_frame(spark, HISTORIES), rows_per_task=rows_per_task, broadcast_bytes=broadcast_bytes)
     assert sorted(map(tuple, found.collect())) == _walked_stuck(HISTORIES, 15)
     assert {row["sensor_id"] for row in found.collect()} == {"stuck", "spike then stuck", "to the end", "always"}
 
 
-@pytest.mark.parametrize("rows_per_task", PIECES)
-def test_spikes(spark, rows_per_task):
-    found = detecting.spikes(_frame(spark, HISTORIES), n=20, threshold=15.0, rows_per_task=rows_per_task)
+@pytest.mark.parametrize(("rows_per_task", "broadcast_bytes"), PIECES)
+def test_spikes(spark, rows_per_task, broadcast_bytes):
+    found = detecting.spikes(_frame(spark, HISTORIES), n=20, threshold=15.0, rows_per_task=rows_per_task, broadcast_bytes=broadcast_bytes)
     assert sorted((r["sensor_id"], r["ts"]) for r in found.collect()) == _walked_spikes(HISTORIES, 20, 15.0)
     assert ("spike", 25) in _walked_spikes(HISTORIES, 20, 15.0)
 
 
-@pytest.mark.parametrize("rows_per_task", PIECES)
-def test_labels(spark, rows_per_task):
-    labelled = detecting.label_anomalies(_frame(spark, HISTORIES), n=4, threshold=8.0, min_readings=5, rows_per_task=rows_per_task)
+@pytest.mark.parametrize(("rows_per_task", "broadcast_bytes"), PIECES)
+def test_labels(spark, rows_per_task, broadcast_bytes):
+    labelled = detecting.label_anomalies(_frame(spark, HISTORIES), n=4, threshold=8.0, min_readings=5, rows_per_task=rows_per_task, broadcast_bytes=broadcast_bytes)
     rows = labelled.collect()
     assert len(rows) == sum(map(len, HISTORIES.values()))
     assert sorted((r["sensor_id"], r["ts"]) for r in rows if r["is_spike"]) == _walked_spikes(HISTORIES, 4, 8.0)

@@ -157,19 +157,19 @@ def test_baseline_of_one_reading_has_no_spread(spark):
     assert feature_stats(df).first()["temperature_mean"] == pytest.approx(5 / 3)
 
 
-@pytest.mark.parametrize(("broadcast_rows", "rows_per_task"), [(200_000, 10), (7, 10**6), (0, 205), (0, 1)])
-def test_residual_is_the_same_for_every_join(rows, broadcast_rows, rows_per_task):
-    gaps = residual(rows, daily_profile(rows).persist(), broadcast_rows=broadcast_rows, rows_per_task=rows_per_task)
+@pytest.mark.parametrize(("broadcast_bytes", "rows_per_task"), [(1 << 20, 10), (500, 10**6), (0, 205), (0, 1), (500, 1)])
+def test_residual_is_the_same_for_every_join(rows, broadcast_bytes, rows_per_task):
+    gaps = residual(rows, daily_profile(rows).persist(), broadcast_bytes=broadcast_bytes, rows_per_task=rows_per_task)
     assert gaps.count() == rows.count()
     sums = gaps.groupBy("sensor_id", "hour").agg(F.sum("temperature_residual").alias("s")).agg(F.max(F.abs("s"))).first()[0]
     assert sums == pytest.approx(0, abs=1e-6)
 
 
 @pytest.mark.parametrize("rows_per_task", [100, 20, 5])
-@pytest.mark.parametrize("broadcast_rows", [10, 0])
-def test_a_null_sensor_has_a_profile_too(spark, broadcast_rows, rows_per_task):
+@pytest.mark.parametrize("broadcast_bytes", [10_000, 0])
+def test_a_null_sensor_has_a_profile_too(spark, broadcast_bytes, rows_per_task):
     df = spark.sql("select if(id < 30, null, 'a') as sensor_id, timestamp_ntz'2025-01-01 05:00:00' as ts, float(id) as temperature, 1f as humidity from range(40)")
-    gaps = residual(df, daily_profile(df), broadcast_rows=broadcast_rows, rows_per_task=rows_per_task).collect()
+    gaps = residual(df, daily_profile(df), broadcast_bytes=broadcast_bytes, rows_per_task=rows_per_task).collect()
     assert len(gaps) == 40
     assert all(r["temperature_residual"] == r["temperature"] - (14.5 if r["sensor_id"] is None else 34.5) for r in gaps)
 
@@ -178,7 +178,7 @@ def test_residual_keeps_readings_without_a_profile(spark):
     df = spark.sql("select * from values ('a', timestamp_ntz'2025-01-01 05:00:00', 1f, 2f), (null, timestamp_ntz'2025-01-01 05:00:00', 1f, 2f), ('b', null, 1f, 2f) as t(sensor_id, ts, temperature, humidity)")
     profile = daily_profile(df.filter("sensor_id = 'a'"))
     for limit, rows_per_task in ((10, 10), (0, 10), (0, 0)):
-        gaps = residual(df, profile, broadcast_rows=limit, rows_per_task=rows_per_task).collect()
+        gaps = residual(df, profile, broadcast_bytes=limit, rows_per_task=rows_per_task).collect()
         assert {(r["sensor_id"], r["temperature_residual"]) for r in gaps} == {("a", 0.0), (None, None), ("b", None)}
 
 

@@ -2,14 +2,15 @@
 
 A keyed state function would hand all of one sensor's readings in a batch to one task. Here every
 batch goes through the batch detector, which can cut a busy sensor's readings into pieces, and
-the only state is each sensor's latest run, one row per sensor.
+the only state is each sensor's latest run, one row per sensor, in buckets by a hash of the sensor. A
+batch reads and rewrites the buckets of its own sensors alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorloom.operators.detecting import STUCK_READINGS, is_reading, partial_runs, stitched_runs
@@ -18,6 +19,51 @@ from sensorloom.session import scratch_scope
 from sensorloom.streaming.fanout import checkpoint_run
 
 
+#: Buckets of the state, and how long a silent sensor is remembered where times are timestamps.
+BUCKETS = 64
+FORGET_AFTER = "30 days"
+
+
+class _State:
+    """Latest runs per bucket, in two slots of which the newer one counts.
+
+    Every row says which batch wrote it. A batch reads of each bucket the newest slot written before it
+    and replaces the other one, so a replayed batch finds its own input unchanged.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, rows: T.StructType, batch_id: int):
+        extra = "batch bigint, marker boolean, bucket int, slot int"
+        self.schema = T.StructType([*rows.fields, *T.StructType.fromDDL(extra).fields])
+        self.spark, self.path, self.rows, self.batch_id = spark, path, rows, batch_id
+        if batch_id == 0:
+            empty = spark.createDataFrame([], self.schema)
+            empty.write.mode("append").partitionBy("bucket", "slot").parquet(path)
+
+    def read(self, buckets: Sequence[int]) -> DataFrame:
+        """The latest runs of these buckets."""
+        stored = self.spark.read.schema(self.schema).parquet(self.path).filter(F.col("bucket").isin(*buckets) & (F.col("batch") < self.batch_id))
+        # At most two slots per bucket pass through the driver.
+        newest = stored.groupBy("bucket").agg(F.max_by("slot", "batch").alias("slot")).collect()
+        self.current = {row["bucket"]: row["slot"] for row in newest}
+        wanted = F.lit(False)
+        for bucket, slot in self.current.items():
+            wanted = wanted | ((F.col("bucket") == bucket) & (F.col("slot") == slot))
+        return stored.filter(wanted & ~F.col("marker")).select(*self.rows.names)
+
+    def replace(self, latest: DataFrame, key: str, buckets: Sequence[int]) -> None:
+        """Store the latest runs of these buckets, and a marker in each so that an empty one counts too."""
+        slots = F.create_map(*[F.lit(x) for b in buckets for x in (b, 1 - self.current.get(b, 1))])
+        markers = self.spark.createDataFrame([(b,) for b in buckets], "bucket int").withColumn("marker", F.lit(True))
+        rows = latest.withColumn("bucket", bucket_of(key)).withColumn("marker", F.lit(False)).unionByName(markers, allowMissingColumns=True)
+        rows = rows.withColumns({"slot": slots[F.col("bucket")], "batch": F.lit(self.batch_id).cast("bigint")}).select(*self.schema.names)
+        # Only the slots written here are replaced.
+        rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "slot").parquet(self.path)
+
+
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
 def stuck_runs_stream(
     readings: DataFrame,
     path: str,
@@ -27,24 +73,21 @@ def stuck_runs_stream(
     id: str = "event_id",
     value: str = "temperature",
     min_readings: int = STUCK_READINGS,
-    forget_after: str | None = None,
+    forget_after: str | None = FORGET_AFTER,
     rows_per_task: int = ROWS_PER_TASK,
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
     """Append an alert ``(key, start, value)`` to ``path`` once, when a run reaches ``min_readings``.
 
     Readings are put in order within a batch; one that arrives in a later batch than its successors
-    counts as the newest. ``forget_after`` (an interval such as ``"1 day"``) drops the state of
-    sensors that have been silent for longer, measured against the batch's newest reading; it needs a
-    timestamp column as ``ts``.
+    counts as the newest. ``forget_after`` (an interval such as ``"1 day"``, or none) drops the state of
+    sensors that have been silent for longer, measured against the batch's newest reading, whenever their
+    bucket is written; it needs a timestamp column as ``ts`` and has no effect on times as text.
 
-    The state lies inside the checkpoint in two folders used in turn: a batch reads what the one
-    before wrote and writes the other, so a replayed batch finds its own input unchanged.
+    The state lies inside the checkpoint.
     """
     runs: list[str] = []
-
-    def slot(batch_id: int) -> str:
-        return f"{checkpoint}/latest_runs/slot={batch_id % 2}"
+    ages = isinstance(readings.schema[ts].dataType, (T.TimestampType, T.TimestampNTZType))
 
     def advance(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -56,20 +99,23 @@ def stuck_runs_stream(
             with scratch_scope(spark):
                 partials = partial_runs(rows, key, ts, id, value, rows_per_task)
                 partials = partials.filter(F.col("edge") | (F.col("readings") >= min_readings))
-                if batch_id > 0:
-                    known = spark.read.parquet(slot(batch_id - 1))
-                    newest = rows.agg(F.max(ts)).first()[0] if forget_after else None
-                    if newest is not None:
-                        known = known.filter(F.col("end") >= F.lit(newest) - F.expr(f"interval {forget_after}"))
-                    before_all = {"_piece": F.lit(-1).cast("bigint"), "run": F.lit(0).cast("bigint"),
-                                  "carried": F.col("readings"), "edge": F.lit(True)}
-                    partials = partials.unionByName(known.withColumns(before_all))
+                kinds = {**{c: rows.schema[c].dataType for c in (key, value)}, "start": rows.schema[ts].dataType, "end": rows.schema[ts].dataType}
+                schema = T.StructType([T.StructField(c, kind) for c, kind in kinds.items()]).add("readings", "long")
+                state = _State(spark, f"{checkpoint}/latest_runs", schema, batch_id)
+                touched = sorted(row[0] for row in rows.select(bucket_of(key)).distinct().collect())
+                known = state.read(touched)
+                newest = rows.agg(F.max(ts)).first()[0] if forget_after and ages else None
+                if newest is not None:
+                    known = known.filter(F.col("end") >= F.lit(newest) - F.expr(f"interval {forget_after}"))
+                before_all = {"_piece": F.lit(-1).cast("bigint"), "run": F.lit(0).cast("bigint"),
+                              "carried": F.col("readings"), "edge": F.lit(True)}
+                partials = partials.unionByName(known.withColumns(before_all))
                 found = stitched_runs(partials, key, value).persist()
                 reached = (F.col("readings") >= min_readings) & (F.col("carried") < min_readings)
                 alerts = found.filter(reached & is_reading(found, value)).select(key, "start", value)
                 alerts.write.mode("overwrite").parquet(f"{path}/run={runs[0]}/batch={batch_id}")
-                latest = found.filter("latest").select(key, value, "start", "end", "readings")
-                latest.write.mode("overwrite").parquet(slot(batch_id))
+                if touched:
+                    state.replace(found.filter("latest").select(*schema.names), key, touched)
         finally:
             rows.unpersist()
             if found is not None:

@@ -105,12 +105,13 @@ def split_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many of the two parts each reading is in, and whether four fifths of all are in the first, give or take three percent."""
+    """How many of the two parts each reading is in, and whether the first has four fifths of all, give or take four deviations."""
     train, test = splitting.split_random(inputs.readings(spark, sf_dir).select("event_id"))
     both = train.withColumn("first", F.lit(1)).unionAll(test.withColumn("first", F.lit(0)))
-    share = both.agg(F.avg("first")).first()[0] or 0.8
+    share, rows = both.agg(F.avg("first"), F.count("*")).first()
+    near = rows == 0 or abs(share - 0.8) <= 4 * (0.8 * 0.2 / rows) ** 0.5
     parts = both.groupBy("event_id").agg(F.count("*").alias("parts"))
-    return parts.withColumn("share_as_asked", F.lit(abs(share - 0.8) <= 0.03))
+    return parts.withColumn("share_as_asked", F.lit(near))
 
 
 def train_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

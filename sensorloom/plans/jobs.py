@@ -17,9 +17,10 @@ from sensorloom.functions.numbers import any_of, is_missing
 from sensorloom.operators.evaluating import evaluate
 from sensorloom.operators.modeling import load_model, save_model, score, train
 from sensorloom.operators.splitting import split_keyed, split_random
-from sensorloom.schemas import FEATURES, LABEL
+from sensorloom.schemas import FEATURES, LABEL, LINE, READING, REJECTED, SCORED
 from sensorloom.session import scratch_scope, session, written
 from sensorloom.sinks import stores
+from sensorloom.sinks.compaction import compact_store
 from sensorloom.sinks.timeseries import TimeSeriesDataSource
 from sensorloom.sources.files import csv_source, file_stream
 from sensorloom.sources.kafka import kafka_source
@@ -108,13 +109,17 @@ def _arguments() -> argparse.ArgumentParser:
         stream.add_argument("--until-caught-up", action="store_true", help="stop after what is there now")
         if name == "score":
             stream.add_argument("--model", required=True)
+    compacting = jobs.add_parser("compact", help="merge the folders of a store's older batches")
+    compacting.add_argument("--out", required=True, help="folder of the path-based stores")
+    compacting.add_argument("--store", required=True, choices=["processed_data", "anomalies", "series", "rejected"])
+    compacting.add_argument("--unscored", action="store_true", help="the store holds readings without a prediction")
     return parser
 
 
 def _checked(parser: argparse.ArgumentParser, argv: Sequence[str] | None) -> argparse.Namespace:
     """The arguments, or an error before anything starts if some that need each other are not there."""
     args = parser.parse_args(argv)
-    if args.job != "train":
+    if args.job in ("score", "persist"):
         if not args.files and not (args.servers and args.topic):
             parser.error("give --servers and --topic, or --files")
         if args.documents_uri and not args.database:
@@ -132,6 +137,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     if args.job == "train":
         train_job(spark, args.history, args.model, args.split_key or None, args.partitions, combine_equal=args.combine_equal).show(truncate=False)
         return
+    if args.job == "compact":
+        schema, file_format = {"series": (LINE, "text"), "rejected": (REJECTED, "parquet")}.get(args.store, (READING if args.unscored else SCORED, "parquet"))
+        print(compact_store(spark, f"{args.out}/{args.store}", schema, file_format))
+        return
     model = load_model(spark, args.model) if args.job == "score" else None
     trigger = {"processingTime": args.trigger_interval} if args.trigger_interval else None
     trigger = {"availableNow": True} if args.until_caught_up else trigger

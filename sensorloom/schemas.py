@@ -27,6 +27,7 @@ SCORED = (
     .add("is_anomaly_predicted", "integer")
 )
 LINE = T.StructType().add("line", "string")
+REJECTED = T.StructType().add("value", "string")
 FEATURES = ("temperature", "humidity")
 LABEL = "is_anomaly"
 PREDICTED = "is_anomaly_predicted"

@@ -47,8 +47,17 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     finally:
         _scope.reset(token)
         for path in opened:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            store, at = shared_file_system(spark, path)
+            store.delete(at(path), True)
+
+
+def shared_file_system(spark: SparkSession, path: str):
+    """The file system of ``path`` as Spark sees it, and the function that makes its paths.
+
+    PySpark has no public call to delete or rename what Spark has written.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

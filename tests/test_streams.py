@@ -1,4 +1,5 @@
 import json
+import shutil
 import time
 from pathlib import Path
 from unittest import mock
@@ -11,6 +12,7 @@ from sensorloom.operators import codec, detecting
 from sensorloom.plans import inputs
 from sensorloom.schemas import LINE, READING, SCORED
 from sensorloom.sinks import stores
+from sensorloom.sinks.compaction import compact_store
 from sensorloom.sources.files import file_stream
 from sensorloom.streaming.fanout import checkpoint_run, read_stream, run_stream
 from sensorloom.streaming.stuck import bucket_of, stuck_runs_stream
@@ -119,6 +121,36 @@ def test_document_store_options():
     assert sink.options == {"connection.uri": "mongodb://db", "database": "telemetry", "collection": "anomalies", "operationType": "replace"}
 
 
+@pytest.mark.parametrize("broken_off", [False, True])
+def test_small_batches_are_merged(spark, place, broken_off):
+    for k in range(6):
+        _arrive(spark, place("in"), [_message(n) for n in range(5 * k, 5 * k + 5)], partitions=1)
+    sinks = [stores.processed(place("all"))]
+    _run(spark, place, sinks, files=1)
+    before = _stored(spark, place, "all")
+    if broken_off:
+        # The merged rows are there, and half of the old folders gone.
+        run = next(Path(place("all")).glob("run=*"))
+        spark.read.parquet(place("all")).filter("batch < 5").select(*READING.names).coalesce(1).write.parquet(f"{run}/_merged=4")
+        for n in (0, 1):
+            shutil.rmtree(run / f"batch={n}")
+    assert compact_store(spark, place("all"), READING) == (0 if broken_off else 4)
+    assert _stored(spark, place, "all") == before
+    folders = sorted(p.name for p in Path(place("all")).glob("run=*/*"))
+    assert folders == ["batch=4", "batch=5"]
+    assert len(list(Path(place("all")).glob("run=*/batch=4/*.parquet"))) == 1
+    # A replay of the newest batch and new batches go on as before.
+    run = next(Path(place("all")).glob("run=*")).name.removeprefix("run=")
+    newest = spark.read.parquet(place("all")).filter("batch = 5").select(*READING.names).withColumn("valid", F.lit(True)).persist()
+    newest.count()
+    stores.write_batch(newest, 5, sinks, run)
+    assert _stored(spark, place, "all") == before
+    _arrive(spark, place("in"), [_message(40)], partitions=1)
+    _run(spark, place, sinks)
+    assert len(_stored(spark, place, "all")) == len(before) + 1
+    assert compact_store(spark, place("nothing"), READING) == 0
+
+
 # Stuck sensors on a stream
 
 LOG = T.StructType().add("sensor_id", "string").add("ts", "timestamp_ntz").add("event_id", "long").add("temperature", "double")

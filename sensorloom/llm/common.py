@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
-# Functions reach the executors with the task, so that they need no copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules["sensorloom"])
-
 #: A word is a run of anything but these white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts turned into Python objects at a time.

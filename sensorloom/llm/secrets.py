@@ -9,6 +9,7 @@ furthest end before it and the nearest start after it, and so makes no pairs.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter
@@ -65,8 +66,6 @@ def find_parts(text: str) -> list[tuple[str, int, int, int]]:
     weak += [("opaque", *m.span()) for m in OPAQUE.finditer(text) if _opaque(m[0])]
     weak += [("endpoint", *m.span()) for m in ENDPOINT.finditer(text)]
     if strong and weak:  # a weak part inside a strong one is the same thing
-        import bisect
-
         starts = [start for start, _ in strong]
         ends, most = [], -1
         for _, end in strong:

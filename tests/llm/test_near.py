@@ -89,7 +89,7 @@ def near_rows(prose):
     for text in base:
         rows += [text, text] + [edited(text, rng, rng.choice((1, 2, 3, 5, 12))) for _ in range(6)]
     # A large group of near copies, and a passage that many texts share.
-    rows += [edited(base[0], rng, 2) for _ in range(120)]
+    rows += [edited(base[0], rng, 2) for _ in range(60)]
     passage = prose(60, 99)
     rows += [prose(120, 500 + i) + " " + passage for i in range(60)]
     rows += [None, "", "", "one two", "one two", "one three", " \n "]

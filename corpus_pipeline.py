@@ -10,7 +10,7 @@ from sensorloom.session import written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the quality rules keep, as they were."""
+    """The documents that the quality rules keep, without their lines that failed."""
     return quality.keep_good(docs)
 
 

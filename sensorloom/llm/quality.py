@@ -5,8 +5,8 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField
 
 from sensorloom.llm.common import WORD, per_text
 
@@ -104,15 +104,31 @@ def quality(docs: DataFrame) -> DataFrame:
     return per_text(docs, ["doc_id"], "text", FIELDS, judge)
 
 
+def without(text: str, failed: list[int]) -> str:
+    """``text`` without the lines numbered in ``failed``."""
+    gone = set(failed)
+    return "\n".join(line for number, line in enumerate(text.split("\n")) if number not in gone)
+
+
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose documents are kept, with their columns and texts as they were.
+    """The rows of ``docs`` whose documents are kept, their texts without the lines that failed.
 
-    The text goes through the judgement beside the row, so nothing is joined or shuffled. Texts may be
-    null (not kept); any further columns are carried along.
+    ``n_chars``, if there is one, is counted anew where lines went; a document without failed lines stays
+    as it was. The text goes through the judgement beside the row, so nothing is joined or shuffled.
+    Texts may be null (not kept); any further columns are carried along.
     """
-    fields = [StructField("_kept", BooleanType())]
-    named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    judged = per_text(named, named.columns, f"c{docs.columns.index('text')}", fields, lambda text: (judge(text)[6],))
-    return judged.filter("_kept").drop("_kept").toDF(*docs.columns)
 
+    def clean(text: str) -> tuple:
+        *_, kept, failed = judge(text)
+        return kept, without(text, failed) if kept and failed else None
 
+    fields = [StructField("_kept", BooleanType()), StructField("_clean", StringType())]
+    named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text = f"c{docs.columns.index('text')}"
+    judged = per_text(named, named.columns, text, fields, clean).filter("_kept")
+    new = {text: F.coalesce("_clean", text)}
+    if "n_chars" in docs.columns:
+        counted = f"c{docs.columns.index('n_chars')}"
+        n_chars = F.length("_clean").cast(docs.schema["n_chars"].dataType)
+        new[counted] = F.when(F.col("_clean").isNull(), F.col(counted)).otherwise(n_chars)
+    return judged.select(*[new.get(c, F.col(c)).alias(c) for c in named.columns]).toDF(*docs.columns)

@@ -62,6 +62,18 @@ def test_lines_lost(documents, prose):
     assert failed[4] == [0, 2] and failed[1] == []
 
 
+def test_failed_lines_go(documents, prose):
+    good, more = prose(60, 1), prose(30, 2)
+    menu, legal = "Home | News | Sport | Contact", "All rights reserved."
+    docs = documents([(1, f"{menu}\n{good}\n\n{legal}\n{more}\n{legal}"), (2, f"{good}\n\n{more}\n"), (3, f"{menu}\n" * 30 + good)])
+    kept = quality.keep_good(docs)
+    assert kept.dtypes == docs.dtypes
+    rows = {r.doc_id: r for r in kept.collect()}
+    assert {i: r.text for i, r in rows.items()} == {1: f"{good}\n\n{more}", 2: f"{good}\n\n{more}\n"}
+    assert all(r.n_chars == len(r.text) and r._kept == "x15" for r in rows.values())
+    assert quality.keep_good(docs.drop("n_chars")).count() == 2
+
+
 def targets(sizes, weights=(5, 2, 1), most=3):
     """Reshare by hand until no source is above its limit."""
     names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [s for s in sizes if s is None]

@@ -40,6 +40,11 @@ NAMES = frozenset(
     " promo promoted recommended related replies reply responses search share sharing sidebar signup skip social sponsor sponsored"
     " subscribe subscription toolbar topbar tracking widget widgets".split()
 )
+#: What may stand beside such a name in a class or id that still says what the element itself is, as in related-posts.
+BESIDE = frozenset(
+    "area bar block box button buttons container form icons inner item items link links list outer panel post posts section site slot unit"
+    " wrap wrapper".split()
+)
 HOLDS = frozenset("article main".split())
 #: A start of one of these ends an open one of the same group.
 ENDS_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
@@ -57,12 +62,12 @@ _MASK = (1 << 63) - 1
 
 
 class _Node:
-    """An open element: what it is, its path's hash, and whether its text counts."""
+    """An open element: what it is, its path's hash, whether its text counts, and the places of its named element and holder."""
 
-    __slots__ = ("tag", "path", "noise", "chrome", "sure")
+    __slots__ = ("tag", "path", "noise", "chrome", "sure", "named", "holder")
 
-    def __init__(self, tag: str, path: int, noise: bool, chrome: bool, sure: bool):
-        self.tag, self.path, self.noise, self.chrome, self.sure = tag, path, noise, chrome, sure
+    def __init__(self, tag: str, path: int, noise: bool, chrome: bool, sure: bool, named: int = -1, holder: int = -1):
+        self.tag, self.path, self.noise, self.chrome, self.sure, self.named, self.holder = tag, path, noise, chrome, sure, named, holder
 
 
 def _hash(*parts: object) -> int:
@@ -84,9 +89,55 @@ def _said(raw: str) -> dict[str, str]:
 def _is_noise(said: dict[str, str]) -> bool:
     if "hidden" in said or said.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", said.get("style", ""), re.I):
         return True
-    if said.get("role", "").lower() in ROLES:
-        return True
-    return any(part.lower() in NAMES for key in ("class", "id") for part in _NAME_PART.findall(said.get(key, "")))
+    return said.get("role", "").lower() in ROLES
+
+
+def _is_named(said: dict[str, str]) -> bool:
+    """Whether a whole class or the id is a name of noise: no part of it says anything else, as in has-sidebar."""
+    for name in [*said.get("class", "").split(), said.get("id", "")]:
+        parts = [part.lower() for part in _NAME_PART.findall(name)]
+        if any(p in NAMES for p in parts) and all(p in NAMES or p in BESIDE or p.isdigit() for p in parts):
+            return True
+    return False
+
+
+def _dropped(pieces: list[tuple[str, int, int]], names: list[tuple[int, bool]], holders: list[tuple[int, int]]) -> list[bool]:
+    """Which named elements go with all that is in them.
+
+    A name does not count against most of the page's text, unless other text stands in an article or
+    main element and no single such element holds most of the text; nor against an article or main
+    element if no other text stands in one. ``pieces`` are (text, named element, holder); ``names`` have the
+    named element around and whether they are holders themselves, ``holders`` the holder around and
+    their named element.
+    """
+    if not names:
+        return []
+    chars, held, central = [0] * len(names), [0] * len(holders), [False] * len(names)
+    total, plain = 0, False
+    for text, named, holder in pieces:
+        n = len(text.strip())
+        total += n
+        if named >= 0:
+            chars[named] += n
+        if holder >= 0:
+            held[holder] += n
+            plain = plain or named < 0 and n > 0
+    for i in reversed(range(len(holders))):
+        around, named = holders[i]
+        if around >= 0:
+            held[around] += held[i]
+        if named >= 0 and 2 * held[i] > total:
+            central[named] = True
+    for i in reversed(range(len(names))):
+        around, _ = names[i]
+        if around >= 0:
+            chars[around] += chars[i]
+            central[around] = central[around] or central[i]
+    out: list[bool] = []
+    for i, (around, holds) in enumerate(names):
+        spared = holds and not plain or 2 * chars[i] > total and (central[i] or not plain)
+        out.append(not spared or around >= 0 and out[around])
+    return out
 
 
 def page_blocks(page: str) -> list[tuple[int, str, bool]]:
@@ -94,18 +145,18 @@ def page_blocks(page: str) -> list[tuple[int, str, bool]]:
 
     ``sure`` blocks stand in an article or main element. Element ends may be missing.
     """
-    out: list[tuple[int, str, bool]] = []
-    pieces: list[str] = []
+    made: list[tuple[int, bool, list[tuple[str, int, int]]]] = []
+    pieces: list[tuple[str, int, int]] = []
+    names: list[tuple[int, bool]] = []
+    holders: list[tuple[int, int]] = []
     paths: dict[tuple, int] = {}
     stack = [_Node("", 0, False, False, False)]
 
     def flush() -> None:
         if pieces:
-            text = " ".join("".join(pieces).split())
+            block = next((node for node in reversed(stack) if node.tag in BLOCKS), stack[0])
+            made.append((block.path, block.sure, pieces.copy()))
             pieces.clear()
-            if text:
-                holder = next((node for node in reversed(stack) if node.tag in BLOCKS), stack[0])
-                out.append((holder.path, text, holder.sure))
 
     def close(tags: frozenset | set, fence: set = frozenset()) -> None:
         for at in range(len(stack) - 1, 0, -1):
@@ -145,17 +196,30 @@ def page_blocks(page: str) -> list[tuple[int, str, bool]]:
             holds = tag in HOLDS or said.get("role", "").lower() == "main"
             sure = top.sure or holds
             noise = top.noise or tag in NOISE or tag not in ("html", "body") and not holds and _is_noise(said) or tag == "article" and _is_noise(said)
+            named, holder = top.named, top.holder
+            if not noise and tag not in ("html", "body") and (not holds or tag == "article") and _is_named(said):
+                names.append((named, holds))
+                named = len(names) - 1
+            if holds:
+                holders.append((holder, named))
+                holder = len(holders) - 1
             # The header of an article is part of it; an article inside a menu left open is still one.
             chrome = False if holds else top.chrome or tag in CHROME and not (tag == "header" and top.sure)
-            stack.append(_Node(tag, paths[key], noise, chrome, sure))
+            stack.append(_Node(tag, paths[key], noise, chrome, sure, named, holder))
         elif m[1]:
             tag = m[1].lower()
             if tag in BLOCKS:
                 flush()
             close({tag}, set() if tag in BLOCKS else {"article", "body", "div", "main", "p", "section", "td", "li"})
         elif not page.startswith(("<!", "<?"), m.start()) and not (stack[-1].noise or stack[-1].chrome):
-            pieces.append(html.unescape(m[0]) if "&" in m[0] else m[0])
+            pieces.append((html.unescape(m[0]) if "&" in m[0] else m[0], stack[-1].named, stack[-1].holder))
     flush()
+    gone = _dropped([piece for *_, own in made for piece in own], names, holders)
+    out = []
+    for path, sure, own in made:
+        text = " ".join("".join(t for t, named, _ in own if named < 0 or not gone[named]).split())
+        if text:
+            out.append((path, text, sure))
     return out
 
 

@@ -31,6 +31,26 @@ def test_page(page, text):
     assert "\n".join(sure or [t for _, t, _ in blocks]) == text
 
 
+LONG = "The whole of a story that goes on for a while."
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div class='content-sidebar-wrap'><main><p>{LONG}</main></div><div class=sidebar>no</div>", LONG),
+        (f"<div class='layout has-sidebar'><article>{LONG}</article><div class='widget-area'>no</div></div>", LONG),
+        (f"<article class='post comments-open category-social tag-search'>{LONG}<div class='social-links'>no</div></article>", LONG),
+        # A name for the element itself, but around most of the text.
+        (f"<article class='post notice'>{LONG}</article>", LONG), (f"<div class=sidebar><article>no</article><main>{LONG}</main></div>", f"no\n{LONG}"),
+        (f"<div id=widget-2>{LONG}</div><div class=related>no</div>", LONG),
+        # Many comments beside a short article.
+        (f"<article>yes</article><div class=comments>{'<article class=comment>no comment</article>' * 9}</div>", "yes"),
+    ],
+)
+def test_names_of_layouts(page, text):
+    test_page(page, text)
+
+
 def page_table(spark, rows):
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     return df.select("*", *[F.lit("x").alias(c) for c in ("host", "blocks", "path", "_host", "text", "weak")])

@@ -2,8 +2,9 @@
 
 The pages of a host are merged into one tree, whose nodes are the chains of elements with their
 classes and ids. A node that shows the same text in the same shape on page after page has little
-entropy and so little importance; its branch goes from every page. What the markup itself says
-comes first: menus, adverts, forms and the like have no importance, an article's own blocks all of it.
+entropy and so little importance; its branch goes from every page. An inner node is judged by all
+the text below it. Menus, adverts, forms and the like go by what the markup says; article and main
+elements are a prior, which branches outside them must outweigh.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 import html
 import re
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
 from sensorloom.llm.common import per_text
@@ -20,6 +21,8 @@ from sensorloom.session import written
 #: Branches below this importance go; it is judged on at least so many pages.
 LEAST_IMPORTANCE = 0.2
 LEAST_PAGES = 5
+#: An element has at most so many nodes above it in the tree, the outermost ones.
+DEPTH = 64
 #: Hosts with branches to remove up to which these are broadcast; beyond it they are joined by shuffle.
 BROADCAST_HOSTS = 20_000
 
@@ -62,12 +65,14 @@ _MASK = (1 << 63) - 1
 
 
 class _Node:
-    """An open element: what it is, its path's hash, whether its text counts, and the places of its named element and holder."""
+    """An open element: what it is, its path's hash, whether its text counts, the places of its named element and holder,
+    its own place, and the paths of the nodes above it."""
 
-    __slots__ = ("tag", "path", "noise", "chrome", "sure", "named", "holder")
+    __slots__ = ("tag", "path", "noise", "chrome", "sure", "named", "holder", "at", "up")
 
-    def __init__(self, tag: str, path: int, noise: bool, chrome: bool, sure: bool, named: int = -1, holder: int = -1):
+    def __init__(self, tag: str, path: int, noise: bool, chrome: bool, sure: bool, named: int = -1, holder: int = -1, at: int = 0, up: tuple = ()):
         self.tag, self.path, self.noise, self.chrome, self.sure, self.named, self.holder = tag, path, noise, chrome, sure, named, holder
+        self.at, self.up = at, up
 
 
 def _hash(*parts: object) -> int:
@@ -140,12 +145,48 @@ def _dropped(pieces: list[tuple[str, int, int]], names: list[tuple[int, bool]],
     return out
 
 
+def _outside(elements: list[tuple[int, int]], blocks: list[tuple[int, bool]]) -> list[int]:
+    """The branch of each block: -1 in an article or main element, and on pages without any.
+
+    Elsewhere the path of the outermost element around the block with no article or main element below it.
+    ``elements`` have the place of the element around and their path, ``blocks`` their element and whether they are sure.
+    """
+    trunk = {0}
+    for at, sure in blocks:
+        while sure and at not in trunk:
+            trunk.add(at)
+            at = elements[at][0]
+    if not any(sure for _, sure in blocks):
+        return [-1] * len(blocks)
+    top = {at: at for at in trunk}
+    out = []
+    for at, sure in blocks:
+        chain = []
+        while at not in top:
+            chain.append(at)
+            at = elements[at][0]
+        for below in reversed(chain):
+            top[below] = below if top[at] in trunk else top[at]
+            at = below
+        out.append(-1 if sure else elements[top[at]][1])
+    return out
+
+
 def page_blocks(page: str) -> list[tuple[int, str, bool]]:
     """The page's blocks of text as (path, text, sure), without those that the markup calls something else.
 
     ``sure`` blocks stand in an article or main element. Element ends may be missing.
     """
-    made: list[tuple[int, bool, list[tuple[str, int, int]]]] = []
+    return [block[:3] for block in page_tree(page)]
+
+
+def page_tree(page: str) -> list[tuple[int, str, bool, int, tuple[int, ...]]]:
+    """The blocks of ``page_blocks`` with their branch outside article and main elements, and the nodes above them.
+
+    In an article or main element only the nodes inside it count.
+    """
+    made: list[tuple[_Node, list[tuple[str, int, int]]]] = []
+    elements: list[tuple[int, int]] = [(0, 0)]
     pieces: list[tuple[str, int, int]] = []
     names: list[tuple[int, bool]] = []
     holders: list[tuple[int, int]] = []
@@ -155,7 +196,7 @@ def page_blocks(page: str) -> list[tuple[int, str, bool]]:
     def flush() -> None:
         if pieces:
             block = next((node for node in reversed(stack) if node.tag in BLOCKS), stack[0])
-            made.append((block.path, block.sure, pieces.copy()))
+            made.append((block, pieces.copy()))
             pieces.clear()
 
     def close(tags: frozenset | set, fence: set = frozenset()) -> None:
@@ -190,10 +231,10 @@ def page_blocks(page: str) -> list[tuple[int, str, bool]]:
             if tag in VOID or raw.endswith("/") and tag not in BLOCKS:
                 continue
             said, top = _said(raw) if raw else {}, stack[-1]
-            key = (top.path, tag, said.get("class", ""), said.get("id", ""))
+            holds = tag in HOLDS or said.get("role", "").lower() == "main"
+            key = (top.path, tag, said.get("class", ""), said.get("id", ""), holds)
             if key not in paths:
                 paths[key] = _hash(*key)
-            holds = tag in HOLDS or said.get("role", "").lower() == "main"
             sure = top.sure or holds
             noise = top.noise or tag in NOISE or tag not in ("html", "body") and not holds and _is_noise(said) or tag == "article" and _is_noise(said)
             named, holder = top.named, top.holder
@@ -205,7 +246,12 @@ def page_blocks(page: str) -> list[tuple[int, str, bool]]:
                 holder = len(holders) - 1
             # The header of an article is part of it; an article inside a menu left open is still one.
             chrome = False if holds else top.chrome or tag in CHROME and not (tag == "header" and top.sure)
-            stack.append(_Node(tag, paths[key], noise, chrome, sure, named, holder))
+            elements.append((top.at, paths[key]))
+            if sure and not (top.sure and stack[-2].sure):  # the outermost holder or in it
+                up = ()
+            else:
+                up = (*top.up, top.path) if top.tag in BLOCKS and len(top.up) < DEPTH else top.up
+            stack.append(_Node(tag, paths[key], noise, chrome, sure, named, holder, len(elements) - 1, up))
         elif m[1]:
             tag = m[1].lower()
             if tag in BLOCKS:
@@ -214,66 +260,110 @@ def page_blocks(page: str) -> list[tuple[int, str, bool]]:
         elif not page.startswith(("<!", "<?"), m.start()) and not (stack[-1].noise or stack[-1].chrome):
             pieces.append((html.unescape(m[0]) if "&" in m[0] else m[0], stack[-1].named, stack[-1].holder))
     flush()
-    gone = _dropped([piece for *_, own in made for piece in own], names, holders)
-    out = []
-    for path, sure, own in made:
-        text = " ".join("".join(t for t, named, _ in own if named < 0 or not gone[named]).split())
-        if text:
-            out.append((path, text, sure))
-    return out
+    gone = _dropped([piece for _, own in made for piece in own], names, holders)
+    texts = [" ".join("".join(t for t, named, _ in own if named < 0 or not gone[named]).split()) for _, own in made]
+    kept = [(node, text) for (node, _), text in zip(made, texts) if text]
+    branches = _outside(elements, [(node.at, node.sure) for node, _ in kept])
+    return [(node.path, text, node.sure, branch, node.up) for (node, text), branch in zip(kept, branches)]
 
 
-BLOCK = StructType([StructField("path", LongType()), StructField("text", StringType()), StructField("sure", BooleanType())])
+BLOCK = StructType([
+    StructField("path", LongType()), StructField("text", StringType()), StructField("sure", BooleanType()),
+    StructField("branch", LongType()), StructField("up", ArrayType(LongType())),
+])
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``host`` and the page's ``blocks``."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     named = pages.select("page_id", "url", host.alias("host"), "html")
-    return per_text(named, ["page_id", "url", "host"], "html", [StructField("blocks", ArrayType(BLOCK))], lambda page: (page_blocks(page),))
+    return per_text(named, ["page_id", "url", "host"], "html", [StructField("blocks", ArrayType(BLOCK))], lambda page: (page_tree(page),))
 
 
-def branch_importance(parsed: DataFrame) -> DataFrame:
-    """``host``, ``path``, ``pages`` and ``importance`` of every branch of the hosts' style trees.
+def tree_places(parsed: DataFrame) -> DataFrame:
+    """A row per block of every different page of a host: its nodes, text hash and length, and the page's length in articles.
+
+    Pages of equal text are one page, so that copies say nothing about a branch.
+    """
+    in_articles = F.aggregate(F.filter("blocks", lambda b: b["sure"]), F.lit(0).cast("bigint"), lambda n, b: n + F.length(b["text"]))
+    spread = parsed.select("host", F.xxhash64("blocks.text").alias("_page"), in_articles.alias("in_articles"), F.posexplode("blocks").alias("_at", "b"))
+    own = [F.col(f"b.{c}").alias(c) for c in ("path", "sure", "branch", "up")]
+    return spread.select("host", "_page", "in_articles", "_at", *own, F.xxhash64("b.text").alias("_text"), F.length("b.text").cast("bigint").alias("chars")).distinct()
+
+
+def _entropy(counted: DataFrame, value: str, *sums: str) -> DataFrame:
+    """The entropy of the counts ``n`` of each ``host`` and ``path``, as a share of the highest that their total allows."""
+    total, logs = F.sum("n"), F.sum(F.col("n") * F.log("n"))
+    bits = F.when(total > 1, (F.log(total) - logs / total) / F.log(total)).otherwise(1.0)
+    return counted.groupBy("host", "path").agg(bits.alias(value), total.alias(f"{value}_n"), *[F.sum(c).alias(c) for c in sums])
+
+
+def branch_importance(places: DataFrame) -> DataFrame:
+    """``host``, ``path``, ``pages`` and ``importance`` of the nodes that have blocks of their own, by these blocks.
 
     Content: the entropy of the branch's texts over its places. Presentation: the entropy of how many
     blocks it has in a page. Both are shares of the highest entropy that so many places allow; the
     importance is the larger of the two, and 1 for branches on fewer than ``LEAST_PAGES`` pages.
     """
-    places = parsed.select("host", F.explode("blocks").alias("b"), F.xxhash64("page_id", "url").alias("_page"))
-    places = places.select("host", "_page", F.col("b.path").alias("path"), F.xxhash64("b.text").alias("_text"))
-
-    def entropy(counted: DataFrame, value: str) -> DataFrame:
-        total, sums = F.sum("n"), F.sum(F.col("n") * F.log("n"))
-        bits = F.when(total > 1, (F.log(total) - sums / total) / F.log(total)).otherwise(1.0)
-        return counted.groupBy("host", "path").agg(bits.alias(value), total.alias(f"{value}_n"))
-
-    content = entropy(places.groupBy("host", "path", "_text").agg(F.count("*").alias("n")), "content")
+    content = _entropy(places.groupBy("host", "path", "_text").agg(F.count("*").alias("n")), "content")
     shapes = places.groupBy("host", "path", "_page").agg(F.count("*").alias("_shape")).groupBy("host", "path", "_shape").agg(F.count("*").alias("n"))
-    both = content.join(entropy(shapes, "presentation"), ["host", "path"])
+    both = content.join(_entropy(shapes, "presentation"), ["host", "path"])
     importance = F.when(F.col("presentation_n") < LEAST_PAGES, 1.0).otherwise(F.greatest("content", "presentation"))
     return both.select("host", "path", F.col("presentation_n").alias("pages"), importance.alias("importance"))
 
 
+def node_importance(places: DataFrame) -> DataFrame:
+    """``host``, ``path``, ``pages`` and ``importance`` of all nodes, inner ones too, by all the text below them on each page.
+
+    The entropy of that text over the pages, as a share of the highest; it is never below that of the
+    number of blocks, which the text decides. It is 1 for nodes on fewer than ``LEAST_PAGES`` pages, and
+    for nodes in an article or main element with most of its text on their pages: the prior.
+    """
+    nodes = F.explode(F.array_distinct(F.concat(F.array("path"), "up"))).alias("path")
+    spread = places.select("host", nodes, "_page", "sure", "in_articles", "chars", F.shiftright("_text", 20).alias("_text"))
+    # Sums of 44 bits: the order of the blocks does not count.
+    sums = F.sum("_text").alias("_text"), F.sum("chars").alias("chars"), F.max(F.when(F.col("sure"), F.col("in_articles")).otherwise(0)).alias("rival")
+    pages = spread.groupBy("host", "path", "_page").agg(*sums)
+    shown = pages.groupBy("host", "path", "_text").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"), F.sum("rival").alias("rival"))
+    judged = _entropy(shown, "content", "chars", "rival")
+    most = (F.col("rival") > 0) & (2 * F.col("chars") > F.col("rival"))
+    importance = F.when((F.col("content_n") < LEAST_PAGES) | most, 1.0).otherwise(F.col("content"))
+    return judged.select("host", "path", F.col("content_n").alias("pages"), importance.alias("importance"))
+
+
+def outweighing(places: DataFrame) -> DataFrame:
+    """``host`` and ``path`` of the branches outside article and main elements with more text, over their pages, than these."""
+    outside = places.filter("branch >= 0").groupBy("host", F.col("branch").alias("path"), "_page")
+    pages = outside.agg(F.sum("chars").alias("chars"), F.first("in_articles").alias("rival"))
+    return pages.groupBy("host", "path").agg(F.sum("chars").alias("chars"), F.sum("rival").alias("rival")).filter("chars > rival").select("host", "path")
+
+
 def main_text(pages: DataFrame, least: float = LEAST_IMPORTANCE) -> DataFrame:
     """``page_id``, ``url``, the main ``text`` (blocks joined by newlines) and its ``n_chars`` for every page.
 
-    A page with an article or main element gives that element's blocks; any other page gives its
-    blocks but those of branches that have less than ``least`` importance in its host's style tree.
+    Blocks go from every page that stand in a node of less than ``least`` importance in their host's style
+    tree. Of pages with an article or main element, blocks outside it go too, unless their branch has
+    more text on the host's pages than these elements; in it, a node that has most of the text stays.
 
     A null or empty html has an empty text. A null url belongs to the host without a name. Equal rows
     are each returned; an empty table gives no rows. Other columns are ignored.
     """
     parsed = written(parse_pages(pages), "pages")
-    weak = branch_importance(parsed).filter(F.col("importance") < least)
-    # The blocks of one host's pages that go; at most as many as its style tree has nodes.
-    weak = written(weak.groupBy("host").agg(F.collect_set("path").alias("weak")).withColumnRenamed("host", "_host"), "weak")
-    has_article = F.exists("blocks", lambda b: b["sure"])
-    plain = parsed.filter(~has_article)
-    few = weak.count() <= BROADCAST_HOSTS
-    plain = plain.join(F.broadcast(weak) if few else weak, F.col("host") == F.col("_host"), "left")
-    stays = F.filter("blocks", lambda b: ~F.array_contains(F.coalesce("weak", F.array().cast("array<bigint>")), b["path"]))
-    kept = parsed.filter(has_article).select("page_id", "url", F.filter("blocks", lambda b: b["sure"]).alias("blocks"))
-    kept = kept.unionAll(plain.select("page_id", "url", stays.alias("blocks")))
+    places = written(tree_places(parsed), "places")
+    low = F.col("importance") < least
+    found = branch_importance(places.filter(~F.col("sure"))).filter(low).select("host", "path", F.lit("leaf").alias("why"))
+    found = found.unionAll(node_importance(places).filter(low).select("host", "path", F.lit("node"))).unionAll(outweighing(places).select("host", "path", F.lit("wins")))
+    # What the style tree says of each host; at most three times as much as the tree has nodes.
+    lists = [F.collect_set(F.when(F.col("why") == c, F.col("path"))).alias(f"_{c}") for c in ("leaf", "node", "wins")]
+    said = written(found.groupBy(F.col("host").alias("_host")).agg(*lists), "weak")
+    few = said.count() <= BROADCAST_HOSTS
+    joined = parsed.join(F.broadcast(said) if few else said, F.col("host") == F.col("_host"), "left")
+    leaf, node, wins = (F.coalesce(f"_{c}", F.array().cast("array<bigint>")) for c in ("leaf", "node", "wins"))
+
+    def stays(b: Column) -> Column:
+        of_page = b["sure"] | ((b["branch"] < 0) | F.array_contains(wins, b["branch"])) & ~F.array_contains(leaf, b["path"])
+        return of_page & ~F.arrays_overlap(node, F.concat(F.array(b["path"]), b["up"]))
+
+    kept = joined.select("page_id", "url", F.filter("blocks", stays).alias("blocks"))
     text = F.array_join(F.col("blocks.text"), "\n")
     return kept.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))

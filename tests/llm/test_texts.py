@@ -74,6 +74,26 @@ def test_style_tree(spark, prose, monkeypatch, broadcast):
     assert pages.main_text(docs.limit(0)).count() == 0
 
 
+def test_style_tree_decides_about_articles(spark, prose):
+    body = [prose(20, i) for i in range(10)]
+    box = "<div class=box><h2>Always here</h2><div id=x{}>The same words</div></div>"
+    shapes = {
+        # A box with the same words in every article, under ids of their own, and fixed lines outside.
+        "a": "<body><ul><li>One<li>Two<li>Three<li>Four</ul><article><h1>{0}</h1>" + box.replace("{}", "{1}") + "<p>{0}</p></article>",
+        # Main text outside the article element, which is a card.
+        "b": "<body><div class=story><p>{0}</p></div><article class=card>Next, story {1}</article><div class=foot>Number {1}</div>",
+        # No article.
+        "c": "<body><ul><li>One<li>Two<li>Three<li>Four</ul><div class=story><p>{0}</p></div>",
+    }
+    rows = [(100 * k + i, f"http://{h}.example.com/{i}", html.format(t, i)) for k, (h, html) in enumerate(shapes.items()) for i, t in enumerate(body)]
+    # Copies and pages alike but for a date are no template.
+    rows += [(300 + i, f"http://d.example.com/{i}", f"<article><p>{body[0]}</p></article>") for i in range(10)]
+    rows += [(400 + i, f"http://e.example.com/{i}", f"<article><p>{body[0]}</p><p class=day>{i}</p></article>") for i in range(10)]
+    got = {r.page_id: r.text for r in pages.main_text(page_table(spark, rows)).collect()}
+    for i, t in enumerate(body):
+        assert [got[100 * k + i] for k in range(5)] == [f"{t}\n{t}", f"{t}\nNext, story {i}", t, body[0], f"{body[0]}\n{i}"]
+
+
 def library(pieces, byte_fallback):
     made = Tokenizer(models.Unigram(pieces, 0, byte_fallback))
     made.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=False)])

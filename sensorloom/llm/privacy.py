@@ -1,9 +1,10 @@
 """Personal data, and the terms around it that give it away.
 
 Protected entities are e-mail addresses, internet addresses, card and telephone numbers. A term of a
-line that holds an entity discloses it as far as their pointwise mutual information, over all lines of
-the corpus, reaches the entity's own information content. Terms that disclose most of it are
-generalised to what kind of word they are, those that disclose nearly all of it are removed.
+line that holds an entity, or of the line above or below, discloses it as far as their pointwise mutual
+information, over the different lines of the corpus, reaches the entity's own information content. How
+often the term stands there is taken at the lower end of what so few lines allow. Terms that disclose
+most of it are generalised to what kind of word they are, those that disclose nearly all of it are removed.
 
 All of it is DataFrame expressions. Places of matches come from splitting a text at a pattern: the
 lengths of what lies between and of the matches add up to where each match begins.
@@ -28,8 +29,8 @@ HINTS = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x
 KINDS = (*PATTERNS, "term")
 TERM = r"\p{L}[\p{L}\p{N}_'-]{2,}+"
 BYTE = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})$"
-#: Different lines that must hold a term beside an entity before their co-occurrence counts.
-LEAST_LINES = 3
+#: A term's share of an entity's lines counts as its lower bound at so many standard errors (95 % on one side).
+ERRORS = 1.645
 #: Shares of an entity's information from which a term that discloses it is generalised, and removed.
 GENERALISE, REMOVE = 0.8, 0.95
 #: Terms up to which they are broadcast to be counted; beyond it they are joined by shuffle.
@@ -97,37 +98,50 @@ def _terms(line: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(bare), F.lit(TERM), F.lit(0)))
 
 
-def disclosing_terms(docs: DataFrame, lines: DataFrame, least_lines: int = LEAST_LINES, share: float = GENERALISE) -> DataFrame:
-    """Pairs ``entity``, ``term`` with ``disclosed``, the share of the entity's information that the term gives away.
+def lower_share(k: Column, n: Column, errors: float = ERRORS) -> Column:
+    """The lower bound of a share seen ``k`` times in ``n`` (Wilson's score interval); 0.27 for one in one."""
+    p, z = k / n, F.lit(errors)
+    return (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
-    ``lines`` has the lines with an entity: ``entity``, ``line``. Probabilities are shares of all lines
-    with a word, copies included; only terms on ``least_lines`` different lines of an entity count, so
-    that one passage, however often copied, proves nothing.
-    """
-    held = lines.select("entity", "line").groupBy("entity", "line").agg(F.count("*").alias("n"))
-    by_entity = held.groupBy("entity").agg(F.sum("n").alias("n_entity"))
-    joint = held.select("entity", "n", F.explode(_terms(F.col("line"))).alias("term")).groupBy("entity", "term")
-    joint = written(joint.agg(F.sum("n").alias("n_both"), F.count("*").alias("n_lines")).filter(F.col("n_lines") >= least_lines), "joint")
-    wanted = written(joint.select("term").distinct(), "terms")
 
-    # Every line of every document, by its different words.
-    split = docs.select(F.explode(F.split(whole(), "\n")).alias("line"))
-    n_all = split.filter(F.col("line").rlike(WORD)).count()
-    words = split.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("line"), F.lit(TERM), F.lit(0)))).alias("term"))
-    few = wanted.count() <= BROADCAST_TERMS
-    by_term = words.join(F.broadcast(wanted) if few else wanted, "term").groupBy("term").agg(F.count("*").alias("n_term"))
-    scored = joint.join(by_entity, "entity").join(by_term, "term")
+def disclosing_terms(docs: DataFrame, lines: DataFrame, share: float = GENERALISE) -> DataFrame:
+    """``entity``, ``place``, ``term`` with ``disclosed``, the share of the entity's information that the term gives away.
+
+    ``lines`` has ``entity``, ``place``, ``line``: the lines with an entity (0), above (-1) and below them (1).
+    Probabilities are shares of all different lines with a word, so that a passage counts once however
+    often it is copied. The term's share of the lines at a place is its ``lower_share``.
+    """
+    held = lines.select("entity", "place", "line").distinct()
+    by_entity = held.groupBy("entity", "place").agg(F.count("*").alias("n_entity"))
+    joint = held.select("entity", "place", F.explode(_terms(F.col("line"))).alias("term")).groupBy("entity", "place", "term")
+    joint = joint.agg(F.count("*").alias("n_both")).join(by_entity, ["entity", "place"])
+
+    # Every different line, by its different words.
+    split = docs.select(F.explode(F.split(whole(), "\n")).alias("line")).filter(F.col("line").rlike(WORD))
+    n_all = split.select(F.xxhash64("line").alias("hash")).distinct().count()
     information = F.log(n_all / F.col("n_entity"))
-    mutual = F.log(n_all * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
-    disclosed = F.when(information > 0, F.least(mutual / information, F.lit(1.0))).otherwise(0.0)
-    return scored.select("entity", "term", disclosed.alias("disclosed")).filter(F.col("disclosed") >= share)
+
+    def disclosed(n_term: Column) -> Column:
+        mutual = F.log(n_all * lower_share(F.col("n_both"), F.col("n_entity")) / n_term)
+        return F.when(information > 0, F.least(mutual / information, F.lit(1.0))).otherwise(0.0)
+
+    # A term stands on as many lines at least as beside the entity.
+    joint = written(joint.filter(disclosed(F.col("n_both")) >= share), "joint")
+    wanted = written(joint.select("term").distinct(), "terms")
+    words = split.distinct().select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("line"), F.lit(TERM), F.lit(0)))).alias("term"))
+    if wanted.count() <= BROADCAST_TERMS:
+        by_term = words.join(F.broadcast(wanted), "term").groupBy("term").agg(F.count("*").alias("n_term"))
+    else:  # counted in each task first, so that few rows of a frequent word are joined
+        by_term = words.groupBy("term").agg(F.count("*").alias("n_term")).join(wanted, "term")
+    scored = joint.join(by_term, "term", "left").withColumn("n_term", F.greatest("n_both", F.coalesce("n_term", F.lit(0))))
+    return scored.select("entity", "place", "term", disclosed(F.col("n_term")).alias("disclosed")).filter(F.col("disclosed") >= share)
 
 
 def find_personal(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(every document's ``_id`` and ``hash``, the spans of those that have any).
 
     ``_id`` is ``doc_id``. The spans are ``_id``, ``hash``, ``kind``, ``start``, ``end``, ``disclosed``:
-    the base spans, and the terms that disclose an entity of their line, where no base span is.
+    the base spans, and the terms that disclose an entity of their line or the lines beside it, where no base span is.
     """
     keyed = docs.select(F.col("doc_id").alias("_id"), F.xxhash64(whole()).alias("hash"), whole().alias("text"))
     some = None
@@ -143,12 +157,18 @@ def find_personal(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lines = lines.withColumn("until", after).withColumn("since", F.col("until") - F.length("line") - 1)
     inside = _same("l", "b") & (F.col("b.start") >= F.col("l.since")) & (F.col("b.start") < F.col("l.until"))
     entity = F.concat_ws(":", F.col("b.kind"), F.when(F.col("b.kind").isin("card", "phone"), _digits(F.col("b.value"))).otherwise(F.lower("b.value")))
-    with_entity = lines.alias("l").join(base.alias("b"), inside).select("l._id", "l.hash", "l.line_no", "l.since", "l.line", entity.alias("entity"))
-    with_entity = written(with_entity.distinct(), "lines")
+    # A line with a word, and those of them above and below.
+    line = ["line_no", "since", "line"]
+    beside = Window.partitionBy(*_ROW).orderBy("line_no")
+    spread = lines.filter(F.col("line").rlike(WORD)).withColumns({"above": F.lag(F.struct(*line)).over(beside), "below": F.lead(F.struct(*line)).over(beside)})
+    spread = spread.alias("l").join(base.alias("b"), inside).select("l._id", "l.hash", "l.line_no", "l.since", "l.line", "l.above", "l.below", entity.alias("entity"))
+    around = F.array(*[F.struct(F.lit(at).alias("place"), own.alias("at")) for at, own in ((0, F.struct(*line)), (-1, F.col("above")), (1, F.col("below")))])
+    with_entity = spread.select(*_ROW, "entity", F.explode(around).alias("c")).filter(F.col("c.at").isNotNull())
+    with_entity = written(with_entity.select(*_ROW, "entity", "c.place", "c.at.*").distinct(), "lines")
 
     terms = written(disclosing_terms(docs, with_entity), "disclosing")
-    told = with_entity.select(*_ROW, "line_no", "entity").join(terms, "entity").groupBy(*_ROW, "line_no", "term").agg(F.max("disclosed").alias("disclosed"))
-    marked = with_entity.join(terms.select("entity").distinct(), "entity", "left_semi").select(*_ROW, "line_no", "since", "line").distinct()
+    told = with_entity.select(*_ROW, "line_no", "entity", "place").join(terms, ["entity", "place"]).groupBy(*_ROW, "line_no", "term").agg(F.max("disclosed").alias("disclosed"))
+    marked = with_entity.join(terms.select("entity", "place").distinct(), ["entity", "place"], "left_semi").select(*_ROW, "line_no", "since", "line").distinct()
     places = located(marked, [*_ROW, "line_no", "since"], "line", TERM)
     places = places.select(*_ROW, "line_no", "since", F.lower("value").alias("term"), "start", "end")
     hit = places.alias("l").join(told.alias("b"), _same("l", "b") & (F.col("l.line_no") == F.col("b.line_no")) & (F.col("l.term") == F.col("b.term")))

@@ -136,3 +136,20 @@ def test_disclosing_terms(documents, prose):
     assert all([k for k, *_ in got[400 + i]] == ["email"] for i in range(5))
     clean = {r.doc_id: r.text for r in privacy.sanitise(docs).collect()}
     assert "[EMAIL]" in clean[0] and "Zanzibarite" not in clean[0] and clean[901] == "the Zanzibarite alone" and clean[900] is None
+
+
+@pytest.mark.parametrize("broadcast", [300_000, 0])
+def test_terms_of_few_lines(documents, prose, monkeypatch, broadcast):
+    """In a corpus large enough to tell, a name beside an entity seen once or twice discloses it, copies or not."""
+    monkeypatch.setattr(privacy, "BROADCAST_TERMS", broadcast)
+    common = prose(30, 1).replace(".", "").split()
+    rng = random.Random(2)
+    lines = [" ".join(rng.choices(common, k=12)) for _ in range(9000)]
+    rows = [(i, "\n".join(lines[30 * i : 30 * i + 30])) for i in range(300)]
+    once = f"{common[0]} Zanzibarite {common[1]} jo@example.org {common[2]}"
+    above = f"{common[3]} Quillfeather {common[4]}\n\n{common[5]} call +1 (743) 555-3824 {common[6]}\n{common[7]}"
+    texts = {1000: once, 1001: once + "\n" + common[8], 1002: above, 1003: f"{common[1]} Twicely max@example.org", 1004: f"{common[2]} Twicely max@example.org {common[9]}", 1005: once}
+    docs = documents([*rows, *texts.items()])
+    got = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == "term"] for r in privacy.personal_spans(docs).collect() if r.doc_id >= 1000}
+    assert got == {1000: ["Zanzibarite"], 1001: ["Zanzibarite"], 1002: ["Quillfeather", "call"], 1003: ["Twicely"], 1004: ["Twicely"], 1005: ["Zanzibarite"]}
+    assert "Quillfeather" not in {r.doc_id: r.text for r in privacy.sanitise(docs).collect()}[1002]

@@ -68,8 +68,65 @@ mixed as (
   from epochs)"""
 
 
+#: ``vectors`` (vec_id, label, v): whole components; the label is as it stands in the table.
+VECTORS = """vectors as (
+  select vec_id, cast(label as bigint) as label, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)"""
+
+#: ``shares`` (lang, source, term, c, p, total, q) over all groups and kept terms of their lang.
+SHARES = r"""docs as (
+  select row_number() over () as rid, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as text from documents),
+words as (
+  select rid, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs),
+kept as (select lang, term, count(*) as total from words group by all having count(distinct rid) >= 3),
+langs as (select lang, sum(total) + count(*) as size from kept group by lang),
+counts as (select lang, source, term, count(*) as c from words semi join kept using (lang, term) group by all),
+pairs_of as (select * from (select distinct lang, source from docs) join kept using (lang)),
+filled as (select p.*, coalesce(c, 0) as c from pairs_of p left join counts using (lang, source, term)),
+groups as (select lang, source, sum(c) + count(*) as size from filled group by all),
+shares as (
+  select f.lang, f.source, term, c, cast(1 + cast(1000000000 as hugeint) * (c + 1) // g.size as bigint) as p,
+    cast(1 + cast(1000000000 as hugeint) * (total + 1) // l.size as bigint) as q
+  from filled f join groups g on f.lang = g.lang and f.source = g.source join langs l on f.lang = l.lang)"""
+
+
 ORACLE: dict[str, str] = {
     "op4_mixing": f"with {mixing_sql()} select doc_id, size, source_size, target, taken from mixed",
     "op6_quality": f"""with {QUALITY} select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept
   from judged""",
+    "op11_negatives": f"""with {VECTORS},
+labelled as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, v from vectors where label is not null),
+scored as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as alike, cast(list_dot_product(a.v, b.v) as bigint) as score
+  from labelled a join labelled b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where alike
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+ranked as (
+  select p.*, s.vec_id as negative_id, s.score as negative_score,
+    cast(row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id) as int) as rank
+  from positives p join scored s on p.anchor_id = s.anchor_id and not s.alike
+    and 80 * positive_score <= 100 * s.score and 100 * s.score <= 100 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from ranked where rank <= 5""",
+    "op12_topk": f"""with {VECTORS},
+ranked as (
+  select q.vec_id as query_id, x.vec_id, cast(list_dot_product(q.v, x.v) as bigint) as score,
+    cast(row_number() over (partition by q.vec_id order by cast(list_dot_product(q.v, x.v) as bigint) desc, x.vec_id) as int) as rank
+  from vectors q join vectors x on q.vec_id <> x.vec_id where q.vec_id % 50 = 0)
+select query_id, rank, vec_id, score from ranked where rank <= 5""",
+    "op13_divergence": f"""with {SHARES},
+summed as (
+  select s.lang, s.source, t.source as item, cast(sum((s.p - t.p) * (s.p - t.p) // t.p) as bigint) as value
+  from shares s join shares t on s.lang = t.lang and s.term = t.term and s.source <> t.source group by all),
+sources as (select distinct lang, source from docs),
+pairs as (
+  select s.lang, s.source, 'pair' as part, t.source as item, coalesce(value, 0) as value
+  from sources s join sources t on s.lang = t.lang and s.source <> t.source
+    left join summed m on m.lang = s.lang and m.source = s.source and m.item = t.source),
+terms as (select lang, source, 'term' as part, term as item, (p - q) * (p - q) // q as value from shares where c > 0 and p > q),
+ranked as (
+  select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank
+  from (select * from pairs union all select * from terms))
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 200""",
 }

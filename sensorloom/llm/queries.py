@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorloom.llm import decontam, linedup, mixing, neardup, pages, privacy, quality, secrets, tokens, toxicity
+from sensorloom.llm import decontam, divergence, linedup, mixing, neardup, negatives, pages, privacy, quality, secrets, tokens, topk, toxicity
 from sensorloom.llm.common import table
 
 
@@ -56,6 +56,18 @@ def op10_linedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("doc_id", "line_no", "first_doc", "first_line", "n_links", "kept")
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_decontam": op2_decontam,
@@ -67,4 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_privacy": op8_privacy,
     "op9_tokens": op9_tokens,
     "op10_linedup": op10_linedup,
+    "op11_negatives": op11_negatives,
+    "op12_topk": op12_topk,
+    "op13_divergence": op13_divergence,
 }

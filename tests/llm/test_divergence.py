@@ -1,0 +1,109 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorloom.llm import divergence
+from sensorloom.llm.divergence import source_divergence, terms_of
+
+CLASHING = ["term", "times", "docs", "total", "groups", "size", "kept", "_lang", "_group", "g", "item", "value", "rank", "part", "a", "b"]
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def brute(rows, least=3, most=200):
+    docs = [(lang or "", source or "", Counter(TERM.findall(lowered(text or "")))) for text, lang, source in rows]
+    out = []
+    for lang in {d[0] for d in docs}:
+        seen, counts, total = Counter(), defaultdict(Counter), Counter()
+        for _, source, terms in (d for d in docs if d[0] == lang):
+            counts[source].update(terms)
+            total.update(terms)
+            seen.update(set(terms))
+        kept = [t for t in total if seen[t] >= least]
+        size = {s: sum(c[t] for t in kept) + len(kept) for s, c in counts.items()}
+        whole = sum(total[t] for t in kept) + len(kept)
+
+        def p(n, size):
+            return 1 + 1_000_000_000 * (n + 1) // size
+
+        def gap(p, q):
+            return (p - q) ** 2 // q
+
+        for s in counts:
+            pairs = [(-sum(gap(p(counts[s][t], size[s]), p(counts[o][t], size[o])) for t in kept), o) for o in counts if o != s]
+            terms = []
+            for t in kept:
+                if counts[s][t]:
+                    own, q = p(counts[s][t], size[s]), p(total[t], whole)
+                    if own > q:
+                        terms.append((-gap(own, q), t))
+            for part, found in (("pair", sorted(pairs, key=lambda x: (x[0], x[1].encode()))), ("term", sorted(terms, key=lambda x: (x[0], x[1].encode()))[:most])):
+                out += [(lang, s, part, item, -value, rank) for rank, (value, item) in enumerate(found, 1)]
+    return sorted(out)
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, "text string, lang string, source string").select(
+        "*", *[F.lit(f"x{i}").alias(c) for i, c in enumerate(CLASHING)])
+
+
+def got(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def corpus(seed, count=300):
+    rng = random.Random(seed)
+    words = [f"w{'abcdefgh'[i % 8]}{'xyz' * (i % 4)}{'klmnop'[i % 6] * (i // 24 + 1)}" for i in range(160)] + ["Éa", "ß", "日本", "😀x", "É", "zz"]
+    rows = []
+    for i in range(count):
+        lang, source = rng.choice(["en", "en", "de", None, "fr"]), rng.choice(["s1", "s2", "s3", None, "ü", "Z"])
+        offset = len(source or "") * 11
+        picked = [words[min(int(rng.expovariate(0.04)) + offset, len(words) - 1)] for _ in range(rng.randint(0, 40))]
+        rows.append((rng.choice([" ", "\n", "_", "9", "@[`{\x7f"]).join(w.upper() if rng.random() < 0.2 else w for w in picked), lang, source))
+    return rows + rows[:20] + [(None, "en", "s9"), ("", "xx", "one"), ("nothing kept here", "yy", "one"), ("nor there", "yy", "two")]
+
+
+def test_terms_of():
+    assert terms_of("Ab9cD_éÉ x\u0085y ß".encode()) == ["ab", "cd", "éÉ x\u0085y ß".encode()] or terms_of(
+        "Ab9cD_éÉ x\u0085y ß".encode()) == [b"ab", b"cd", "éÉ x\u0085y ß".encode()]
+    text = "".join(map(chr, [*range(0x250), *range(0x2000, 0x2030), 0x1F600]))
+    assert [t.decode() for t in terms_of(text.encode())] == TERM.findall(lowered(text))
+    assert terms_of(b"") == []
+
+
+@pytest.mark.parametrize("held,most", [(200_000, 200), (5, 3)])
+def test_source_divergence(spark, monkeypatch, held, most):
+    monkeypatch.setattr(divergence, "MOST_HELD", held)
+    rows = corpus(held)
+    found = got(source_divergence(table(spark, rows).repartition(5), most_terms=most))
+    assert found == brute(rows, most=most)
+    assert {r[2] for r in found} == {"pair", "term"} and ("yy", "one", "pair", "two", 0, 1) in found
+
+
+def test_joins_by_shuffle_give_the_same(spark, monkeypatch):
+    rows = corpus(8, 150)
+    monkeypatch.setattr("sensorloom.operators.ordering.fits_broadcast", lambda *_: False)
+    assert got(source_divergence(table(spark, rows))) == brute(rows)
+
+
+def test_ties_long_texts_and_large_counts(spark):
+    tied = [(" ".join(f"t{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)), "en", s) for s in "aab"] + [("other words only", "en", "b")] * 3
+    long = tied + [("very " * 200_000 + "x" * 100_000, "en", "a")] * 3
+    assert got(source_divergence(table(spark, tied), most_terms=7)) == brute(tied, most=7)
+    assert got(source_divergence(table(spark, long))) == brute(long)
+    share = divergence._share(F.col("n"), F.col("size"))
+    big = spark.createDataFrame([(10**15, 3 * 10**15), (9_223_372_034, 10**10), (0, 1), (10**12, 7)], "n bigint, size bigint")
+    assert [r[0] for r in big.filter("size > 7 or n = 0").select(share).collect()] == [
+        1 + 10**9 * (n + 1) // s for n, s in [(10**15, 3 * 10**15), (9_223_372_034, 10**10), (0, 1)]]
+
+
+def test_empty(spark):
+    assert got(source_divergence(table(spark, []))) == []
+    assert got(source_divergence(table(spark, [(None, None, None)]))) == []
+    assert got(source_divergence(table(spark, [("a b", None, "x"), (None, "", "y")]))) == [("", "x", "pair", "y", 0, 1), ("", "y", "pair", "x", 0, 1)]

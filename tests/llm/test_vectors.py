@@ -1,0 +1,159 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sensorloom.llm import negatives, topk
+from sensorloom.llm.negatives import Packed
+from sensorloom.llm.vectors import LONGEST, first_best
+
+SCHEMA = "vec_id bigint, embedding array<double>, label int"
+# Names that the operators use inside, as further columns of the table.
+CLASHING = ["row", "vector", "asks", "_block", "_group", "anchor", "place", "positives", "cell", "piece", "score", "rank", "query", "done", "least"]
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).select("*", *[F.lit(f"x{i}").alias(c) for i, c in enumerate(CLASHING)])
+
+
+def scaled(vector):
+    if vector is None or any(x is None or not math.isfinite(x) for x in vector):
+        return None
+    return [math.floor(256 * x) for x in vector]
+
+
+def last(id):
+    return (id is None, id or 0)
+
+
+def dot(a, b):
+    return min(max(sum(x * y for x, y in zip(a, b)), -LONGEST), LONGEST)
+
+
+def brute_negatives(rows):
+    kept = [(i, (l + 1) % 10 if i is not None and i % 7 == 0 else l, scaled(v)) for i, v, l in rows]
+    kept = [r for r in kept if r[1] is not None and r[2] is not None]
+    out = []
+    for n, (anchor, label, own) in enumerate(kept):
+        if anchor is None or anchor % 100:
+            continue
+        scored = sorted(((-dot(own, v), last(i), i, l == label) for m, (i, l, v) in enumerate(kept) if m != n), key=lambda x: x[:2])
+        for minus, _, positive, _ in [x for x in scored if x[3]][:5]:
+            near = [x for x in scored if not x[3] and 80 * -minus <= 100 * -x[0] <= 100 * -minus][:5]
+            out += [(anchor, positive, r, x[2], -minus, -x[0]) for r, x in enumerate(near, 1)]
+    return sorted(out, key=repr)
+
+
+def brute_top(rows, k=5):
+    kept = [(i, scaled(v)) for i, v, _ in rows if scaled(v) is not None]
+    out = []
+    for n, (query, own) in enumerate(kept):
+        if query is not None and query % 50 == 0:
+            found = sorted(((-dot(own, v), last(i), i) for m, (i, v) in enumerate(kept) if m != n), key=lambda x: x[:2])[:k]
+            out += [(query, r, i, -s) for r, (s, _, i) in enumerate(found, 1)]
+    return sorted(out, key=repr)
+
+
+def mixed_rows(seed, count=700, dims=8):
+    """Clusters, a very common vector, ties, copies, nulls, and vectors that take no part or are of other lengths."""
+    rng = random.Random(seed)
+    centres = [[rng.gauss(0, 0.4) for _ in range(dims)] for _ in range(6)]
+    rows = []
+    for i in range(count):
+        c = rng.randrange(6)
+        vector = centres[0] if i % 3 == 0 else [x + rng.gauss(0, 0.05) for x in centres[c]]
+        rows.append((i * 5, [round(x, 2) for x in vector], c if i % 11 else rng.randrange(10)))
+    rows += rows[::40] + rows[:3]
+    rows += [(None, rows[5][1], 3), (None, rows[9][1], 1), (100_000, None, 1), (100_100, [0.5, None], 2), (100_200, [math.nan], 2), (100_300, [math.inf, 1.0], 4)]
+    rows += [(100_400, [1.0, 1.0], 2), (100_500, [], 2), (100_600, [0.25] * (dims + 3), 4), (100_700, rows[1][1], None)]
+    rng.shuffle(rows)
+    return rows
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("most,scale", [(90, 90), (90, 1 << 28), (1 << 30, 1 << 31), (1 << 40, 1 << 62)])
+def test_packed_scores(most, scale):
+    rng = np.random.default_rng(1)
+    rows = rng.integers(-scale, scale, (37, 5))
+    rows[0], rows[1] = scale - 1, -scale
+    packed = Packed(rows, most)
+    for anchor in [[0] * 5, [most] * 5, [-most] * 5, rng.integers(-most, most, 5).tolist(), [1, -1]]:
+        assert packed.scores(anchor).tolist() == [dot(anchor, r) for r in rows.tolist()]
+    assert Packed(np.zeros((3, 0), np.int64), 5).scores([1, 2]).tolist() == [0, 0, 0]
+
+
+def test_first_best_keeps_the_order_of_ties():
+    assert first_best(np.array([3, 5, 5, 1, 5]), 2).tolist() == [1, 2]
+    assert first_best(np.array([2, 9]), 5).tolist() == [1, 0]
+    assert first_best(np.zeros(0, np.int64), 5).tolist() == []
+
+
+@pytest.mark.parametrize("blocks", [None, 100])
+def test_hard_negatives(spark, monkeypatch, blocks):
+    if blocks:
+        monkeypatch.setattr("sensorloom.llm.vectors.LEAST_BLOCK", blocks)
+        monkeypatch.setattr("sensorloom.llm.vectors.QUERY_BLOCK", 7)
+    rows = mixed_rows(3)
+    wanted = brute_negatives(rows)
+    assert len(wanted) > 100
+    assert got(negatives.hard_negatives(table(spark, rows).repartition(3))) == wanted
+
+
+def test_hard_negatives_of_huge_components(spark):
+    rows = [(i * 50, [(-1.0) ** i * 1e15 * (i + 1), 3e14 * (i % 4)], i % 2) for i in range(12)] + [(900, [1e300, 1.0], 0), (901, [1e300, 0.0], 1)]
+    cut = [(i, [min(x, LONGEST / 256) for x in v], l) for i, v, l in rows]
+    found = got(negatives.hard_negatives(table(spark, rows)))
+    assert found and [r[:4] for r in found] == [r[:4] for r in brute_negatives(cut)]
+
+
+def test_no_anchors_or_no_rows(spark):
+    assert got(negatives.hard_negatives(table(spark, []))) == []
+    assert got(negatives.hard_negatives(table(spark, [(1, [1.0], 1), (3, [1.0], 2)]))) == []
+    assert got(negatives.hard_negatives(table(spark, [(100, [1.0], 1), (3, [1.0], 2)]))) == []
+    assert got(topk.exact_top_k(table(spark, []))) == []
+    assert got(topk.exact_top_k(table(spark, [(3, [1.0], 1)]))) == []
+    assert got(topk.exact_top_k(table(spark, [(50, [1.0], 1)]))) == []
+
+
+@pytest.mark.parametrize("layout", [{}, {"pivots": 7, "rings": 5, "first_rows": 20}, {"pivots": 1, "rings": 9, "first_rows": 1}])
+def test_exact_top_k(spark, monkeypatch, layout):
+    if layout:
+        monkeypatch.setattr("sensorloom.llm.vectors.LEAST_BLOCK", 50)
+        monkeypatch.setattr("sensorloom.llm.topk.QUERY_BLOCK", 6)
+    rows = mixed_rows(5)
+    wanted = brute_top(rows)
+    assert len(wanted) > 200
+    assert got(topk.exact_top_k(table(spark, rows).repartition(3), **layout)) == wanted
+
+
+def test_top_k_of_other_queries_and_huge_components(spark):
+    rows = [(i, [1e14 * i, -2e13 * (i % 5), 1.5e15], 0) for i in range(40)]
+    found = got(topk.exact_top_k(table(spark, rows), F.col("vec_id") == 8, k=3, pivots=3, rings=2, first_rows=2))
+    wanted = sorted(((-dot(scaled(rows[8][1]), scaled(v)), i) for i, v, _ in rows if i != 8))[:3]
+    assert found == [(8, r, i, -s) for r, (s, i) in enumerate(wanted, 1)]
+
+
+def test_bounds_hold_and_prune():
+    rng = np.random.default_rng(4)
+    centres = rng.normal(0, 3000, (12, 16))
+    rows = np.floor(centres[rng.integers(0, 12, 4000)] + rng.normal(0, 150, (4000, 16))).astype(np.int64)
+    pivots = topk.fit_pivots(rows[:500], 12)
+    away = topk.distances(rows, pivots)
+    near = away.argmin(1)
+    r = away[np.arange(len(rows)), near]
+    cell = near * 4 + np.digitize(r, np.quantile(r, [0.25, 0.5, 0.75]))
+    names = np.unique(cell)
+    norms = (rows.astype(float) ** 2).sum(1)
+    cells = {"pivot": names // 4, "least": np.array([r[cell == c].min() for c in names]),
+             "most": np.array([r[cell == c].max() for c in names]), "norm": np.array([norms[cell == c].max() for c in names])}
+    bounds = topk.upper_bounds(away[:50], norms[:50], cells)
+    scores = topk.products(rows[:50], rows)
+    reached = np.stack([scores[:, cell == c].max(1) for c in names], 1)
+    assert (bounds >= reached).all()
+    fifth = np.sort(scores, 1)[:, -6]
+    assert (bounds >= fifth[:, None]).mean() < 0.5

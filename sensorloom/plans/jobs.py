@@ -24,6 +24,7 @@ from sensorloom.sinks.compaction import compact_store
 from sensorloom.sinks.timeseries import TimeSeriesDataSource
 from sensorloom.sources.files import csv_source, file_stream
 from sensorloom.sources.kafka import kafka_source
+from sensorloom.streaming.eventtime import DELAY
 from sensorloom.streaming.fanout import run_stream
 
 
@@ -106,6 +107,8 @@ def _arguments() -> argparse.ArgumentParser:
         stream.add_argument("--series-url", help="its token is read from SERIES_TOKEN")
         stream.add_argument("--series-org", default="")
         stream.add_argument("--series-bucket")
+        stream.add_argument("--distinct", default="", help="columns that name a reading, such as sensor_id,timestamp; one that was sent again is stored once")
+        stream.add_argument("--delay", default=DELAY, help="how much older than the newest reading one may arrive, for --distinct")
         stream.add_argument("--until-caught-up", action="store_true", help="stop after what is there now")
         if name == "score":
             stream.add_argument("--model", required=True)
@@ -146,7 +149,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     trigger = {"availableNow": True} if args.until_caught_up else trigger
     sinks = _sinks(spark, args, scored=model is not None)
     messages = _messages(spark, args).select(F.col("value"))
-    run_stream(messages, sinks, args.checkpoint, model, f"{args.out}/metrics", trigger).awaitTermination()
+    repeats = {"distinct": tuple(args.distinct.split(",")), "delay": args.delay} if args.distinct else {}
+    run_stream(messages, sinks, args.checkpoint, model, f"{args.out}/metrics", trigger, **repeats).awaitTermination()
 
 
 if __name__ == "__main__":

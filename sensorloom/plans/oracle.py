@@ -20,6 +20,10 @@ _MOMENTS = """round(avg(cast(temperature as double)), 6) as temperature_mean,
   round(avg(cast(humidity as double)), 6) as humidity_mean,
   round(stddev_samp(cast(humidity as double)), 6) as humidity_std"""
 
+_EXTREMES = _MOMENTS + "," + ",".join(
+    f" round(cast({m}({v}) as double), 6) as {v}_{m}" for v in ("temperature", "humidity") for m in ("min", "max")
+)
+
 _DAMAGED = "(sensor_id in ('error', 'signup', 'purchase') or event_id % 11 in (3, 5))"
 
 _FLOAT = "cast(value as float)"
@@ -143,4 +147,13 @@ select event_id, user_id as device_id, coalesce(is_spike, false) as is_spike, is
     "stuck_stream": _STUCK
     + """select user_id as device_id, min(ts) as start, any_value(event_type) as state
   from numbered group by user_id, run having count(*) >= 3""",
+    "hourly_rollup": _READINGS
+    + f"""select sensor_id, time_bucket(interval '1 hour', ts) as start, time_bucket(interval '1 hour', ts) + interval '1 hour' as "end",
+  count(*) as readings, {_EXTREMES} from readings
+  group by 1, 2 having "end" <= (select max(ts) from events) - interval '10 minutes'""",
+    "distinct_stream": _READINGS
+    + """select distinct sensor_id, cast(cast(cast(temperature as double) as decimal(9,2)) as float) as temperature, humidity, "timestamp" from readings""",
+    "stuck_unordered": _STUCK
+    + """select user_id as device_id, min(ts) as start, any_value(event_type) as state
+  from numbered group by user_id, run having count(*) >= 3""",
 }

@@ -15,7 +15,8 @@ from sensorloom.schemas import FEATURES, LABEL, LABELLED, LINE, PREDICTED, READI
 from sensorloom.session import scratch, written
 from sensorloom.sinks import stores
 from sensorloom.sinks.timeseries import TimeSeriesDataSource
-from sensorloom.sources.files import csv_sink, csv_source
+from sensorloom.sources.files import csv_sink, csv_source, file_stream
+from sensorloom.streaming.eventtime import rollup_stream
 from sensorloom.streaming.fanout import run_stream
 from sensorloom.streaming.stuck import stuck_runs_stream
 
@@ -305,6 +306,77 @@ def stuck_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(alerts).select("device_id", "start", "state")
 
 
+# Event time
+
+
+def _cuts(rows: DataFrame, time, parts: int = 4) -> list:
+    """Times that part the rows into periods of about equal size."""
+    found = rows.agg(F.percentile_approx(F.unix_micros(time.cast("timestamp")), [n / parts for n in range(1, parts)])).first()[0]
+    return [F.timestamp_micros(F.lit(c)).cast("timestamp_ntz") for c in found or []]
+
+
+def _periods(rows: DataFrame, time) -> list[DataFrame]:
+    """The rows in periods that arrive one after the other; rows without a time come first."""
+    cuts = _cuts(rows, time)
+    period = F.size(F.filter(F.array(*cuts), lambda c: time >= c)) if cuts else F.lit(0)
+    period = F.coalesce(period, F.lit(0))
+    return [rows.filter(period == n) for n in range(len(cuts) + 1)]
+
+
+def hourly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures per sensor and hour; four periods arrive one after the other, each after a restart."""
+    rows = inputs.readings(spark, sf_dir).select("ts", "sensor_id", *FEATURES)
+    arrivals, path, checkpoint = (scratch(spark, name) for name in ("arrivals", "hours", "checkpoint"))
+    for period in _periods(rows, F.col("ts")):
+        period.write.mode("append").parquet(arrivals)
+        live = spark.readStream.schema(rows.schema).parquet(arrivals)
+        last = rollup_stream(live, path, checkpoint, ts="ts", trigger=NOW)
+        last.awaitTermination()
+    names = ["sensor_id string", "start timestamp_ntz", "end timestamp_ntz", "readings bigint"]
+    figures = [f"{v}_{m}" for v in FEATURES for m in ("mean", "std", "min", "max")]
+    hours = spark.read.schema(", ".join([*names, *[f"{f} double" for f in figures]])).parquet(path)
+    return _rounded(hours.drop("day"), figures)
+
+
+def distinct_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream without a model where messages arrive again: some twice in a batch, some once more after a restart."""
+    rows = inputs.readings(spark, sf_dir).select("event_id", "ts")
+    sent = inputs.binary(inputs.messages(spark, sf_dir)).join(rows, "event_id")
+    arrivals, path, checkpoint = (scratch(spark, name) for name in ("arrivals", "store", "checkpoint"))
+    before = None
+    for period in _periods(sent, F.col("ts")):
+        again = period.filter("event_id % 3 = 0")
+        if before is not None:
+            again = again.unionByName(before.filter("event_id % 4 = 1"))
+        before = period
+        arriving = period.unionByName(again).select("value")
+        arriving.write.mode("append").parquet(arrivals)
+        run_stream(
+            file_stream(spark, arrivals, arriving.schema), [stores.processed(path)], checkpoint, trigger=NOW,
+            distinct=READING.names, delay="60 days",
+        ).awaitTermination()
+    return stores.read_store(spark, path, READING)
+
+
+def stuck_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stuck sensors where every reading arrives up to six hours late; four periods of arrival, then a heartbeat."""
+    log = inputs.devices(spark, sf_dir).select("event_id", "ts", "device_id", "state")
+    late = F.make_dt_interval(secs=F.pmod(F.xxhash64("event_id"), F.lit(6 * 3600)).cast("decimal(18,6)"))
+    log = log.withColumn("_arrives", F.col("ts") + late)
+    arrivals, alerts, checkpoint = (scratch(spark, name) for name in ("arrivals", "alerts", "checkpoint"))
+    beat = log.agg(F.max("ts").alias("ts")).select(
+        F.lit(None).cast("bigint").alias("event_id"), (F.col("ts") + F.expr("interval 1 day")).alias("ts"),
+        F.lit(None).cast(log.schema["device_id"].dataType).alias("device_id"), F.lit("heartbeat").alias("state"),
+    )
+    for period in [*(p.drop("_arrives") for p in _periods(log, F.col("_arrives"))), beat]:
+        period.write.mode("append").parquet(arrivals)
+        live = spark.readStream.schema(period.schema).parquet(arrivals)
+        stuck_runs_stream(
+            live, alerts, checkpoint, key="device_id", value="state", min_readings=3, trigger=NOW, delay="6 hours"
+        ).awaitTermination()
+    return spark.read.parquet(alerts).select("device_id", "start", "state")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_encode": json_encode,
     "json_parse": json_parse,
@@ -342,4 +414,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "labels_damaged": labels_damaged,
     "anomaly_labels": anomaly_labels,
     "stuck_stream": stuck_stream,
+    "hourly_rollup": hourly_rollup,
+    "distinct_stream": distinct_stream,
+    "stuck_unordered": stuck_unordered,
 }

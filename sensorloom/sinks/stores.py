@@ -7,10 +7,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from sensorloom.operators.codec import to_line_protocol
 from sensorloom.schemas import PREDICTED, READING, SCORED
+from sensorloom.sinks.ledger import forget, get_record, put_record
 
 Rows = Callable[[DataFrame], DataFrame]
 
@@ -90,6 +91,11 @@ def read_store(spark: SparkSession, path: str, schema: T.StructType, file_format
     return spark.read.schema(schema).format(file_format).load(path).select(*schema.names)
 
 
+def recorded(spark: SparkSession, ledger: str | None, batch_id: int, sink: Sink) -> bool:
+    """Whether the ledger says that this store has the batch."""
+    return ledger is not None and get_record(spark, f"{ledger}/batch={batch_id}/{sink.name}") is not None
+
+
 def _write(sink: Sink, frame: DataFrame, run: str, batch_id: int) -> None:
     writer = sink.rows(frame).write.format(sink.format).options(**sink.options)
     if sink.path:
@@ -99,7 +105,14 @@ def _write(sink: Sink, frame: DataFrame, run: str, batch_id: int) -> None:
         writer.options(**named).mode("append").save()
 
 
-def write_batch(frame: DataFrame, batch_id: int, sinks: Sequence[Sink], run: str) -> None:
+def write_batch(
+    frame: DataFrame,
+    batch_id: int,
+    sinks: Sequence[Sink],
+    run: str,
+    ledger: str | None = None,
+    observed: tuple[Observation, Sequence[Column]] | None = None,
+) -> bool:
     """Write one batch to every sink; raise at the end if any of them failed.
 
     Folders are written at the same time. Formats registered from Python are looked up in the calling
@@ -107,24 +120,42 @@ def write_batch(frame: DataFrame, batch_id: int, sinks: Sequence[Sink], run: str
     store does not keep the batch from the others, but the failure is not swallowed either: the batch
     stays uncommitted and is replayed, so that no store misses its rows. ``run`` keeps the folders of
     different checkpoints apart, as each numbers its batches from 0.
+
+    With a ``ledger``, a folder next to the checkpoint, a store that has the batch is recorded there as soon as its
+    write ended, and a replay passes it over: only the stores that failed are written again. Records
+    are by the sink's name, and of the last two batches. ``observed`` is an observation and its
+    metrics, taken over the whole frame on the way of the first folder's write, which then goes ahead of the
+    others; returns whether it was made.
     """
-    failures = []
+    if len({sink.name for sink in sinks}) < len(sinks):
+        raise ValueError("two sinks have one name")
+    spark, failures = frame.sparkSession, []
 
-    def attempt(sink: Sink) -> Exception | None:
+    def attempt(sink: Sink, rows: DataFrame = frame) -> Exception | None:
         try:
-            _write(sink, frame, run, batch_id)
+            _write(sink, rows, run, batch_id)
+            if ledger:
+                put_record(spark, f"{ledger}/batch={batch_id}/{sink.name}", {"run": run})
         except Exception as failure:
             failure.add_note(f"while writing batch {batch_id} to sink {sink.name}")
             return failure
 
-    folders = [sink for sink in sinks if sink.path]
+    left = [sink for sink in sinks if not recorded(spark, ledger, batch_id, sink)]
+    folders = [sink for sink in left if sink.path]
+    results, made = {}, False
+    if observed and folders:
+        # The metrics are above every filter of the sink, and none of its rows' shuffles comes before them.
+        first = folders.pop(0)
+        results[first.name] = attempt(first, frame.observe(observed[0], *observed[1]))
+        made = results[first.name] is None
     with ThreadPoolExecutor(max(1, len(folders))) as pool:
-        write = inheritable_thread_target(frame.sparkSession)(attempt)
+        write = inheritable_thread_target(spark)(attempt)
         jobs = {sink.name: pool.submit(write, sink) for sink in folders}
-        direct = {sink.name: attempt(sink) for sink in sinks if not sink.path}
-        for sink in sinks:
-            failure = jobs[sink.name].result() if sink.name in jobs else direct[sink.name]
-            if failure is not None:
-                failures.append(failure)
+        results |= {sink.name: attempt(sink) for sink in left if not sink.path}
+        results |= {name: job.result() for name, job in jobs.items()}
+    failures = [results[sink.name] for sink in left if results[sink.name] is not None]
     if failures:
         raise ExceptionGroup(f"batch {batch_id}: {len(failures)} of {len(sinks)} sinks failed", failures)
+    if ledger:
+        forget(spark, ledger, batch_id - 1)
+    return made

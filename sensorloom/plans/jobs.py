@@ -72,7 +72,8 @@ def _sinks(spark: SparkSession, args: argparse.Namespace, scored: bool) -> list[
     if args.documents_uri:
         sinks = [stores.document_store(name, rows, args.documents_uri, args.database, args.document_id) for name, rows in kinds]
     else:
-        sinks = [stores.Sink(name, rows, path=f"{args.out}/{name}") for name, rows in kinds]
+        dated = "timestamp" if args.by_day else None
+        sinks = [stores.Sink(name, rows, path=f"{args.out}/{name}", dated=dated) for name, rows in kinds]
     if args.series_url:
         spark.dataSource.register(TimeSeriesDataSource)
         token = os.environ.get("SERIES_TOKEN", "")
@@ -107,6 +108,7 @@ def _arguments() -> argparse.ArgumentParser:
         stream.add_argument("--series-url", help="its token is read from SERIES_TOKEN")
         stream.add_argument("--series-org", default="")
         stream.add_argument("--series-bucket")
+        stream.add_argument("--by-day", action="store_true", help="lay the folders of readings out by day and time")
         stream.add_argument("--distinct", default="", help="columns that name a reading, such as sensor_id,timestamp; one that was sent again is stored once")
         stream.add_argument("--delay", default=DELAY, help="how much older than the newest reading one may arrive, for --distinct")
         stream.add_argument("--until-caught-up", action="store_true", help="stop after what is there now")
@@ -115,6 +117,7 @@ def _arguments() -> argparse.ArgumentParser:
     compacting = jobs.add_parser("compact", help="merge the folders of a store's older batches")
     compacting.add_argument("--out", required=True, help="folder of the path-based stores")
     compacting.add_argument("--store", required=True, choices=["processed_data", "anomalies", "series", "rejected"])
+    compacting.add_argument("--by-day", action="store_true", help="the store is laid out by day")
     compacting.add_argument("--unscored", action="store_true", help="the store holds readings without a prediction")
     return parser
 
@@ -142,7 +145,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         return
     if args.job == "compact":
         schema, file_format = {"series": (LINE, "text"), "rejected": (REJECTED, "parquet")}.get(args.store, (READING if args.unscored else SCORED, "parquet"))
-        print(compact_store(spark, f"{args.out}/{args.store}", schema, file_format))
+        print(compact_store(spark, f"{args.out}/{args.store}", schema, file_format, dated="timestamp" if args.by_day else None))
         return
     model = load_model(spark, args.model) if args.job == "score" else None
     trigger = {"processingTime": args.trigger_interval} if args.trigger_interval else None

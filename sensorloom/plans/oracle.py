@@ -151,9 +151,15 @@ select event_id, user_id as device_id, coalesce(is_spike, false) as is_spike, is
     + f"""select sensor_id, time_bucket(interval '1 hour', ts) as start, time_bucket(interval '1 hour', ts) + interval '1 hour' as "end",
   count(*) as readings, {_EXTREMES} from readings
   group by 1, 2 having "end" <= (select max(ts) from events) - interval '10 minutes'""",
+    "dated_store": _READINGS
+    + """select sensor_id, temperature, humidity, "timestamp" from readings
+  where date_trunc('second', ts) >= timestamp '2024-01-08 12:00:00' and date_trunc('second', ts) < timestamp '2024-01-18 00:00:00'""",
     "distinct_stream": _READINGS
     + """select distinct sensor_id, cast(cast(cast(temperature as double) as decimal(9,2)) as float) as temperature, humidity, "timestamp" from readings""",
     "stuck_unordered": _STUCK
     + """select user_id as device_id, min(ts) as start, any_value(event_type) as state
   from numbered group by user_id, run having count(*) >= 3""",
 }
+# What a stream keeps up to date is what the batch gives over all its readings.
+ORACLE["profile_kept"] = ORACLE["daily_profile"]
+ORACLE["baseline_kept"] = ORACLE["sensor_baseline"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,10 +15,12 @@ from sensorloom.plans import inputs
 from sensorloom.schemas import FEATURES, LABEL, LABELLED, LINE, PREDICTED, READING, SCORED
 from sensorloom.session import scratch, written
 from sensorloom.sinks import stores
+from sensorloom.sinks.compaction import compact_store
 from sensorloom.sinks.timeseries import TimeSeriesDataSource
 from sensorloom.sources.files import csv_sink, csv_source, file_stream
 from sensorloom.streaming.eventtime import rollup_stream
 from sensorloom.streaming.fanout import run_stream
+from sensorloom.streaming.profiles import baseline as kept_baseline, daily_profile as kept_profile, profile_stream
 from sensorloom.streaming.stuck import stuck_runs_stream
 
 NOW = {"availableNow": True}
@@ -377,6 +380,35 @@ def stuck_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(alerts).select("device_id", "start", "state")
 
 
+def _kept_profile(spark: SparkSession, sf_dir: str) -> str:
+    """Where four batches of the log, the second half of it before the first, have kept the profile; each after a restart."""
+    rows = inputs.readings(spark, sf_dir).select("ts", "sensor_id", *FEATURES)
+    arrivals, path, checkpoint = (scratch(spark, name) for name in ("arrivals", "profile", "checkpoint"))
+    periods = _periods(rows, F.col("ts"))
+    for period in periods[2:] + periods[:2]:
+        period.write.mode("append").parquet(arrivals)
+        profile_stream(spark.readStream.schema(rows.schema).parquet(arrivals), path, checkpoint, trigger=NOW).awaitTermination()
+    return path
+
+
+def profile_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily profile that a stream keeps up to date, batch by batch."""
+    return _rounded(kept_profile(spark, _kept_profile(spark, sf_dir)), _moment_names(FEATURES))
+
+
+def baseline_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The baseline from what the stream keeps."""
+    return _rounded(kept_baseline(spark, _kept_profile(spark, sf_dir)), _moment_names(FEATURES))
+
+
+def dated_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten days of readings from a store that a stream has laid out by day, after its older batches were merged."""
+    path = scratch(spark, "store")
+    _streamed(_arriving(spark, sf_dir), [stores.processed(path, dated="timestamp")])
+    compact_store(spark, path, READING, dated="timestamp")
+    return stores.read_period(spark, path, READING, "timestamp", datetime(2024, 1, 8, 12), datetime(2024, 1, 18))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_encode": json_encode,
     "json_parse": json_parse,
@@ -417,4 +449,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_rollup": hourly_rollup,
     "distinct_stream": distinct_stream,
     "stuck_unordered": stuck_unordered,
+    "dated_store": dated_store,
+    "profile_kept": profile_kept,
+    "baseline_kept": baseline_kept,
 }

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sensorloom.session import shared_file_system
+from sensorloom.sinks.stores import DAY, by_day
 
 ROWS_PER_FILE = 5_000_000
 
@@ -19,13 +20,15 @@ def _batches(spark: SparkSession, path: str, schema: T.StructType, file_format:
 
 
 def compact_store(
-    spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet", keep_last: int = 1, rows_per_file: int = ROWS_PER_FILE
+    spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet", keep_last: int = 1, rows_per_file: int = ROWS_PER_FILE,
+    dated: str | None = None,
 ) -> int:
     """Merge each run's batches, but for the ``keep_last`` newest, into the last one merged; return how many went.
 
     The merged rows are written to a hidden folder first; then the old folders are deleted and the
     new one takes the place of the last. A job that breaks off in between leaves the hidden folder,
     and the next one ends its work. Stop readers meanwhile, or they may miss rows for that moment.
+    ``dated`` is the column of a store that is laid out by day; it stays so.
     """
     store, at = shared_file_system(spark, path)
     if not store.exists(at(path)):
@@ -47,7 +50,8 @@ def compact_store(
             continue
         rows = _batches(spark, path, schema, file_format).filter((F.col("run") == run) & (F.col("batch") <= closed[-1])).select(*schema.names)
         files = 1 + rows.count() // rows_per_file
-        rows.repartition(files).write.mode("overwrite").format(file_format).save(f"{path}/run={run}/_merged={closed[-1]}")
+        writer = (by_day(rows, dated, files).write.partitionBy(DAY) if dated else rows.repartition(files).write).mode("overwrite")
+        writer.format(file_format).save(f"{path}/run={run}/_merged={closed[-1]}")
         gone += _replace(store, at, f"{path}/run={run}", closed[-1])
     return gone
 

@@ -5,15 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+from sensorloom.functions.times import from_iso
 from sensorloom.operators.codec import to_line_protocol
 from sensorloom.schemas import PREDICTED, READING, SCORED
 from sensorloom.sinks.ledger import forget, get_record, put_record
 
 Rows = Callable[[DataFrame], DataFrame]
+#: The partition column of a dated store.
+DAY = "day"
 
 
 @dataclass(frozen=True)
@@ -23,6 +27,9 @@ class Sink:
     With a ``path``, each batch has its own folder there and replaces it when replayed. Without
     one the format's own options say where, and the batch is appended: whether a replay then
     duplicates rows is up to the store.
+
+    ``dated`` names a column of times, by which a folder's rows are laid out: a level of days below the batch,
+    and in each file a range of times in order, so that :func:`read_period` opens little else.
     """
 
     name: str
@@ -30,6 +37,7 @@ class Sink:
     format: str = "parquet"
     path: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    dated: str | None = None
 
 
 def valid_rows(frame: DataFrame) -> DataFrame:
@@ -52,12 +60,12 @@ def rejected_rows(frame: DataFrame) -> DataFrame:
     return frame.filter(~F.col("valid")).select(F.col("value").cast("string").alias("value")).hint("rebalance")
 
 
-def processed(path: str) -> Sink:
-    return Sink("processed_data", valid_rows, path=path)
+def processed(path: str, dated: str | None = None) -> Sink:
+    return Sink("processed_data", valid_rows, path=path, dated=dated)
 
 
-def anomalies(path: str) -> Sink:
-    return Sink("anomalies", anomalous_rows, path=path)
+def anomalies(path: str, dated: str | None = None) -> Sink:
+    return Sink("anomalies", anomalous_rows, path=path, dated=dated)
 
 
 def series(path: str) -> Sink:
@@ -91,14 +99,44 @@ def read_store(spark: SparkSession, path: str, schema: T.StructType, file_format
     return spark.read.schema(schema).format(file_format).load(path).select(*schema.names)
 
 
+def by_day(rows: DataFrame, dated: str, parts: int | None = None) -> DataFrame:
+    """Rows with their ``day``, each file a range of times in order; without a time they have no day.
+
+    Ranges are cut from a sample of the times, so a day with most of the rows is cut too, and small days share a task.
+    """
+    kind = rows.schema[dated].dataType
+    time = from_iso(F.col(dated)) if isinstance(kind, T.StringType) else F.col(dated)
+    count = [parts] if parts else []
+    return rows.withColumn(DAY, F.to_date(time)).repartitionByRange(*count, DAY, dated).sortWithinPartitions(DAY, dated)
+
+
+def read_period(spark: SparkSession, path: str, schema: T.StructType, dated: str, since: datetime, until: datetime) -> DataFrame:
+    """Rows of a dated store with ``since <= time < until``: folders of other days are not listed as files to read.
+
+    Times are in the session's zone, as the days are. Rows without a time are in no period.
+    """
+    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])).parquet(path)
+    text = isinstance(schema[dated].dataType, T.StringType)
+    time = from_iso(F.col(dated)) if text else F.col(dated)
+    kind = "timestamp" if text else schema[dated].dataType.simpleString()
+    begin, end = (F.lit(t.isoformat(sep=" ")).cast(kind) for t in (since, until))
+    days = F.col(DAY).between(F.lit(since.date()), F.lit(until.date()))
+    return stored.filter(days & (time >= begin) & (time < end)).select(*schema.names)
+
+
 def recorded(spark: SparkSession, ledger: str | None, batch_id: int, sink: Sink) -> bool:
     """Whether the ledger says that this store has the batch."""
     return ledger is not None and get_record(spark, f"{ledger}/batch={batch_id}/{sink.name}") is not None
 
 
 def _write(sink: Sink, frame: DataFrame, run: str, batch_id: int) -> None:
-    writer = sink.rows(frame).write.format(sink.format).options(**sink.options)
+    rows = sink.rows(frame)
+    if sink.path and sink.dated:
+        rows = by_day(rows, sink.dated)
+    writer = rows.write.format(sink.format).options(**sink.options)
     if sink.path:
+        if sink.dated:
+            writer = writer.partitionBy(DAY)
         writer.mode("overwrite").save(f"{sink.path}/run={run}/batch={batch_id}")
     else:
         named = {"run": run, "batch": str(batch_id)} if sink.format == "timeseries" else {}

@@ -28,6 +28,10 @@ from sensorloom.streaming.eventtime import DELAY
 from sensorloom.streaming.fanout import run_stream
 
 
+#: In how many parts a history is laid out by default: the same on every machine, as the forest depends on it.
+PARTITIONS = 64
+
+
 def train_job(
     spark: SparkSession,
     history: str,
@@ -40,7 +44,8 @@ def train_job(
 
     The parts are chosen by the hash of ``split_key``, one or more columns; without one at random, which
     differs from layout to layout. Accuracy and the weighted F1 are reported as numbers and in percent. The columns in use are
-    written once, since training alone reads its input several times and CSV is slow to read.
+    written once, since training alone reads its input several times and CSV is slow to read. With a key, rows are laid
+    out by it in ``partitions`` parts (``PARTITIONS`` by default), so the same history gives the same forest anywhere.
     Rows without a label or a feature cannot be trained on and are counted as ``unusable``.
     """
     with scratch_scope(spark):
@@ -49,7 +54,8 @@ def train_job(
         needed = [*FEATURES, LABEL]
         usable = rows.dropna(subset=needed)
         train_part, test_part = split_keyed(usable, "_key") if split_key else split_random(usable)
-        model = train(train_part, key="_key" if split_key else None, partitions=partitions, **training)
+        laid_out = {"key": "_key", "partitions": partitions or PARTITIONS} if split_key else {"partitions": partitions}
+        model = train(train_part, **laid_out, **training)
         save_model(model, model_path)
         quality = evaluate(score(model, test_part)).first()
         unusable = F.count_if(any_of(is_missing(F.col(c)) for c in needed))
@@ -91,6 +97,7 @@ def _arguments() -> argparse.ArgumentParser:
     training.add_argument("--model", required=True)
     training.add_argument("--split-key", default="sensor_id,timestamp", help="columns whose hash parts the rows; empty for a random split")
     training.add_argument("--partitions", type=int)
+    training.add_argument("--most-rows", type=int, help="fit on about so many rows at most, chosen by the hash of the split key")
     training.add_argument("--combine-equal", action="store_true", help="train on distinct readings with weights")
     for name, text in (("score", "score the stream and store the results"), ("persist", "store the stream unscored")):
         stream = jobs.add_parser(name, help=text)
@@ -125,6 +132,8 @@ def _arguments() -> argparse.ArgumentParser:
 def _checked(parser: argparse.ArgumentParser, argv: Sequence[str] | None) -> argparse.Namespace:
     """The arguments, or an error before anything starts if some that need each other are not there."""
     args = parser.parse_args(argv)
+    if args.job == "train" and args.most_rows and not args.split_key:
+        parser.error("--most-rows needs --split-key")
     if args.job in ("score", "persist"):
         if not args.files and not (args.servers and args.topic):
             parser.error("give --servers and --topic, or --files")
@@ -141,7 +150,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = _checked(_arguments(), argv)
     spark = session(f"sensorloom-{args.job}")
     if args.job == "train":
-        train_job(spark, args.history, args.model, args.split_key or None, args.partitions, combine_equal=args.combine_equal).show(truncate=False)
+        bound = {"most_rows": args.most_rows} if args.most_rows else {}
+        train_job(spark, args.history, args.model, args.split_key or None, args.partitions, combine_equal=args.combine_equal, **bound).show(truncate=False)
         return
     if args.job == "compact":
         schema, file_format = {"series": (LINE, "text"), "rejected": (REJECTED, "parquet")}.get(args.store, (READING if args.unscored else SCORED, "parquet"))

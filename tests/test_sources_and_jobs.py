@@ -234,3 +234,18 @@ def test_the_training_command(spark, tmp_path, sf_dir, capsys):
 
 def jobs_report(spark):
     return spark.createDataFrame([(1,)], "rows int")
+
+
+def test_the_default_layout_does_not_depend_on_the_machine(spark, tmp_path, sf_dir):
+    history = str(tmp_path / "history")
+    csv_sink(inputs.readings(spark, sf_dir).select(*LABELLED.names), history)
+    with mock.patch.object(jobs, "train", wraps=jobs.train) as trained:
+        jobs.train_job(spark, history, str(tmp_path / "m"), "timestamp", trees=2, depth=2)
+        jobs.train_job(spark, history, str(tmp_path / "m"), "timestamp", trees=2, depth=2, most_rows=100)
+    assert [(c.kwargs["key"], c.kwargs["partitions"]) for c in trained.call_args_list] == [("_key", jobs.PARTITIONS)] * 2
+
+
+def test_most_rows_needs_a_key(spark, tmp_path, capsys):
+    with pytest.raises(SystemExit):
+        jobs._checked(jobs._arguments(), ["train", "--history", "h", "--model", "m", "--split-key", "", "--most-rows", "5"])
+    assert "--split-key" in capsys.readouterr().err

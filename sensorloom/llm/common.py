@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
+from sensorloom.operators.ordering import split_busy, spread_join
+from sensorloom.session import written
+
 #: A word is a run of anything but these white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts turned into Python objects at a time.
@@ -28,6 +31,19 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("bigint")
 
 
+def join_spread(rows: DataFrame, table: DataFrame, key: str, count: str, most: int, salt_by: Sequence[str]) -> DataFrame:
+    """``rows`` joined with a stored ``table`` that has a row per key, ``_<key>``, and the ``count`` of the key's rows.
+
+    Rows of keys with more than ``most`` of them, of which there can only be few, are spread over tasks.
+    """
+    same = F.col(key) == F.col(f"_{key}")
+    busy = written(table.filter(F.col(count) > most), "busy")
+    if busy.isEmpty():
+        return rows.join(table, same)
+    busy_rows, other_rows = split_busy(rows, key, busy.select(F.col(f"_{key}").alias("_busy")))
+    return spread_join(busy_rows, busy, same, "inner", salt_by).unionByName(other_rows.join(table, same))
+
+
 def per_text(df: DataFrame, keep: Sequence[str], text: str, fields: Sequence[StructField], function: Callable) -> DataFrame:
     """``keep`` and what ``function`` returns for each text, a tuple of ``fields``; null texts count as empty.
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorloom.llm.common import whole
+from sensorloom.operators.ordering import fits_broadcast, spread_join
 from sensorloom.session import written
 
 #: Words in a shingle, and the least weighted similarity of a window and an item.
@@ -77,7 +78,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
 
     A window is as long as the item, or the whole text where that is shorter. Each shingle that a text
     shares with an item says where the item would begin; these windows and those around them, as far as
-    an item of similarity ``least`` can be shifted, are fingerprinted.
+    an item of similarity ``least`` can be shifted, are fingerprinted, and compared with this item alone.
 
     Null texts count as empty. Texts and items under five words match nothing. Rows equal in ``doc_id``
     and text give one row for each item; equal windows are compared once. Equal item ids with different
@@ -86,42 +87,50 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
     """
     items = benchmark.select("item_id", words_of(whole()).alias("words")).filter(F.size("words") >= WORDS)
     items = items.select("item_id", F.size("words").alias("n"), F.array_distinct(shingles_of(F.col("words"), True)).alias("item"), shingles_of(F.col("words")).alias("_s"))
-    items = written(items.withColumn("print", simhash(F.col("item"))), "items")
-    anchors = written(items.select("item_id", "n", F.posexplode("_s").alias("j", "h")), "anchors")
+    items = written(items.withColumns({"print": simhash(F.col("item")), "variant": F.xxhash64("_s")}), "items")
+    variants = items.select("variant", "n", "print", "_s").dropDuplicates(["variant"])
+    anchors = written(variants.select("variant", "n", F.posexplode("_s").alias("j", "h")), "anchors")
     if anchors.count() <= BROADCAST_SHINGLES:
         anchors = F.broadcast(anchors)
 
     keyed = docs.select("doc_id", F.xxhash64(whole()).alias("hash"), words_of(whole()).alias("words"))
     spread = keyed.select("doc_id", "hash", F.size("words").alias("size"), F.posexplode(shingles_of(F.col("words"))).alias("i", "h"))
-    hits = spread.join(anchors, "h").select("doc_id", "hash", "size", "n", (F.col("i") - F.col("j")).alias("start"))
-    # The windows around each place; where windows of one length overlap, each counts once.
+    hits = spread.join(anchors, "h").select("doc_id", "hash", "size", "variant", "n", (F.col("i") - F.col("j")).alias("start"))
+    # The windows around each place; where windows of one item overlap, each counts once.
     shift = F.ceil((F.col("n") - WORDS + 1) * (1 - least) / 2).cast("int") + 1
     hits = hits.distinct().withColumn("start", F.explode(F.sequence(F.col("start") - shift, F.col("start") + shift)))
     last = F.greatest(F.lit(0), F.col("size") - F.col("n"))
-    starts = hits.withColumn("start", F.greatest(F.lit(0), F.least("start", last))).groupBy("doc_id", "hash").agg(F.collect_set(F.struct("n", "start")).alias("at"))
+    starts = hits.withColumn("start", F.greatest(F.lit(0), F.least("start", last))).groupBy("doc_id", "hash").agg(F.collect_set(F.struct("variant", "n", "start")).alias("at"))
     starts = written(starts.withColumnsRenamed({"doc_id": "_id", "hash": "_hash"}), "starts")
 
-    few = starts.count() <= BROADCAST_DOCS
+    few = starts.count() <= BROADCAST_DOCS and fits_broadcast(starts)
     held = keyed.join(F.broadcast(starts) if few else starts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")))
     held = held.dropDuplicates(["_id", "_hash"]).select("doc_id", "hash", "words", F.explode("at").alias("at"))
     window = F.slice("words", F.col("at.start") + 1, F.col("at.n"))
-    windows = held.select("doc_id", "hash", F.col("at.n").alias("n"), F.col("at.start").alias("start"), F.array_join(window, " ").alias("window"))
+    windows = held.select("doc_id", "hash", *[F.col(f"at.{c}").alias(c) for c in ("variant", "n", "start")], F.array_join(window, " ").alias("window"))
     windows = written(windows.withColumn("key", F.md5("window")), "windows")
 
     different = windows.groupBy("key", "n").agg(F.first("window").alias("window"))
     different = different.withColumn("shingles", F.array_distinct(shingles_of(F.split("window", " "), True)))
     different = written(different.withColumn("print", simhash(F.col("shingles"))).drop("window"), "prints")
 
-    probe = different.select("key", "n", F.col("print").alias("_p"), F.inline(blocks(F.col("print"), radius)))
-    index = items.select("item_id", "n", F.xxhash64("item").alias("variant"), F.col("print").alias("_q"), F.inline(blocks(F.col("print"), radius)))
+    # A window looks up the items whose shingles led to it, and of these only whose fingerprint shares a block with its own.
+    led = windows.select("key", "n", "variant").distinct().join(different.select("key", "n", F.col("print").alias("_p")), ["key", "n"])
+    probe = led.select("key", "n", "variant", "_p", F.inline(blocks(F.col("_p"), radius)))
+    index = variants.select(F.col("variant").alias("_variant"), F.col("print").alias("_q"), F.inline(blocks(F.col("print"), radius)))
+    index = written(index.withColumnsRenamed({"block": "_block", "value": "_value"}), "index")
+    met = (F.col("variant") == F.col("_variant")) & (F.col("block") == F.col("_block")) & (F.col("value") == F.col("_value"))
     distance = F.bit_count(F.col("_p").bitwiseXOR(F.col("_q")))
-    near = probe.join(index, ["n", "block", "value"]).filter(distance <= radius)
-    near = near.select("key", "n", "item_id", "variant", distance.alias("distance")).distinct()
+    near = spread_join(probe, index, met, "inner", ["key"]).filter(distance <= radius)
+    near = near.select("key", "n", "variant", distance.alias("distance")).distinct()
 
     tests = near.join(different.select("key", "n", "shingles"), ["key", "n"])
-    tests = tests.join(items.select("item_id", F.xxhash64("item").alias("variant"), "item"), ["item_id", "variant"])
+    told = written(items.select(F.col("item_id"), F.col("variant").alias("_variant"), "item"), "item-texts")
+    tests = spread_join(tests, told, F.col("variant") == F.col("_variant"), "inner", ["key"])
     passed = tests.withColumn("similarity", similarity(F.col("shingles"), F.col("item"))).filter(F.col("similarity") >= least)
-    found = windows.join(passed.select("key", "n", "item_id", "similarity", "distance"), ["key", "n"])
+    passed = written(passed.select(F.col("key").alias("_key"), F.col("variant").alias("_of"), "item_id", "similarity", "distance"), "passed")
+    # One window that stands in a great many documents is not gathered in one task.
+    found = spread_join(windows, passed, (F.col("key") == F.col("_key")) & (F.col("variant") == F.col("_of")), "inner", ["doc_id", "start"])
     best = F.max_by(F.struct("similarity", "start", "distance"), F.struct("similarity", -F.col("start"), -F.col("distance"))).alias("best")
     return found.groupBy("doc_id", "hash", "item_id").agg(best).select("doc_id", "hash", "item_id", "best.*")
 

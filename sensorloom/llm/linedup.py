@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from sensorloom.llm.common import SLICE, whole, word_count
+from sensorloom.llm.common import SLICE, join_spread, whole, word_count
 from sensorloom.llm.components import components
 from sensorloom.llm.shingles import Powers, mixed
-from sensorloom.operators.ordering import split_busy, spread_join
+from sensorloom.operators.ordering import spread_join
 from sensorloom.session import written
 
 #: Most edits between near lines, and code points of the shorter line for each edit allowed.
@@ -452,7 +452,7 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFra
 
     texts = crowded.join(bodies.select(F.col("short").alias("node"), F.col("node").alias("own"), "line"), "node")
     texts = written(texts.select("key", F.col("own").alias("node"), F.col("node").alias("node_short"), "line", "segment", "indexed"), "crowded-lines")
-    size = F.greatest(F.ceil(F.count("*") / BLOCK_LINES), F.ceil(F.sum(F.length("line") * 4) / BLOCK_BYTES)).cast("int")
+    size = F.greatest(F.ceil(F.count("*") / BLOCK_LINES), F.least(F.count("*"), F.ceil(F.sum(F.length("line").cast("bigint") * 4) / BLOCK_BYTES))).cast("int")
     blocks = written(texts.groupBy("key").agg(size.alias("blocks")).select(F.col("key").alias("_key"), "blocks"), "crowded-keys")
     placed = spread_join(texts, blocks, F.col("key") == F.col("_key"), "inner", ["node"]).withColumn("_own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -499,13 +499,7 @@ def near_duplicate_lines(docs: DataFrame, edits: int = EDITS, busy_places: int =
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), "_places",
     )
     decided = written(decided, "line-classes")
-    same = F.col("node") == F.col("_node")
-    busy = written(decided.filter(F.col("_places") > busy_places).withColumn("_busy", F.col("_node")), "busy-lines")
-    if busy.isEmpty():
-        found = places.join(decided, same)
-    else:
-        busy_rows, other_rows = split_busy(places, "node", busy.select("_busy"))
-        found = spread_join(busy_rows, busy.drop("_busy"), same, "inner", ["doc_id", "line_no"]).unionByName(other_rows.join(decided, same))
+    found = join_spread(places, decided, "node", "_places", busy_places, ["doc_id", "line_no"])
     kept = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("line_no") == F.col("first_line"))
     return found.select("doc_id", "hash", "line_no", "node", "first_doc", "first_line", "n_links", kept.alias("kept")), every
 

@@ -150,7 +150,8 @@ def test_components_of_binary_nodes(spark):
 
 
 def test_very_long_lines(documents):
-    long = "".join(random.Random(3).choice("abcdefgh ") for _ in range(300_000))
+    rng = random.Random(3)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(300_000))
     rows = [(1, long), (2, long[:150_000] + "X" + long[150_001:]), (3, long[:-1]), (4, long[::-1])]
     got = {r.doc_id: (r.first_doc, r.n_links) for r in linedup.near_duplicate_lines(documents(rows))[0].collect()}
     assert got == {1: (1, 2), 2: (1, 2), 3: (1, 2), 4: (4, 0)}

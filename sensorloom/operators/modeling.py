@@ -17,6 +17,8 @@ from sensorloom.schemas import FEATURES, LABEL
 TREES = 100
 DEPTH = 10
 SEED = 42
+#: Of equal readings combined into weighted rows, into how many rows at most.
+COPIES = 16
 UNSCALED = "features_unscaled"
 SCALED = "features"
 
@@ -61,6 +63,7 @@ def train(
     partitions: int | None = None,
     most_rows: int | None = None,
     combine_equal: bool = False,
+    copies: int = COPIES,
     **forest: int,
 ) -> PipelineModel:
     """Fit the pipeline on the columns it needs.
@@ -73,8 +76,10 @@ def train(
     It also keeps one sampling count per row and tree, far more than the reading itself. For very
     long histories ``most_rows`` bounds the fit to about so many rows, chosen by a hash of the key
     (off by default), and ``combine_equal`` turns equal readings into one weighted row first:
-    readings have two decimals, so there are only so many. All readings then still count, but the
-    trees' random samples are drawn from the distinct ones.
+    readings have two decimals, so there are only so many. All readings then still count. So that the
+    trees sample readings, and not only distinct ones, a reading that stands n times is ``min(n, copies)``
+    rows of equal weight: up to ``copies`` a tree draws it as often as it would the single readings, beyond that
+    as if so many stood for all. The fit holds at most ``copies`` times the distinct readings.
     """
     if key is None and most_rows is not None:
         raise ValueError("most_rows needs a key to choose rows by")
@@ -95,8 +100,10 @@ def train(
     assembler, scaler, trees = pipeline.getStages()
     # The scaler knows no weights, so it is fitted on the single readings.
     scaling = scaler.fit(assembler.transform(rows.select(*features)))
-    combined = rows.groupBy(*features, label).agg(F.count("*").cast("double").alias("weight"))
-    grown = trees.setWeightCol("weight").fit(scaling.transform(assembler.transform(laid_out(combined, [*features, label]))))
+    combined = rows.groupBy(*features, label).agg(F.count("*").alias("_times"))
+    parts = F.least(F.col("_times"), F.lit(max(1, copies)))
+    combined = combined.withColumn("weight", F.col("_times") / parts).withColumn("_part", F.explode(F.sequence(F.lit(1), parts.cast("int"))))
+    grown = trees.setWeightCol("weight").fit(scaling.transform(assembler.transform(laid_out(combined, [*features, label, "_part"]))))
     return PipelineModel([assembler, scaling, grown])
 
 

@@ -1,5 +1,6 @@
 import math
 import random
+from unittest import mock
 
 import pytest
 from py4j.protocol import Py4JError
@@ -41,6 +42,29 @@ def test_combining_equal_readings_keeps_all_of_them(rows):
     assert list(scaling.std) == pytest.approx([stats["temperature_std"], stats["humidity_std"]])
 
 
+def test_combined_readings_are_as_many_rows_as_they_may_be(rows):
+    """A reading that stands 5 times is 3 rows of equal weight if there may be 3; every layout gives the same forest."""
+    five, held = rows, {}
+    for _ in range(4):
+        five = five.unionAll(rows)
+    fit = modeling.RandomForestClassifier.fit
+
+    def counted(self, frame):
+        held["rows"], held["weight"] = frame.agg(F.count("*"), F.sum("weight")).first()
+        return fit(self, frame)
+
+    found = []
+    with mock.patch.object(modeling.RandomForestClassifier, "fit", counted):
+        for layout, copies in ((1, 3), (7, 3), (3, 1), (3, 16)):
+            model = modeling.train(five.repartition(layout), combine_equal=True, copies=copies, partitions=4, trees=10, depth=5)
+            distinct = rows.select(*modeling.FEATURES, modeling.LABEL).distinct().count()
+            assert distinct * min(copies, 5) <= held["rows"] <= 5 * rows.count() and held["weight"] == pytest.approx(5 * rows.count())
+            found.append([r["prediction"] for r in modeling.score(model, rows).orderBy("event_id").collect()])
+            quality = evaluate(modeling.score(model, rows)).first()
+            assert quality["accuracy"] > 0.97 and quality["f1_anomaly"] > 0.7
+    assert found[0] == found[1]
+
+
 def test_full_size_settings():
     *_, forest = modeling.anomaly_pipeline().getStages()
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getSeed()) == (100, 10, 42)

@@ -1,4 +1,4 @@
-"""The jobs: train a model from history, score a stream, or only persist it.
+"""The jobs: train a model from history, score a stream, only persist it, or watch it.
 
     spark-submit --py-files sensorloom.zip sensorloom/plans/jobs.py train --history ... --model ...
 
@@ -12,8 +12,12 @@ import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from sensorloom.functions.numbers import any_of, is_missing
+from sensorloom.functions.times import from_iso
+from sensorloom.operators.codec import decode_json, split_valid
+from sensorloom.operators.detecting import STUCK_READINGS
 from sensorloom.operators.evaluating import evaluate
 from sensorloom.operators.modeling import load_model, save_model, score, train
 from sensorloom.operators.splitting import split_keyed, split_random
@@ -24,12 +28,17 @@ from sensorloom.sinks.compaction import compact_store
 from sensorloom.sinks.timeseries import TimeSeriesDataSource
 from sensorloom.sources.files import csv_source, file_stream
 from sensorloom.sources.kafka import kafka_source
-from sensorloom.streaming.eventtime import DELAY
+from sensorloom.streaming.eventtime import DELAY, rollup_stream
 from sensorloom.streaming.fanout import run_stream
+from sensorloom.streaming.profiles import profile_stream
+from sensorloom.streaming.stuck import stuck_runs_stream
 
 
 #: In how many parts a history is laid out by default: the same on every machine, as the forest depends on it.
 PARTITIONS = 64
+#: The jobs that store the stream, and all that read it.
+STORING = ("score", "persist")
+STREAMS = (*STORING, "hours", "profile", "stuck")
 
 
 def train_job(
@@ -89,6 +98,37 @@ def _sinks(spark: SparkSession, args: argparse.Namespace, scored: bool) -> list[
     return [*sinks, stores.rejected(f"{args.out}/rejected")]
 
 
+def _stream_arguments(stream: argparse.ArgumentParser, out: str) -> None:
+    stream.add_argument("--out", required=True, help=out)
+    stream.add_argument("--checkpoint", required=True)
+    stream.add_argument("--files", help="folder of message files, instead of a topic")
+    stream.add_argument("--servers")
+    stream.add_argument("--topic")
+    stream.add_argument("--starting", default="latest", help="where a first start begins: latest, earliest, or offsets as JSON")
+    stream.add_argument("--max-offsets", type=int, help="messages in a batch at most")
+    stream.add_argument("--trigger-interval", help="time between batches, such as '1 minute'; none by default")
+    stream.add_argument("--until-caught-up", action="store_true", help="stop after what is there now")
+
+
+def _readings(messages: DataFrame) -> DataFrame:
+    """The valid readings of a stream of messages, with their time as a timestamp ``ts``."""
+    valid, _ = split_valid(decode_json(messages))
+    return valid.withColumn("ts", from_iso(F.col("timestamp")))
+
+
+def _watch(args: argparse.Namespace, messages: DataFrame, trigger: dict | None) -> StreamingQuery:
+    """Start one of the jobs that read the stream without storing it."""
+    readings = _readings(messages)
+    if args.job == "hours":
+        return rollup_stream(readings, args.out, args.checkpoint, ts="ts", delay=args.delay, trigger=trigger)
+    if args.job == "profile":
+        return profile_stream(readings, args.out, args.checkpoint, trigger=trigger)
+    return stuck_runs_stream(
+        readings, args.out, args.checkpoint, id="timestamp", value=args.value, min_readings=args.min_readings,
+        trigger=trigger, delay=args.delay, late=f"{args.out.rstrip('/')}.late",
+    )
+
+
 def _arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="sensorloom")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -101,14 +141,7 @@ def _arguments() -> argparse.ArgumentParser:
     training.add_argument("--combine-equal", action="store_true", help="train on distinct readings with weights")
     for name, text in (("score", "score the stream and store the results"), ("persist", "store the stream unscored")):
         stream = jobs.add_parser(name, help=text)
-        stream.add_argument("--out", required=True, help="folder for path-based stores and rejected messages")
-        stream.add_argument("--checkpoint", required=True)
-        stream.add_argument("--files", help="folder of message files, instead of a topic")
-        stream.add_argument("--servers")
-        stream.add_argument("--topic")
-        stream.add_argument("--starting", default="latest", help="where a first start begins: latest, earliest, or offsets as JSON")
-        stream.add_argument("--max-offsets", type=int, help="messages in a batch at most")
-        stream.add_argument("--trigger-interval", help="time between batches, such as '1 minute'; none by default")
+        _stream_arguments(stream, "folder for path-based stores and rejected messages")
         stream.add_argument("--documents-uri", default=os.environ.get("DOCUMENTS_URI"), help="or in DOCUMENTS_URI")
         stream.add_argument("--database")
         stream.add_argument("--document-id", default="sensor_id,timestamp", help="columns that name a document, so that a replay replaces it; empty to append")
@@ -118,9 +151,18 @@ def _arguments() -> argparse.ArgumentParser:
         stream.add_argument("--by-day", action="store_true", help="lay the folders of readings out by day and time")
         stream.add_argument("--distinct", default="", help="columns that name a reading, such as sensor_id,timestamp; one that was sent again is stored once")
         stream.add_argument("--delay", default=DELAY, help="how much older than the newest reading one may arrive, for --distinct")
-        stream.add_argument("--until-caught-up", action="store_true", help="stop after what is there now")
         if name == "score":
             stream.add_argument("--model", required=True)
+    hours = jobs.add_parser("hours", help="figures per sensor and hour, given out when the hour is closed")
+    _stream_arguments(hours, "folder of the figures")
+    hours.add_argument("--delay", default=DELAY, help="how much older than the newest reading one may arrive")
+    profile = jobs.add_parser("profile", help="keep each sensor's daily profile up to date")
+    _stream_arguments(profile, "folder of the profile")
+    stuck = jobs.add_parser("stuck", help="alerts of stuck sensors")
+    _stream_arguments(stuck, "folder of the alerts; late readings go to a folder beside it")
+    stuck.add_argument("--delay", default=DELAY, help="how much older than the newest reading one may arrive and take its place")
+    stuck.add_argument("--min-readings", type=int, default=STUCK_READINGS)
+    stuck.add_argument("--value", choices=FEATURES, default=FEATURES[0], help="what is watched for repeats")
     compacting = jobs.add_parser("compact", help="merge the folders of a store's older batches")
     compacting.add_argument("--out", required=True, help="folder of the path-based stores")
     compacting.add_argument("--store", required=True, choices=["processed_data", "anomalies", "series", "rejected"])
@@ -134,12 +176,12 @@ def _checked(parser: argparse.ArgumentParser, argv: Sequence[str] | None) -> arg
     args = parser.parse_args(argv)
     if args.job == "train" and args.most_rows and not args.split_key:
         parser.error("--most-rows needs --split-key")
-    if args.job in ("score", "persist"):
+    if args.job in STREAMS:
         if not args.files and not (args.servers and args.topic):
             parser.error("give --servers and --topic, or --files")
-        if args.documents_uri and not args.database:
+        if args.job in STORING and args.documents_uri and not args.database:
             parser.error("--documents-uri needs --database")
-        if (args.series_url or "").startswith("http") and not args.series_bucket:
+        if args.job in STORING and (args.series_url or "").startswith("http") and not args.series_bucket:
             parser.error("--series-url needs --series-bucket")
         if args.trigger_interval and args.until_caught_up:
             parser.error("--trigger-interval and --until-caught-up exclude each other")
@@ -157,11 +199,14 @@ def main(argv: Sequence[str] | None = None) -> None:
         schema, file_format = {"series": (LINE, "text"), "rejected": (REJECTED, "parquet")}.get(args.store, (READING if args.unscored else SCORED, "parquet"))
         print(compact_store(spark, f"{args.out}/{args.store}", schema, file_format, dated="timestamp" if args.by_day else None))
         return
-    model = load_model(spark, args.model) if args.job == "score" else None
     trigger = {"processingTime": args.trigger_interval} if args.trigger_interval else None
     trigger = {"availableNow": True} if args.until_caught_up else trigger
-    sinks = _sinks(spark, args, scored=model is not None)
     messages = _messages(spark, args).select(F.col("value"))
+    if args.job not in STORING:
+        _watch(args, messages, trigger).awaitTermination()
+        return
+    model = load_model(spark, args.model) if args.job == "score" else None
+    sinks = _sinks(spark, args, scored=model is not None)
     repeats = {"distinct": tuple(args.distinct.split(",")), "delay": args.delay} if args.distinct else {}
     run_stream(messages, sinks, args.checkpoint, model, f"{args.out}/metrics", trigger, **repeats).awaitTermination()
 

@@ -13,6 +13,7 @@ from sensorloom.schemas import LABELLED, LINE, SCORED
 from sensorloom.sinks import stores, timeseries
 from sensorloom.sources import kafka
 from sensorloom.sources.files import csv_sink, csv_source
+from sensorloom.streaming.profiles import daily_profile as kept_profile
 
 HEADER = "timestamp,sensor_id,temperature,humidity,is_anomaly"
 
@@ -249,3 +250,37 @@ def test_most_rows_needs_a_key(spark, tmp_path, capsys):
     with pytest.raises(SystemExit):
         jobs._checked(jobs._arguments(), ["train", "--history", "h", "--model", "m", "--split-key", "", "--most-rows", "5"])
     assert "--split-key" in capsys.readouterr().err
+
+
+def _sent(spark, tmp_path, rows):
+    frame = spark.createDataFrame(rows, "sensor_id string, temperature float, humidity float, timestamp string")
+    encode_json(frame).select(inputs.F.col("value").cast("binary")).write.mode("append").parquet(str(tmp_path / "in"))
+
+
+def test_watching_the_stream_as_jobs(spark, tmp_path):
+    """Readings that arrive out of order, the last of them a heartbeat: hours, profile and stuck sensors."""
+    minutes = list(range(0, 180, 2))
+    rows = [("a", 7.0 if 40 <= m < 80 else float(m), 50.0, f"2025-07-01T{m // 60:02d}:{m % 60:02d}:00Z") for m in minutes]
+    late = [rows[25], rows[22]]
+    _sent(spark, tmp_path, [r for r in rows[:30] if r not in late] + [("b", 1.0, 1.0, "no time")])
+    run = lambda job, *more: jobs.main([job, "--files", str(tmp_path / "in"), "--out", str(tmp_path / job), "--checkpoint", str(tmp_path / f"{job}.cp"), "--until-caught-up", *more])
+    for n in range(2):
+        if n:
+            _sent(spark, tmp_path, late + rows[30:] + [("beat", 0.0, 0.0, "2025-07-01T09:00:00Z")])
+        run("hours", "--delay", "30 minutes")
+        run("profile")
+        run("stuck", "--delay", "30 minutes")
+    hours = spark.read.parquet(str(tmp_path / "hours")).filter("sensor_id = 'a'").orderBy("start").collect()
+    assert [(r["start"].hour, r["readings"]) for r in hours] == [(0, 30), (1, 30), (2, 30)]
+    kept = {(r["sensor_id"], r["hour"]): r["readings"] for r in kept_profile(spark, str(tmp_path / "profile")).collect()}
+    assert kept == {("a", 0): 30, ("a", 1): 30, ("a", 2): 30, ("beat", 9): 1}
+    alerts = spark.read.parquet(str(tmp_path / "stuck")).collect()
+    assert [(r["sensor_id"], r["start"].minute, r["temperature"]) for r in alerts] == [("a", 40, 7.0)]
+    assert spark.read.schema("sensor_id string").parquet(str(tmp_path / "stuck.late")).count() == 0
+
+
+def test_watching_needs_a_source(capsys):
+    for job in ("hours", "profile", "stuck"):
+        with pytest.raises(SystemExit):
+            jobs._checked(jobs._arguments(), [job, "--out", "o", "--checkpoint", "c"])
+    assert "--topic" in capsys.readouterr().err

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sensorloom.llm.common import WORD, whole
+from sensorloom.operators.ordering import fits_broadcast
 from sensorloom.session import written
 
 # The kinds in the order in which they are listed, their patterns, and what a text needs to hold any.
@@ -129,7 +130,7 @@ def disclosing_terms(docs: DataFrame, lines: DataFrame, share: float = GENERALIS
     joint = written(joint.filter(disclosed(F.col("n_both")) >= share), "joint")
     wanted = written(joint.select("term").distinct(), "terms")
     words = split.distinct().select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("line"), F.lit(TERM), F.lit(0)))).alias("term"))
-    if wanted.count() <= BROADCAST_TERMS:
+    if wanted.count() <= BROADCAST_TERMS and fits_broadcast(wanted):
         by_term = words.join(F.broadcast(wanted), "term").groupBy("term").agg(F.count("*").alias("n_term"))
     else:  # counted in each task first, so that few rows of a frequent word are joined
         by_term = words.groupBy("term").agg(F.count("*").alias("n_term")).join(wanted, "term")

@@ -31,15 +31,19 @@ _WORD = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\
 
 
 def vocabulary(path: str = VOCABULARY) -> list[tuple[str, float]]:
-    """The pieces of a sentence-piece model file, with the logarithm of 1 / rank as score.
+    """The pieces of a sentence-piece model file by id, with the logarithm of 1 / rank as score.
 
     The file's own scores are ranks, whose sums would always prefer few frequent-ranked pieces by
-    units that are not probabilities; a share that falls with the rank is the usual stand-in.
+    units that are not probabilities; a share that falls with the rank is the usual stand-in. Pieces of
+    text come first in the ranks, then the bytes and the pieces that stand for no text, whose ids are the lowest.
     """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return [(model.id_to_piece(i), -math.log(i + 1)) for i in range(model.get_piece_size())]
+    ids = range(model.get_piece_size())
+    ranked = sorted(ids, key=lambda i: (model.is_byte(i) or model.is_control(i) or model.is_unknown(i), i))
+    score = {i: -math.log(rank) for rank, i in enumerate(ranked, 1)}
+    return [(model.id_to_piece(i), score[i]) for i in ids]
 
 
 class Counter:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sensorloom.llm import decontam, linedup, mixing, neardup, quality
 from sensorloom.llm.common import table
-from sensorloom.session import written
+from sensorloom.session import scratch, scratch_scope
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +46,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other over ``documents``; each stage's result is written and read again."""
+    """The stages one after the other over ``documents``; each stage's result is written and read again.
+
+    What a stage has written for itself goes as soon as its result is stored. Nulls, empty and very long texts, repeated
+    rows and empty tables are what each stage's operator says of them.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = scratch(spark, name.replace(" ", "-"))
+        with scratch_scope(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -74,9 +74,9 @@ def fan_out(sinks: Sequence[Sink], checkpoint: str, metrics: str | None = None)
         try:
             if frame.isEmpty():
                 return
+            # Also without metrics the first folder goes ahead, so that the others find the batch computed.
             observation = Observation(f"batch {batch_id}")
-            observed = (observation, batch_measures(frame)) if metrics else None
-            made = write_batch(frame, batch_id, sinks, runs[0], f"{checkpoint}/stored", observed)
+            made = write_batch(frame, batch_id, sinks, runs[0], f"{checkpoint}/stored", (observation, batch_measures(frame)))
             if metrics:
                 counts = observation.get if made else batch_counts(frame).first().asDict()
                 row = spark.createDataFrame([(batch_id, *[counts[c] for c in ("readings", "rejected", "anomalies")])], METRICS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -47,6 +48,12 @@ class Powers:
         return sums
 
 
+@functools.cache
+def shared_powers() -> Powers:
+    """One table of powers for all small groups that a worker handles one after the other."""
+    return Powers()
+
+
 def _is_space(data: np.ndarray) -> np.ndarray:
     return (data == 32) | ((data >= 9) & (data <= 13))
 

@@ -80,7 +80,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
     shares with an item says where the item would begin; these windows and those around them, as far as
     an item of similarity ``least`` can be shifted, are fingerprinted, and compared with this item alone.
 
-    Null texts count as empty. Texts and items under five words match nothing. Rows equal in ``doc_id``
+    Null texts count as empty; very long ones are searched as a whole. Texts and items under five words match nothing. Rows equal in ``doc_id``
     and text give one row for each item; equal windows are compared once. Equal item ids with different
     texts are one item that matches where any of its texts does. Empty tables give no rows. Other columns
     are ignored.

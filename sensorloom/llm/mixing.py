@@ -63,7 +63,7 @@ def mix_sources(
     documents in key order are taken until the target is met to the word, so the document on the
     cut is taken in part. No document is taken more than ``most`` times.
 
-    Null or blank texts have size 0 and are never taken; a null source is a source of its own, the last.
+    Very long texts count with all their words. Null or blank texts have size 0 and are never taken; a null source is a source of its own, the last.
     Equal rows are mixed each on its own. An empty table gives no rows. Other columns are ignored.
     """
     key = random_key()

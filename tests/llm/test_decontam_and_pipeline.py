@@ -70,6 +70,28 @@ def test_windows_against_all_windows(spark, documents, prose, monkeypatch, broad
         assert sorted(got[key]) == pytest.approx(sorted(values))
 
 
+def test_windows_meet_only_the_items_that_led_to_them(spark, documents, prose, monkeypatch):
+    """Forty items of one length: a window is compared with one of them, not with all."""
+    items = [(i, prose(30, 5000 + i)) for i in range(40)] + [(100 + i, prose(6 + i, 6000 + i)) for i in range(7)]
+    rows = [(i, f"{prose(20, i)} {item} {prose(20, 500 + i)}") for i, (_, item) in enumerate(items)]
+    joins, join = [], decontam.spread_join
+    monkeypatch.setattr(decontam, "spread_join", lambda *args: joins.append(join(*args)) or joins[-1])
+    found = decontam.contaminated(documents(rows), benchmark_table(spark, items)).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, item_id) for i, (item_id, _) in enumerate(items)}
+    assert all(r.similarity == pytest.approx(1.0) for r in found)
+    met = joins[0].select("key", "variant").distinct().groupBy("key").count()
+    assert met.agg(F.max("count")).first()[0] == 1 and met.count() < 20 * len(items)
+
+
+def test_very_long_texts_and_many_copies_of_a_window(spark, documents, prose):
+    item = prose(25, 1)
+    long = f"{prose(4000, 2)} {item} {prose(4000, 3)}"
+    rows = [(1, long), (2, " ".join([item] * 40)), (3, prose(4000, 4)), *[(10 + i, item) for i in range(30)]]
+    found = decontam.contaminated(documents(rows), benchmark_table(spark, [(7, item)])).collect()
+    assert {r.doc_id for r in found} == {1, 2, *range(10, 40)} and all(r.similarity == pytest.approx(1.0) for r in found)
+    assert {r.doc_id: r.start for r in found}[1] == 4000 and {r.doc_id: r.start for r in found}[2] == 0
+
+
 def test_blocks_meet_within_the_radius(spark):
     rng = random.Random(1)
     rows = []

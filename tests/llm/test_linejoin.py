@@ -5,7 +5,6 @@ from itertools import combinations, permutations
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from sensorloom.llm import linedup
 from sensorloom.llm.components import components

@@ -1,7 +1,7 @@
 """Near duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
 A text is a weighted set of five-word shingles: how often it has the shingle, times the shingle's
-inverse document frequency. Samples agree with the probability of the weighted Jaccard similarity,
+inverse document frequency, counted for every shingle over all documents. Samples agree with the probability of the weighted Jaccard similarity,
 so texts that agree in a band of samples are candidates, and every candidate link is verified by
 the exact similarity before it counts.
 """
@@ -12,7 +12,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
@@ -27,12 +26,10 @@ SIMILARITY = 0.8
 BANDS, ROWS = 10, 3
 #: A candidate pair also agrees in so many of the samples; at similarity 0.8 all but 1 in 3,000 pairs do.
 SAMPLES, AGREEING = 32, 17
-#: Document frequencies count from this share of all documents on; rarer shingles all weigh the same.
-#: So at most (mean shingles of a text) / COMMON shingles have a frequency of their own, at any size,
-#: and a group of near copies with less than this share of all documents is compared by plain shingles.
-COMMON = 1 / 3
-COUNTERS = 1 << 17
-_PIECES = 16
+#: Code points of texts that are read and signed together, and whose shingles' frequencies are counted together.
+BATCH, RANGE = 1 << 21, 1 << 25
+#: Bits of a posting that name its document's least shingle; the others name the shingle inside its range.
+_LEAST_BITS = np.uint64(24)
 #: Rounds in which the texts of each bucket are compared with one of them.
 STARS = 1
 #: Code points of texts in a block; what the rounds leave open is compared block by block.
@@ -48,67 +45,42 @@ def _sets(column: pa.Array, powers: Powers) -> Iterator[tuple[np.ndarray, np.nda
         yield np.unique(shingle_hashes(word_hashes(data, powers)), return_counts=True)
 
 
-def common_shingles(texts: DataFrame, share: float = COMMON) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles in at least ``share`` of the rows of ``texts`` (sorted), and their inverse document frequencies.
+def _batch(table: pa.Table, ranges: int) -> tuple:
+    """A batch's different texts as sets, each row's place among them, and their shingles by range of hashes.
 
-    All shingles are counted into a table of counters that is summed over the tasks. A common shingle
-    makes its counter reach the threshold, so only shingles with such counters are counted one by one.
-    Counters and result are bounded whatever the size of the corpus; only they reach the driver.
+    The last three are all the sets' shingles one after the other, the order that sorts them by range, and
+    how many each range has. Any two readings of a batch give the same, whatever order its rows come in.
     """
+    table = table.combine_chunks()
+    _, first, place = np.unique(np.array(table["node"].to_pylist()), return_index=True, return_inverse=True)
+    sets = list(_sets(table["text"].chunk(0).take(pa.array(first)), shared_powers()))
+    shingles = np.concatenate([s for s, _ in sets])
+    range_ = ((shingles >> np.uint64(48)) * np.uint64(ranges) >> np.uint64(16)).astype(np.uint16)
+    return sets, place, shingles, np.argsort(range_, kind="stable"), np.bincount(range_, minlength=ranges)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, counters = Powers(), np.zeros(COUNTERS, np.int64)
-        for batch in batches:
-            for shingles, _ in _sets(batch.column(0), powers):
-                np.add.at(counters, (shingles & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
-        made = [piece.tobytes() for piece in counters.reshape(_PIECES, -1)]
-        salt = TaskContext.get().partitionId() % 256
-        yield pa.RecordBatch.from_arrays([pa.array(range(_PIECES), pa.int32()), pa.array([salt] * _PIECES, pa.int32()), pa.array(made, pa.binary())], ["piece", "salt", "counts"])
-
-    kind = StructType([StructField("piece", IntegerType()), StructField("salt", IntegerType()), StructField("counts", BinaryType())])
-
-    def add(rows: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c.as_py(), np.int64) for c in rows.column("counts"))
-        return pa.table({"piece": rows.column("piece")[:1], "salt": rows.column("salt")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
-
-    n = texts.count()
-    least = max(share * n, 1)
-    summed = texts.mapInArrow(count, kind).groupBy("piece", "salt").applyInArrow(add, kind).groupBy("piece").applyInArrow(add, kind)
-    pieces = {row.piece: np.frombuffer(row.counts, np.int64) >= least for row in summed.collect()}
-    if not pieces:
-        return np.zeros(0, np.uint64), np.zeros(0)
-    full = np.concatenate([pieces[i] for i in range(_PIECES)])
-
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
-        for batch in batches:
-            found = [s[full[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]] for s, _ in _sets(batch.column(0), powers)]
-            shingles, times = np.unique(np.concatenate(found or [np.zeros(0, np.uint64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(shingles.view(np.int64)), pa.array(times, pa.int64())], ["shingle", "times"])
 
-    kind = StructType([StructField("shingle", LongType()), StructField("times", LongType())])
-    counted = texts.mapInArrow(candidates, kind).groupBy("shingle").agg(F.sum("times").alias("df")).filter(F.col("df") >= least)
-    rows = counted.toArrow()  # at most (mean shingles of a text) / share rows
-    shingles = rows.column("shingle").to_numpy().view(np.uint64)
-    order = np.argsort(shingles)
-    return shingles[order], np.log(n / rows.column("df").to_numpy()[order])
+def document_frequencies(postings: list[np.ndarray]) -> list[np.ndarray]:
+    """For each posting (a shingle above, its document's least shingle below) how many least shingles its shingle has."""
+    every = np.concatenate(postings)
+    order = np.argsort(every)
+    every = every[order]
+    new = np.concatenate(([True], every[1:] != every[:-1]))
+    shingle = every >> _LEAST_BITS
+    which = np.cumsum(np.concatenate(([False], shingle[1:] != shingle[:-1])))
+    found = np.empty(len(every), np.int32)
+    found[order] = np.bincount(which[new])[which]
+    return np.split(found, np.cumsum([len(p) for p in postings])[:-1])
 
 
-class Weights:
-    """TF-IDF weights: clipped at the common shingles' threshold, so that all rare shingles weigh the same."""
+def idf(frequency: np.ndarray, documents: int) -> np.ndarray:
+    """Smoothed inverse document frequency; a shingle of every document still weighs 1."""
+    return 1 + np.log((1 + documents) / (1 + frequency))
 
-    def __init__(self, common: tuple[np.ndarray, np.ndarray], share: float = COMMON):
-        self.shingles, self.idf = common
-        self.rare = float(np.log(1 / share))
-        self.least = 0.01  # a shingle of every document still counts a little
 
-    def of(self, shingles: np.ndarray, times: np.ndarray) -> np.ndarray:
-        idf = np.full(len(shingles), self.rare)
-        if len(self.shingles) and len(shingles):
-            at = np.minimum(np.searchsorted(self.shingles, shingles), len(self.shingles) - 1)
-            hit = self.shingles[at] == shingles
-            idf[hit] = np.clip(self.idf[at[hit]], self.least, self.rare)
-        return times * idf
+def _weighted(texts: pa.Array, frequencies: pa.Array, documents: int, powers: Powers) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Each text's shingles, how often it has them, and their TF-IDF weights."""
+    for (shingles, times), df in zip(_sets(texts, powers), frequencies):
+        yield shingles, times, times * idf(np.frombuffer(df.as_py(), np.int32), documents)
 
 
 def weighted_samples(shingles: np.ndarray, weights: np.ndarray, n: int = SAMPLES) -> np.ndarray:
@@ -168,41 +140,72 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return shared / rest if rest > 0 else 1.0
 
 
-def _signatures(texts: DataFrame, weights: Weights) -> DataFrame:
-    """``doc_id``, ``node``, the set's total weight, band keys and sketch; texts without words have no bands."""
-    kind = StructType([texts.schema["doc_id"], texts.schema["node"], StructField("weight", DoubleType()), StructField("bands", ArrayType(LongType())), StructField("sketch", ArrayType(LongType()))])
+def _signatures(texts: DataFrame, documents: int, chars: int) -> DataFrame:
+    """``doc_id``, ``node``, the set's total weight, band keys, sketch, and its shingles' document frequencies.
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
-        for batch in batches:
-            total, bands, sketches = [], [], []
-            for shingles, times in _sets(batch.column(2), powers):
-                w = weights.of(shingles, times)
-                total.append(float(w.sum()))
-                samples = weighted_samples(shingles, w) if len(w) else None
-                bands.append([] if samples is None else band_keys(samples))
-                sketches.append([] if samples is None else sketch_of(samples))
-            lists = [pa.array(x, pa.list_(pa.int64())) for x in (bands, sketches)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(total, pa.float64()), *lists], kind.names)
-
-    return texts.select("doc_id", "node", "text").mapInArrow(sign, kind)
-
-
-def _verified(edges: DataFrame, texts: DataFrame, weights: Weights, least: float) -> DataFrame:
+    Texts are dealt into batches of bounded size. A batch sends its shingles to the ranges of their hashes, each
+    range counts in how many documents its shingles stand, and the frequencies go back to the batch, whose texts
+    are signed with them. So every shingle is counted, no table of them is built, and both sides are bounded: a
+    range takes eight bytes for each document and shingle, and only a shingle that stands in most documents
+    makes one grow. Documents of the same least shingle count once, since copies of a text, and most of its near
+    copies, say nothing about how common its shingles are. Texts without words have no bands.
+    """
+    batches, ranges = max(1, -(-chars // BATCH)), min(max(1, -(-chars // RANGE)), 1 << 16)
+    dealt = texts.select("doc_id", "node", "text", F.pmod(F.xxhash64("doc_id", "node"), F.lit(batches)).alias("batch"))
+    place = [StructField("batch", LongType()), StructField("range", IntegerType())]
+    sent, back = (StructType([*place, StructField(name, BinaryType())]) for name in ("postings", "dfs"))
+
+    def send(rows: pa.Table) -> pa.Table:
+        sets, _, shingles, order, sizes = _batch(rows, ranges)
+        least = np.repeat([mixed(s[:1])[0] if len(s) else np.uint64(0) for s, _ in sets], [len(s) for s, _ in sets]).astype(np.uint64)
+        postings = (shingles << _LEAST_BITS | least >> (np.uint64(64) - _LEAST_BITS))[order]
+        parts = np.split(postings, np.cumsum(sizes)[:-1])
+        filled = np.flatnonzero(sizes)
+        batch = pa.array([rows["batch"][0].as_py()] * len(filled), pa.int64())
+        return pa.table([batch, pa.array(filled, pa.int32()), pa.array([parts[i].tobytes() for i in filled], pa.binary())], sent.names)
+
+    def count(rows: pa.Table) -> pa.Table:
+        found = document_frequencies([np.frombuffer(p.as_py(), np.uint64) for p in rows["postings"]])
+        return pa.table([rows["batch"], rows["range"], pa.array([f.tobytes() for f in found], pa.binary())], back.names)
+
+    fields = [StructField("weight", DoubleType()), StructField("bands", ArrayType(LongType())), StructField("sketch", ArrayType(LongType())), StructField("dfs", BinaryType())]
+    kind = StructType([texts.schema["doc_id"], texts.schema["node"], *fields])
+
+    def sign(rows: pa.Table, frequencies: pa.Table) -> pa.Table:
+        sets, place, shingles, order, _ = _batch(rows, ranges)
+        found = dict(zip(frequencies["range"].to_pylist(), frequencies["dfs"].to_pylist()))
+        df = np.zeros(len(shingles), np.int32)
+        df[order] = np.frombuffer(b"".join(found[i] for i in sorted(found)), np.int32)
+        made, at = [], 0
+        for own, times in sets:
+            part = df[at : at + len(own)]
+            at += len(own)
+            w = times * idf(part, documents)
+            samples = weighted_samples(own, w) if len(w) else None
+            made.append((float(w.sum()), [] if samples is None else band_keys(samples), [] if samples is None else sketch_of(samples), part.tobytes()))
+        kinds = (pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
+        columns = [pa.array(values, k).take(pa.array(place)) for values, k in zip(zip(*made), kinds)]
+        return pa.table([rows["doc_id"], rows["node"], *columns], kind.names)
+
+    counted = dealt.groupBy("batch").applyInArrow(send, sent).groupBy("range").applyInArrow(count, back)
+    return dealt.groupBy("batch").cogroup(counted.groupBy("batch")).applyInArrow(sign, kind)
+
+
+def _verified(edges: DataFrame, texts: DataFrame, documents: int, least: float) -> DataFrame:
     """The ``edges`` (a, b) whose texts are at least ``least`` similar, with ``similarity``."""
     kind = StructType([edges.schema["a"], edges.schema["b"], StructField("similarity", DoubleType())])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            pairs = zip(_sets(batch.column(2), powers), _sets(batch.column(3), powers))
-            value = np.array([similarity((a[0], weights.of(*a)), (b[0], weights.of(*b))) for a, b in pairs])
+            pairs = zip(*[_weighted(batch.column(i), batch.column(i + 1), documents, powers) for i in (2, 4)])
+            value = np.array([similarity(a[::2], b[::2]) for a, b in pairs])
             kept = pa.array(value >= least - _SLACK, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept), pa.array(value, pa.float64()).filter(kept)], kind.names)
 
-    first = texts.select(F.col("node").alias("a"), F.col("text").alias("_a"))
-    second = texts.select(F.col("node").alias("b"), F.col("text").alias("_b"))
-    return edges.join(first, "a").join(second, "b").select("a", "b", "_a", "_b").mapInArrow(verify, kind)
+    first = texts.select(F.col("node").alias("a"), F.col("text").alias("_a"), F.col("dfs").alias("_da"))
+    second = texts.select(F.col("node").alias("b"), F.col("text").alias("_b"), F.col("dfs").alias("_db"))
+    return edges.join(first, "a").join(second, "b").select("a", "b", "_a", "_da", "_b", "_db").mapInArrow(verify, kind)
 
 
 def block_links(left: list[tuple], right: list[tuple], least: float) -> list[tuple[int, int, float]]:
@@ -247,7 +250,7 @@ def block_links(left: list[tuple], right: list[tuple], least: float) -> list[tup
     return found
 
 
-def _across(open_: DataFrame, texts: DataFrame, weights: Weights, least: float) -> DataFrame:
+def _across(open_: DataFrame, texts: DataFrame, documents: int, least: float) -> DataFrame:
     """Links between the classes of each bucket; ``open_`` has ``bucket``, ``node``, ``root`` and its ``_largest`` class.
 
     The texts outside the largest class are compared with all of the bucket, in blocks of bounded size by a hash
@@ -270,15 +273,15 @@ def _across(open_: DataFrame, texts: DataFrame, weights: Weights, least: float)
         """Rows in their own block, once for each block of the other side."""
         block = F.pmod(F.xxhash64("node"), F.col(f"{own}s")).cast("int").alias(own)
         copies = F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)).alias(other)
-        dealt = of.select(*[F.col(c).alias(c) for c in ("bucket", "node", "root", "text")], block, copies)
+        dealt = of.select(*[F.col(c).alias(c) for c in ("bucket", "node", "root", "text", "dfs")], block, copies)
         return dealt.groupBy("bucket", "_left", "_right")
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         powers, sides = shared_powers(), []
         for table in (left, right):
             table = table.combine_chunks()
-            bodies = _sets(table["text"].chunk(0), powers) if table.num_rows else []
-            sides.append((table["node"].to_pylist(), [(r, s, t, weights.of(s, t)) for r, (s, t) in zip(table["root"].to_pylist(), bodies)]))
+            bodies = _weighted(table["text"].chunk(0), table["dfs"].chunk(0), documents, powers) if table.num_rows else []
+            sides.append((table["node"].to_pylist(), [(root, *body) for root, body in zip(table["root"].to_pylist(), bodies)]))
         (a, one), (b, other) = sides
         links = block_links(one, other, least) if one and other else []
         ends = [pa.array([pick(a[x], b[y]) for x, y, _ in links], pa.string()) for pick in (min, max)]
@@ -287,18 +290,18 @@ def _across(open_: DataFrame, texts: DataFrame, weights: Weights, least: float)
     return written(side(placed.filter("apart"), "_left", "_right").cogroup(side(placed, "_right", "_left")).applyInArrow(compare, kind), "across")
 
 
-def _unshared(texts: DataFrame, weights: Weights) -> DataFrame:
+def _unshared(texts: DataFrame, documents: int) -> DataFrame:
     """The weight that each ``node`` has in shingles of no other of ``texts``; bounds its similarity to all of them."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            for row, (shingles, times) in enumerate(_sets(batch.column(1), powers)):
+            for row, (shingles, _, weights) in enumerate(_weighted(batch.column(1), batch.column(2), documents, powers)):
                 node = pa.array(np.full(len(shingles), row)).cast(pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(node), pa.array(shingles.view(np.int64)), pa.array(weights.of(shingles, times))], kind.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(node), pa.array(shingles.view(np.int64)), pa.array(weights)], kind.names)
 
     kind = StructType([texts.schema["node"], StructField("shingle", LongType()), StructField("w", DoubleType())])
-    alone = texts.select("node", "text").mapInArrow(spread, kind).groupBy("shingle").agg(F.count("*").alias("n"), F.first("node").alias("node"), F.first("w").alias("w"))
+    alone = texts.select("node", "text", "dfs").mapInArrow(spread, kind).groupBy("shingle").agg(F.count("*").alias("n"), F.first("node").alias("node"), F.first("w").alias("w"))
     return alone.filter("n = 1").groupBy("node").agg(F.sum("w").alias("unshared"))
 
 
@@ -321,8 +324,8 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFra
     are ignored.
     """
     texts = docs.select("doc_id", F.md5(whole()).alias("node"), whole().alias("text"))
-    weights = Weights(common_shingles(texts.select("text")))
-    signed = written(_signatures(texts, weights), "signatures")
+    documents, chars = texts.agg(F.count("*"), F.coalesce(F.sum(F.length("text").cast("bigint")), F.lit(0))).first()
+    signed = written(_signatures(texts, documents, chars), "signatures")
     firsts = [F.first(c).alias(c) for c in ("weight", "bands", "sketch")]
     nodes = signed.groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("_copies"), *firsts)
     spread = nodes.select("node", "weight", "sketch", F.explode("bands").alias("bucket"))
@@ -331,7 +334,8 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFra
     buckets = join_spread(spread, starts, "bucket", "_n", BUSY, ["node"]).drop("_bucket", "_n")
     buckets = written(buckets.withColumn("unshared", F.lit(0.0)), "buckets")
     bodies = texts.join(buckets.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    bodies = written(bodies.select("node", "text"), "bodies")
+    frequencies = signed.groupBy("node").agg(F.first("dfs").alias("dfs"))
+    bodies = written(bodies.select("node", "text").join(frequencies, "node"), "bodies")
 
     def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
         """Pairs of one bucket that can be as near as asked; ``right`` has ``b``, both the columns of a bucket."""
@@ -352,7 +356,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFra
         return rows.withColumnRenamed("node", "b").drop("_lead")
 
     done = written(candidates(leads(buckets), others(buckets)), "edges")
-    links = written(_verified(done, bodies, weights, least), "verified")
+    links = written(_verified(done, bodies, documents, least), "verified")
     rooted = written(components(links), "roots")
     members = buckets.drop("_lead")
     for turn in range(STARS + 1):
@@ -365,16 +369,16 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFra
         if open_.isEmpty():
             break
         if turn == 0:
-            own = _unshared(bodies.join(open_.select("node").distinct(), "node", "left_semi"), weights)
+            own = _unshared(bodies.join(open_.select("node").distinct(), "node", "left_semi"), documents)
             own = open_.drop("unshared", "root", "_largest", "_lead").join(own, "node", "left").withColumn("unshared", F.coalesce("unshared", F.lit(0.0)))
             members = written(own.filter(F.col("unshared") <= (1 - least) * F.col("weight") * (1 + _SLACK)), "open")
             continue
         if turn == STARS:
-            links = links.unionAll(_across(open_, bodies, weights, least))
+            links = links.unionAll(_across(open_, bodies, documents, least))
         else:
             open_ = open_.drop("_largest")
             new = written(candidates(leads(open_), others(open_)).join(done, ["a", "b"], "left_anti"), "edges")
-            links, done = links.unionAll(written(_verified(new, bodies, weights, least), "verified")), done.unionAll(new)
+            links, done = links.unionAll(written(_verified(new, bodies, documents, least), "verified")), done.unionAll(new)
         rooted = written(components(links), "roots")
     classed = nodes.select("node", "first", "_copies").join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = classed.groupBy("root").agg(F.min(F.struct(F.col("first").isNull(), "first", "node")).alias("_head"))

@@ -120,6 +120,51 @@ def test_near_duplicates_against_all_pairs(documents, prose, monkeypatch, stars,
     assert all(r.similarity >= 0.8 for r in links.collect())
 
 
+def test_document_frequencies_count_least_shingles():
+    rng = np.random.default_rng(8)
+    postings = [(rng.integers(0, 30, n).astype(np.uint64) << np.uint64(24)) | rng.integers(0, 5, n).astype(np.uint64) for n in (40, 1, 25)]
+    found = neardup.document_frequencies(postings)
+    every = set(np.concatenate(postings).tolist())
+    for own, df in zip(postings, found):
+        assert df.tolist() == [len({p for p in every if p >> 24 == int(x) >> 24}) for x in own]
+
+
+def tfidf_sets(texts):
+    """Weighted sets by definition: documents of the same least shingle count once in a frequency."""
+    sets = [np.unique(shingle_hashes(word_hashes(np.frombuffer(t.encode(), np.uint8), Powers())), return_counts=True) for t in texts]
+    holders = {}
+    for own, _ in sets:
+        for s in own.tolist():
+            holders.setdefault(s, set()).add(int(own[0]))
+    idf = {s: 1 + np.log((1 + len(texts)) / (1 + len(h))) for s, h in holders.items()}
+    return [(own, times * np.array([idf[s] for s in own.tolist()])) for own, times in sets]
+
+
+@pytest.mark.parametrize(("batch", "range_", "block"), [(1 << 21, 1 << 25, 1 << 19), (5000, 20000, 2000)])
+def test_rare_words_decide(documents, prose, monkeypatch, batch, range_, block):
+    """Texts that share a template and differ in rare words stay apart; texts that differ in common passages meet."""
+    monkeypatch.setattr(neardup, "BATCH", batch)
+    monkeypatch.setattr(neardup, "RANGE", range_)
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    template, one, other = prose(90, 1), prose(30, 2), prose(30, 3)
+    texts = [template + " " + prose(9, 100 + i) for i in range(60)]
+    texts += [prose(120, 200 + i) + " " + (one if i % 2 else other) for i in range(160)]
+    own = [prose(200, 400 + i) for i in range(10)]
+    texts += [o + " " + end for o in own for end in (one, other)]
+    texts += [prose(250, 500 + i) + " " + template for i in range(60)]
+    sets = tfidf_sets(texts)
+    near = [(a, b) for a, b in combinations(range(len(texts)), 2) if neardup.similarity(sets[a], sets[b]) >= 0.8]
+    found, links = neardup.near_duplicates(documents(list(enumerate(texts))))
+    got = {r.doc_id: r.class_id for r in found.collect()}
+    assert got == classes(near, range(len(texts)))
+    assert sorted(near) == [(i, i + 1) for i in range(220, 240, 2)]
+    value = [r.similarity for r in links.collect()]
+    assert sorted(value) == pytest.approx(sorted(neardup.similarity(sets[a], sets[b]) for a, b in near))
+    plain = [shingles(t) for t in texts]
+    assert all(len(plain[0] & p) / len(plain[0] | p) > 0.8 for p in plain[1:60])
+    assert all(len(plain[a] & plain[b]) / len(plain[a] | plain[b]) < 0.8 for a, b in near)
+
+
 def test_one_of_each_class_stays(documents, prose):
     text = prose(80)
     rows = [(7, text), (3, text), (None, text), (9, text + " more"), (3, text), (4, None), (5, None), (6, prose(80)), (6, prose(90))]

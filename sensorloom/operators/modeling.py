@@ -61,6 +61,7 @@ def train(
     label: str = LABEL,
     key: str | None = None,
     partitions: int | None = None,
+    rows_each: int | None = None,
     most_rows: int | None = None,
     combine_equal: bool = False,
     copies: int = COPIES,
@@ -71,7 +72,8 @@ def train(
     A forest depends on how its rows are laid out. With ``key``, a column that names each row, and
     ``partitions``, rows are dealt by the key and sorted, so the same rows give the same forest on
     any machine. ``partitions`` should be the number of cores that train, since the forest visits the
-    rows once per tree level with the input's own parallelism.
+    rows once per tree level with the input's own parallelism. With ``rows_each`` there are more partitions for
+    more rows than ``partitions`` hold at so many each. The laid-out columns are persisted while the fit goes over them.
 
     It also keeps one sampling count per row and tree, far more than the reading itself. For very
     long histories ``most_rows`` bounds the fit to about so many rows, chosen by a hash of the key
@@ -93,10 +95,16 @@ def train(
     def laid_out(frame: DataFrame, by: Sequence[str]) -> DataFrame:
         if not partitions:
             return frame
-        return frame.repartition(partitions, *by).sortWithinPartitions(*by) if by else frame.repartition(partitions)
+        n = max(partitions, -(-frame.count() // rows_each)) if rows_each else partitions
+        return frame.repartition(n, *by).sortWithinPartitions(*by) if by else frame.repartition(n)
 
     if not combine_equal:
-        return pipeline.fit(laid_out(rows, [key] if key else []).select(*features, label))
+        # The scaler and the forest go over the rows several times before the forest keeps its own copy.
+        laid = laid_out(rows, [key] if key else []).select(*features, label).persist()
+        try:
+            return pipeline.fit(laid)
+        finally:
+            laid.unpersist()
     assembler, scaler, trees = pipeline.getStages()
     # The scaler knows no weights, so it is fitted on the single readings.
     scaling = scaler.fit(assembler.transform(rows.select(*features)))
@@ -107,6 +115,15 @@ def train(
     return PipelineModel([assembler, scaling, grown])
 
 
+def spread(df: DataFrame, key: str, rows_each: int) -> DataFrame:
+    """``df`` dealt by ``key`` over tasks of about ``rows_each`` rows; a table that small stays as it is.
+
+    Every tree is walked for every row, while a file is read by as many tasks as its bytes and row groups allow.
+    """
+    n = -(-df.count() // rows_each)
+    return df.repartition(n, key) if n > 1 else df
+
+
 def score(model: PipelineModel, df: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Add ``prediction``; the same call for batch and streaming frames.
 

@@ -24,8 +24,10 @@ from sensorloom.streaming.profiles import baseline as kept_baseline, daily_profi
 from sensorloom.streaming.stuck import stuck_runs_stream
 
 NOW = {"availableNow": True}
-#: How training rows are laid out: by event id, in this many partitions on every machine.
-LAYOUT = {"key": "event_id", "partitions": 16}
+#: Rows that a task trains on or scores.
+ROWS_EACH = 100_000
+#: How training rows are laid out: by event id, in this many partitions on every machine, or more for many rows.
+LAYOUT = {"key": "event_id", "partitions": 16, "rows_each": ROWS_EACH}
 
 
 def _rounded(df: DataFrame, columns: Sequence[str], places: int = 6) -> DataFrame:
@@ -161,13 +163,13 @@ def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings scored on a stream, and whether scoring them in batch gives the same; an invariant like the one above."""
     rows = inputs.readings(spark, sf_dir)
     model = modeling.train(rows, **LAYOUT)
-    arriving = inputs.staged(inputs.binary(inputs.messages(spark, sf_dir)), "messages")
+    arriving = inputs.staged(inputs.binary(inputs.messages(spark, sf_dir)), "messages", rows_per_file=ROWS_EACH)
     decoded = codec.decode_json(arriving, keep=["event_id"])
     path = scratch(spark, "scored")
     scored = codec.scored_columns(modeling.score(model, decoded), keep=["event_id"])
     scored.writeStream.option("checkpointLocation", scratch(spark, "checkpoint")).trigger(**NOW).start(path).awaitTermination()
     live = spark.read.schema(scored.schema).parquet(path)
-    again = modeling.score(model, live)
+    again = modeling.score(model, modeling.spread(live, "event_id", ROWS_EACH))
     return again.select(
         "event_id", *[c for c in SCORED.names if c != PREDICTED], (F.col(PREDICTED) == F.col("prediction")).alias("same")
     )

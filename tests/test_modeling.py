@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sensorloom.operators import modeling, splitting
 from sensorloom.operators.evaluating import evaluate
 from sensorloom.operators.profiles import baseline, daily_profile, feature_stats, residual
-from sensorloom.plans import inputs
+from sensorloom.plans import inputs, queries
 
 SCHEMA = "temperature float, humidity float, is_anomaly int"
 
@@ -225,3 +225,43 @@ def test_a_bounded_fit(spark):
     assert means[1] == 1.0 and abs(means[0] - 1499.5) < 100
     with pytest.raises(ValueError, match="key"):
         modeling.train(df, most_rows=10)
+
+
+def test_many_rows_train_in_more_partitions(rows):
+    total, found, fit = rows.count(), [], modeling.RandomForestClassifier.fit
+
+    def laid(self, frame):
+        found.append((frame.rdd.getNumPartitions(), frame.count()))
+        return fit(self, frame)
+
+    with mock.patch.object(modeling.RandomForestClassifier, "fit", laid):
+        for each in (total, 100):
+            modeling.train(rows, key="event_id", partitions=2, rows_each=each, trees=2, depth=2)
+    assert found == [(2, total), (-(-total // 100), total)]
+    assert modeling.spread(rows, "event_id", total).rdd.getNumPartitions() == rows.rdd.getNumPartitions()
+    dealt = modeling.spread(rows, "event_id", 100)
+    assert dealt.rdd.getNumPartitions() == -(-total // 100) and dealt.exceptAll(rows).isEmpty() and dealt.count() == total
+
+
+@pytest.mark.parametrize("name", ["score_stream"])
+def test_scoring_takes_tasks_by_rows(spark, sf_dir, monkeypatch, name):
+    for key, value in {"rows_each": 100, "partitions": 2, "trees": 3, "depth": 3}.items():
+        monkeypatch.setitem(queries.LAYOUT, key, value)
+    monkeypatch.setattr(queries, "ROWS_EACH", 100)
+    scored, staged, score, stage = [], [], modeling.score, inputs.staged
+
+    def watched(model, df, *args):
+        scored.append(df.isStreaming or df.rdd.getNumPartitions())
+        return score(model, df, *args)
+
+    def files(frame, *args, **settings):
+        staged.append(settings.get("rows_per_file"))
+        return stage(frame, *args, **settings)
+
+    monkeypatch.setattr(modeling, "score", watched)
+    monkeypatch.setattr(inputs, "staged", files)
+    result = queries.QUERIES[name](spark, sf_dir)
+    rows = result.count()
+    assert scored[-1] == -(-rows // 100) and rows > 100
+    assert result.filter("not scored" if name == "score_batch" else "not same").isEmpty()
+    assert staged == ([100] if name == "score_stream" else [])

@@ -154,7 +154,7 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = modeling.train(rows, **LAYOUT)
     path = scratch(spark, "model")
     modeling.save_model(model, path)
-    before = modeling.score(model, rows).withColumnRenamed("prediction", "before")
+    before = modeling.score(model, modeling.spread(rows, "event_id", ROWS_EACH)).withColumnRenamed("prediction", "before")
     after = modeling.score(modeling.load_model(spark, path), before)
     return after.select("event_id", (F.col("before") == F.col("prediction")).alias("same"))
 

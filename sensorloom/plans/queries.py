@@ -134,7 +134,8 @@ def eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The forest, trained on one part of the readings and scoring the other: who was scored, and whether well."""
     train, test = splitting.split_keyed(inputs.readings(spark, sf_dir), "event_id")
-    scored = modeling.score(modeling.train(train, **LAYOUT), test)
+    scored = modeling.score(modeling.train(train, **LAYOUT), modeling.spread(test, "event_id", ROWS_EACH))
+    scored = written(scored.select("event_id", LABEL, "prediction"), "scored")
     quality = evaluate(scored).first()
     good = quality["accuracy"] >= 0.975 and quality["f1_anomaly"] >= 0.8
     return scored.select("event_id", LABEL, F.col("prediction").isNotNull().alias("scored"), F.lit(good).alias("good"))

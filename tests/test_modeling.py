@@ -243,7 +243,7 @@ def test_many_rows_train_in_more_partitions(rows):
     assert dealt.rdd.getNumPartitions() == -(-total // 100) and dealt.exceptAll(rows).isEmpty() and dealt.count() == total
 
 
-@pytest.mark.parametrize("name", ["score_stream", "model_roundtrip"])
+@pytest.mark.parametrize("name", ["score_stream", "model_roundtrip", "score_batch"])
 def test_scoring_takes_tasks_by_rows(spark, sf_dir, monkeypatch, name):
     for key, value in {"rows_each": 100, "partitions": 2, "trees": 3, "depth": 3}.items():
         monkeypatch.setitem(queries.LAYOUT, key, value)

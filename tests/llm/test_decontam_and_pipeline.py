@@ -170,3 +170,15 @@ def test_stages_on_an_empty_table(spark, corpus):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf_dir).count() == 0
+
+
+def test_near_dedup_keeps_texts_of_one_template(documents, prose):
+    """A template of many other documents weighs little, so its texts stay; a near copy without one goes."""
+    template = prose(90, 1)
+    texts = [template + " " + prose(9, 100 + i) for i in range(12)]
+    texts += [prose(250, 500 + i) + " " + template for i in range(60)]
+    own = prose(200, 900)
+    texts += [own, own + " more"]
+    texts += [prose(40, 1000 + i) for i in range(180)]  # the template stands in less than a third
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(None, documents(list(enumerate(texts))), "").collect()}
+    assert kept == set(range(len(texts))) - {73}

@@ -1,8 +1,8 @@
 """Near duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
 A text is a weighted set of five-word shingles: how often it has the shingle, times the shingle's
-inverse document frequency, counted for every shingle over all documents. Samples agree with the probability of the weighted Jaccard similarity,
-so texts that agree in a band of samples are candidates, and every candidate link is verified by
+inverse document frequency, counted for every shingle over all documents, of which those of one least
+shingle count once. Samples agree with the probability of the weighted Jaccard similarity, so texts that agree in a band of samples are candidates, and every candidate link is verified by
 the exact similarity before it counts.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, Lo
 
 from sensorloom.llm.common import join_spread, whole
 from sensorloom.llm.components import components
-from sensorloom.llm.shingles import Powers, mixed, shared_powers, shingle_hashes, texts_as_bytes, word_hashes
+from sensorloom.llm.shingles import WORDS, Powers, mixed, shared_powers, shingle_hashes, texts_as_bytes, word_hashes
 from sensorloom.operators.ordering import spread_join
 from sensorloom.session import written
 
@@ -26,9 +26,11 @@ SIMILARITY = 0.8
 BANDS, ROWS = 10, 3
 #: A candidate pair also agrees in so many of the samples; at similarity 0.8 all but 1 in 3,000 pairs do.
 SAMPLES, AGREEING = 32, 17
-#: Code points of texts that are read and signed together, and whose shingles' frequencies are counted together.
+#: Code points of texts and nodes that are read and signed together, and whose shingles' frequencies are counted together.
 BATCH, RANGE = 1 << 21, 1 << 25
-#: Bits of a posting that name its document's least shingle; the others name the shingle inside its range.
+#: Shingles whose frequencies are counted at a time, and words hashed at a time for the least shingles.
+PIECE = 1 << 20
+#: Bits of a posting that name its document's least shingle among those of a batch; the others name the shingle.
 _LEAST_BITS = np.uint64(24)
 #: Rounds in which the texts of each bucket are compared with one of them.
 STARS = 1
@@ -45,18 +47,42 @@ def _sets(column: pa.Array, powers: Powers) -> Iterator[tuple[np.ndarray, np.nda
         yield np.unique(shingle_hashes(word_hashes(data, powers)), return_counts=True)
 
 
+def _least_of(words: list[np.ndarray]) -> list[np.uint64]:
+    """The least shingle of each list of words; lists of five words and more are hashed together."""
+    found = [shingle_hashes(w).min() if 0 < len(w) < WORDS else np.uint64(0) for w in words]
+    long = [i for i, w in enumerate(words) if len(w) >= WORDS]
+    if long:
+        ends = np.cumsum([len(words[i]) for i in long])
+        starts = ends - [len(words[i]) for i in long]
+        made = np.append(shingle_hashes(np.concatenate([words[i] for i in long])), np.uint64(0))
+        for i, least in zip(long, np.minimum.reduceat(made, np.stack([starts, ends - WORDS + 1], 1).ravel())[::2]):
+            found[i] = least
+    return found
+
+
+def least_shingles(texts: pa.Array) -> pa.Array:
+    """The least shingle of each text, 0 for a text without words."""
+    found, words, held = [], [], 0
+    for data in texts_as_bytes(texts):
+        words.append(word_hashes(data, shared_powers()))
+        held += len(words[-1])
+        if held >= PIECE:
+            found, words, held = found + _least_of(words), [], 0
+    return pa.array(np.array(found + _least_of(words), np.uint64).view(np.int64))
+
+
 def _batch(table: pa.Table, ranges: int) -> tuple:
-    """A batch's different texts as sets, each row's place among them, and their shingles by range of hashes.
+    """A batch's different texts as sets, each row's place among them, and their different shingles, sorted.
 
-    The last three are all the sets' shingles one after the other, the order that sorts them by range, and
-    how many each range has. Any two readings of a batch give the same, whatever order its rows come in.
+    The last two are the place of every set's members among the shingles, and how many shingles each range of
+    hashes has. Any two readings of a batch give the same, whatever order its rows come in.
     """
     table = table.combine_chunks()
     _, first, place = np.unique(np.array(table["node"].to_pylist()), return_index=True, return_inverse=True)
     sets = list(_sets(table["text"].chunk(0).take(pa.array(first)), shared_powers()))
-    shingles = np.concatenate([s for s, _ in sets])
-    range_ = ((shingles >> np.uint64(48)) * np.uint64(ranges) >> np.uint64(16)).astype(np.uint16)
-    return sets, place, shingles, np.argsort(range_, kind="stable"), np.bincount(range_, minlength=ranges)
+    shingles, which = np.unique(np.concatenate([s for s, _ in sets]), return_inverse=True)
+    range_ = ((shingles >> np.uint64(48)) * np.uint64(ranges) >> np.uint64(16)).astype(np.int64)
+    return sets, place, shingles, which, np.bincount(range_, minlength=ranges)
 
 
 def document_frequencies(postings: list[np.ndarray]) -> list[np.ndarray]:
@@ -72,6 +98,51 @@ def document_frequencies(postings: list[np.ndarray]) -> list[np.ndarray]:
     return np.split(found, np.cumsum([len(p) for p in postings])[:-1])
 
 
+def held_in_batch(sets: list[tuple[np.ndarray, np.ndarray]], shingles: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Of how many least shingles of a batch's ``sets`` each of its ``shingles`` is held."""
+    _, least = np.unique(np.array([s[0] if len(s) else 0 for s, _ in sets], np.uint64), return_inverse=True)
+    least = np.repeat(least, [len(s) for s, _ in sets])
+    held = np.zeros(len(shingles), np.int32)
+    if len(which):
+        held[which] = document_frequencies([which.astype(np.uint64) << _LEAST_BITS | least.astype(np.uint64)])[0]
+    return held
+
+
+def _held_in_all(shingles: list[np.ndarray], held: list[np.ndarray], shared: list[int | None]) -> list[np.ndarray]:
+    own, parts = [i for i, least in enumerate(shared) if least is None], {}
+    for i, least in enumerate(shared):
+        if least is not None:
+            parts.setdefault(least, []).append(i)
+    merged = [np.unique(np.concatenate([shingles[i] for i in of])) for of in parts.values()]
+    every = [shingles[i] for i in own] + merged
+    times = [held[i] for i in own] + [np.ones(len(m), np.uint8) for m in merged]
+    _, which = np.unique(np.concatenate(every), return_inverse=True)
+    total = np.split(np.bincount(which, np.concatenate(times)).astype(np.int32)[which], np.cumsum([len(s) for s in every])[:-1])
+    found = dict(zip(own, total))
+    for of, members, counts in zip(parts.values(), merged, total[len(own) :]):
+        found.update((i, counts[np.searchsorted(members, shingles[i])]) for i in of)
+    return [found[i] for i in range(len(shingles))]
+
+
+def held_in_all(shingles: list[np.ndarray], held: list[np.ndarray], shared: list[int | None]) -> list[np.ndarray]:
+    """For each batch's ``shingles`` of a range, sorted, of how many least shingles they are held in all batches.
+
+    A batch without ``shared`` has all documents of its least shingles, so what it ``held`` adds up. Batches that
+    have documents of one least shingle between them name it in ``shared``; it counts once for each shingle. The
+    range is counted piece by piece of its hashes, so that little is held beside what came in and goes out.
+    """
+    least, most = min(s[0] for s in shingles), max(s[-1] for s in shingles)
+    pieces = -(-sum(map(len, shingles)) // PIECE)
+    bounds = least + (most - least) // np.uint64(pieces) * np.arange(1, pieces, dtype=np.uint64)
+    cuts = [[0, *np.searchsorted(s, bounds).tolist(), len(s)] for s in shingles]
+    found = [np.empty(len(s), np.int32) for s in shingles]
+    for k in range(pieces):
+        at = [slice(*cut[k : k + 2]) for cut in cuts]
+        for i, counts in enumerate(_held_in_all([s[x] for s, x in zip(shingles, at)], [h[x] for h, x in zip(held, at)], shared)):
+            found[i][at[i]] = counts
+    return found
+
+
 def idf(frequency: np.ndarray, documents: int) -> np.ndarray:
     """Smoothed inverse document frequency; a shingle of every document still weighs 1."""
     return 1 + np.log((1 + documents) / (1 + frequency))
@@ -140,42 +211,57 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return shared / rest if rest > 0 else 1.0
 
 
+def _chars() -> Column:
+    """Code points of a row's text and node, so that empty texts are worth something too."""
+    return F.length("text").cast("bigint") + F.length("node")
+
+
 def _signatures(texts: DataFrame, documents: int, chars: int) -> DataFrame:
     """``doc_id``, ``node``, the set's total weight, band keys, sketch, and its shingles' document frequencies.
 
-    Texts are dealt into batches of bounded size. A batch sends its shingles to the ranges of their hashes, each
-    range counts in how many documents its shingles stand, and the frequencies go back to the batch, whose texts
-    are signed with them. So every shingle is counted, no table of them is built, and both sides are bounded: a
-    range takes eight bytes for each document and shingle, and only a shingle that stands in most documents
-    makes one grow. Documents of the same least shingle count once, since copies of a text, and most of its near
-    copies, say nothing about how common its shingles are. Texts without words have no bands.
+    Texts are dealt into batches of bounded size, all of one least shingle into one batch. A batch sends its
+    different shingles to the ranges of their hashes, and of how many least shingles it holds them; each range
+    adds up, and the sums go back to the batch, whose texts are signed with them. So every shingle is counted
+    exactly, no table of them is built, and both sides are bounded: a range takes nine bytes or a little
+    more for each shingle of a batch. Documents of the same least shingle count once, since copies of a text, and most of its near copies,
+    say nothing about how common its shingles are. Where they are more than a batch they are dealt into several,
+    whose shingles a range merges before it counts them. Texts without words have no bands.
     """
     batches, ranges = max(1, -(-chars // BATCH)), min(max(1, -(-chars // RANGE)), 1 << 16)
-    dealt = texts.select("doc_id", "node", "text", F.pmod(F.xxhash64("doc_id", "node"), F.lit(batches)).alias("batch"))
-    place = [StructField("batch", LongType()), StructField("range", IntegerType())]
-    sent, back = (StructType([*place, StructField(name, BinaryType())]) for name in ("postings", "dfs"))
+    named = texts.select("doc_id", "node", "text", F.arrow_udf(least_shingles, LongType())("text").alias("least"))
+    busy = named.groupBy(F.col("least").alias("_least")).agg(F.ceil(F.sum(_chars()) / BATCH).alias("_parts")).filter("_parts > 1")
+    named = named.join(written(busy, "busy"), F.col("least") == F.col("_least"), "left")
+    parts, rest = F.col("_parts"), F.pmod(F.xxhash64("least"), F.lit(batches))
+    part = F.when(parts.isNull(), -1).otherwise(F.pmod(F.xxhash64("doc_id", "node"), parts)).cast("int")
+    dealt = named.select("doc_id", "node", "text", F.when(parts.isNull(), rest).otherwise(F.col("least")).alias("batch"), part.alias("part"))
+    place = [StructField("batch", LongType()), StructField("part", IntegerType()), StructField("range", IntegerType())]
+    sent = StructType([*place, StructField("shingles", BinaryType()), StructField("held", BinaryType())])
+    back = StructType([*place, StructField("dfs", BinaryType())])
 
     def send(rows: pa.Table) -> pa.Table:
-        sets, _, shingles, order, sizes = _batch(rows, ranges)
-        least = np.repeat([mixed(s[:1])[0] if len(s) else np.uint64(0) for s, _ in sets], [len(s) for s, _ in sets]).astype(np.uint64)
-        postings = (shingles << _LEAST_BITS | least >> (np.uint64(64) - _LEAST_BITS))[order]
-        parts = np.split(postings, np.cumsum(sizes)[:-1])
+        sets, _, shingles, which, sizes = _batch(rows, ranges)
+        ends = np.cumsum(sizes)[:-1]
+        held = held_in_batch(sets, shingles, which)
+        parts = [np.split(x, ends) for x in (shingles, held.astype(np.min_scalar_type(held.max(initial=0))))]
         filled = np.flatnonzero(sizes)
-        batch = pa.array([rows["batch"][0].as_py()] * len(filled), pa.int64())
-        return pa.table([batch, pa.array(filled, pa.int32()), pa.array([parts[i].tobytes() for i in filled], pa.binary())], sent.names)
+        batch, part = (pa.array([rows[c][0].as_py()] * len(filled), kind) for c, kind in (("batch", pa.int64()), ("part", pa.int32())))
+        return pa.table([batch, part, pa.array(filled, pa.int32()), *[pa.array([x[i].tobytes() for i in filled], pa.binary()) for x in parts]], sent.names)
 
     def count(rows: pa.Table) -> pa.Table:
-        found = document_frequencies([np.frombuffer(p.as_py(), np.uint64) for p in rows["postings"]])
-        return pa.table([rows["batch"], rows["range"], pa.array([f.tobytes() for f in found], pa.binary())], back.names)
+        shingles = [np.frombuffer(b.as_buffer(), np.uint64) for b in rows["shingles"]]
+        held = [b.as_buffer() for b in rows["held"]]  # in as many bytes a number as its batch needs
+        held = [np.frombuffer(h, f"u{h.size // len(s)}") for h, s in zip(held, shingles)]
+        shared = [None if part < 0 else batch for batch, part in zip(rows["batch"].to_pylist(), rows["part"].to_pylist())]
+        found = held_in_all(shingles, held, shared)
+        return pa.table([rows["batch"], rows["part"], rows["range"], pa.array([f.tobytes() for f in found], pa.binary())], back.names)
 
     fields = [StructField("weight", DoubleType()), StructField("bands", ArrayType(LongType())), StructField("sketch", ArrayType(LongType())), StructField("dfs", BinaryType())]
     kind = StructType([texts.schema["doc_id"], texts.schema["node"], *fields])
 
     def sign(rows: pa.Table, frequencies: pa.Table) -> pa.Table:
-        sets, place, shingles, order, _ = _batch(rows, ranges)
+        sets, place, _, which, _ = _batch(rows, ranges)
         found = dict(zip(frequencies["range"].to_pylist(), frequencies["dfs"].to_pylist()))
-        df = np.zeros(len(shingles), np.int32)
-        df[order] = np.frombuffer(b"".join(found[i] for i in sorted(found)), np.int32)
+        df = np.frombuffer(b"".join(found[i] for i in sorted(found)), np.int32)[which]
         made, at = [], 0
         for own, times in sets:
             part = df[at : at + len(own)]
@@ -187,8 +273,8 @@ def _signatures(texts: DataFrame, documents: int, chars: int) -> DataFrame:
         columns = [pa.array(values, k).take(pa.array(place)) for values, k in zip(zip(*made), kinds)]
         return pa.table([rows["doc_id"], rows["node"], *columns], kind.names)
 
-    counted = dealt.groupBy("batch").applyInArrow(send, sent).groupBy("range").applyInArrow(count, back)
-    return dealt.groupBy("batch").cogroup(counted.groupBy("batch")).applyInArrow(sign, kind)
+    counted = dealt.groupBy("batch", "part").applyInArrow(send, sent).groupBy("range").applyInArrow(count, back)
+    return dealt.groupBy("batch", "part").cogroup(counted.groupBy("batch", "part")).applyInArrow(sign, kind)
 
 
 def _verified(edges: DataFrame, texts: DataFrame, documents: int, least: float) -> DataFrame:
@@ -324,7 +410,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFra
     are ignored.
     """
     texts = docs.select("doc_id", F.md5(whole()).alias("node"), whole().alias("text"))
-    documents, chars = texts.agg(F.count("*"), F.coalesce(F.sum(F.length("text").cast("bigint")), F.lit(0))).first()
+    documents, chars = texts.agg(F.count("*"), F.coalesce(F.sum(_chars()), F.lit(0))).first()
     signed = written(_signatures(texts, documents, chars), "signatures")
     firsts = [F.first(c).alias(c) for c in ("weight", "bands", "sketch")]
     nodes = signed.groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("_copies"), *firsts)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.llm import linedup, neardup
 from sensorloom.llm.components import components
-from sensorloom.llm.shingles import Powers, shingle_hashes, word_hashes
+from sensorloom.llm.shingles import Powers, mixed, shingle_hashes, word_hashes
 
 
 def classes(pairs, nodes):
@@ -165,6 +165,58 @@ def test_rare_words_decide(documents, prose, monkeypatch, batch, range_, block):
     assert all(len(plain[a] & plain[b]) / len(plain[a] | plain[b]) < 0.8 for a, b in near)
 
 
+def colliding(hashes, shift, wanted=lambda i: True):
+    """Two places whose hashes agree in the bits that ``shift`` leaves."""
+    seen = {}
+    for i, key in enumerate(shift(hashes).tolist()):
+        if wanted(i) and seen.setdefault(key, i) != i:
+            return seen[key], i
+
+
+def test_frequencies_tell_hashes_apart(documents, prose):
+    """Least shingles that agree in their first 24 mixed bits, and shingles that agree in their last 40, are different."""
+    shared = "five words that many share"
+    own = [f"{shared} {i}" for i in range(40_000)]
+    powers = Powers()
+    both = [shingle_hashes(word_hashes(np.frombuffer(t.encode(), np.uint8), powers)) for t in own]
+    a, b = colliding(np.array([h.min() for h in both]), lambda h: mixed(h) >> np.uint64(40), lambda i: both[i][1] < both[i][0])
+    body = prose(30, 1)
+    texts = [own[a], own[b], shared + " " + body, shared + " " + body + " more"]
+
+    count = 6_000_000
+    numbers = word_hashes(np.frombuffer(" ".join(map(str, range(count))).encode(), np.uint8), powers)
+    low = shingle_hashes(numbers) & np.uint64((1 << 40) - 1)
+    order = np.argsort(low)
+    at = np.flatnonzero(np.diff(low[order]) == 0)[0]
+    c, d = (" ".join(str(i + k) for k in range(5)) for i in order[at : at + 2].tolist())
+    body = prose(30, 2)
+    texts += [c + " " + body, c + " " + body + " more", d + " " + prose(30, 3)]
+
+    sets = tfidf_sets(texts)
+    found, links = neardup.near_duplicates(documents(list(enumerate(texts))))
+    assert {r.doc_id: r.class_id for r in found.collect()} == {0: 0, 1: 1, 2: 2, 3: 2, 4: 4, 5: 4, 6: 6}
+    wanted = sorted(neardup.similarity(sets[a], sets[a + 1]) for a in (2, 4))
+    assert sorted(r.similarity for r in links.collect()) == pytest.approx(wanted, rel=1e-9)
+
+
+@pytest.mark.parametrize(("batch", "piece"), [(1 << 21, 1 << 20), (3000, 100), (1, 1 << 20)])
+def test_frequencies_by_definition(documents, prose, monkeypatch, batch, piece):
+    """Whatever the batches, also where documents of one least shingle are more than one of them."""
+    monkeypatch.setattr(neardup, "BATCH", batch)
+    monkeypatch.setattr(neardup, "RANGE", 4 * batch + 5000)
+    monkeypatch.setattr(neardup, "PIECE", piece)
+    texts = [t or "" for _, t in near_rows(prose)]
+    docs = documents(list(enumerate(texts))).selectExpr("doc_id", "md5(text) node", "text")
+    made = neardup._signatures(docs, len(texts), sum(map(len, texts))).collect()
+    sets = tfidf_sets(texts)
+    assert sorted(r.doc_id for r in made) == list(range(len(texts)))
+    for r in made:
+        shingles, weights = sets[r.doc_id]
+        own = neardup.shingle_hashes(word_hashes(np.frombuffer(texts[r.doc_id].encode(), np.uint8), Powers()))
+        times = np.unique(own, return_counts=True)[1]
+        assert times * neardup.idf(np.frombuffer(r.dfs, np.int32), len(texts)) == pytest.approx(weights)
+
+
 def test_one_of_each_class_stays(documents, prose):
     text = prose(80)
     rows = [(7, text), (3, text), (None, text), (9, text + " more"), (3, text), (4, None), (5, None), (6, prose(80)), (6, prose(90))]
